@@ -24,10 +24,13 @@ class Entry(NamedTuple):
 ENTRIES: dict[str, Entry] = {}
 
 
-def oracle(*views: str, select: str, steps: dict[str, str] | None = None) -> str:
+def oracle(
+    *views: str, select: str, steps: dict[str, str] | None = None, recursive: bool = False
+) -> str:
     """A SELECT over named views and intermediate steps."""
     ctes = view_ctes(views) + [f"{name} AS ({text})" for name, text in (steps or {}).items()]
-    return f"WITH {', '.join(ctes)} {select}" if ctes else select
+    start = "WITH RECURSIVE" if recursive else "WITH"
+    return f"{start} {', '.join(ctes)} {select}" if ctes else select
 
 
 def register(name: str, sql: str | None = None):
@@ -42,11 +45,11 @@ def register(name: str, sql: str | None = None):
     return add
 
 
-def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6, special: dict[str, int] | None = None) -> DataFrame:
     """Round the floating point columns so that both engines print the same value."""
     return df.withColumns(
         {
-            f.name: F.round(f.name, special.get(f.name, digits))
+            f.name: F.round(f.name, (special or {}).get(f.name, digits))
             for f in df.schema.fields
             if isinstance(f.dataType, (T.DoubleType, T.FloatType))
         }

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -24,9 +26,30 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once, for the few Arrow-batched functions."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="quern-package-"), "quern.zip")
+    with zipfile.ZipFile(archive, "w") as target:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    target.write(path, os.path.join("quern", os.path.relpath(path, root)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
+
+
 def build_session(app: str = "quern", master: str | None = None, **options: str) -> SparkSession:
     """Create a session; cluster sizing is left to the submitting environment."""
     builder = SparkSession.builder.appName(app)
@@ -34,7 +57,7 @@ def build_session(app: str = "quern", master: str | None = None, **options: str)
         builder = builder.master(master)
     for key, value in {**RUNTIME_SETTINGS, **options}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 def shared_folder(spark: SparkSession) -> str:

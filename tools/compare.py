@@ -73,7 +73,7 @@ def difference(entry, spark, con, folder) -> str | None:
 def main() -> int:
     folder, names = sys.argv[1], sys.argv[2:] or list(ENTRIES)
     spark = build_session(
-        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
                                   "spark.driver.memory": "12g"}
     )
     spark.sparkContext.setLogLevel("ERROR")
