@@ -1,6 +1,6 @@
 """Imports every module that registers queries."""
 
-from quern.plans import measurement, relational  # noqa: F401
+from quern.plans import measurement, relational, transactions  # noqa: F401
 from quern.plans.registry import ENTRIES
 
 __all__ = ["ENTRIES"]
