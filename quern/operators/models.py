@@ -84,8 +84,10 @@ def fit_boosted_trees(
         maxIter=int(parameters["n_estimators"]),
         maxDepth=math.ceil(math.log2(parameters["num_leaves"])),
         minInstancesPerNode=int(parameters["min_child_samples"]),
-        maxBins=255, seed=seed, **_OUTPUT,
+        maxBins=255, seed=seed, predictionCol=_OUTPUT["predictionCol"],
     )
+    estimator.setRawPredictionCol(_OUTPUT["rawPredictionCol"])
+    estimator.setProbabilityCol(_OUTPUT["probabilityCol"])
     stages = [*encode_features(scale=False), estimator]
     return Pipeline(stages=stages).fit(class_balance_weights(train, label))
 

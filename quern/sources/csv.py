@@ -39,8 +39,8 @@ def scan_csv_tolerant(
 ) -> tuple[DataFrame, DataFrame]:
     """(readable rows, broken lines). No line is lost whatever columns are used later.
 
-    Column pruning is switched off for this reader: a parser that skips a column cannot
-    see that its value is broken.
+    The parser only sees that a value is broken when its column is read, so both results
+    carry an always true test that touches every column.
     """
     full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     df = (
@@ -48,11 +48,12 @@ def scan_csv_tolerant(
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("columnPruning", False)
         .csv(path)
     )
-    good = df.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
-    bad = df.where(F.col(_CORRUPT).isNotNull()).select(F.col(_CORRUPT).alias("line"))
+    text = [F.col(f"`{f.name}`").cast("string") for f in schema.fields]
+    parsed = F.length(F.concat_ws("", *text)) >= 0
+    good = df.where(parsed & F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+    bad = df.where(parsed & F.col(_CORRUPT).isNotNull()).select(F.col(_CORRUPT).alias("line"))
     return good, bad
 
 
