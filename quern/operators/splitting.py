@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.ordered import hash_sample
@@ -19,9 +19,33 @@ def distinct_steps(df: DataFrame, step: str = "step") -> DataFrame:
     return df.select(step).where(F.col(step).isNotNull()).distinct().orderBy(step)
 
 
-def _step_at(steps: DataFrame, step: str, position: int) -> int:
-    # Steps are hours of the covered period, so a few thousand rows at most.
-    return int(steps.orderBy(step).offset(position).limit(1).first()[0])
+def _step_marks(df: DataFrame, step: str, **positions: Column) -> dict[str, int]:
+    """Number of distinct steps and the steps at given 0-based positions, in one job.
+
+    Steps are hours of the covered period, a few thousand rows at most, so the plain
+    numbering is no bottleneck. A position may use the column ``n``.
+    """
+    whole = Window.orderBy(step)
+    ordered = (
+        df.select(step)
+        .where(F.col(step).isNotNull())
+        .distinct()
+        .select(
+            F.col(step).alias("s"),
+            (F.row_number().over(whole) - 1).alias("i"),
+            F.count("*").over(Window.partitionBy()).alias("n"),
+        )
+    )
+    row = ordered.agg(
+        F.coalesce(F.max("n"), F.lit(0)).alias("n"),
+        *[F.max(F.when(F.col("i") == p, F.col("s"))).alias(k) for k, p in positions.items()],
+    ).first()
+    return row.asDict()
+
+
+def _whole(expression: Column) -> Column:
+    """Integer part of a product of doubles."""
+    return expression.cast("int")
 
 
 def split_boundaries(
@@ -32,16 +56,17 @@ def split_boundaries(
         raise ValueError("Both fractions must lie between 0 and 1.")
     if train_fraction + validation_fraction >= 1:
         raise ValueError("The fractions must leave a part for testing.")
-    steps = df.select(step).where(F.col(step).isNotNull()).distinct()
-    n = steps.count()
-    if n < 3:
+    n = F.col("n")
+    train = F.greatest(F.lit(0), _whole(n * F.lit(train_fraction)) - 1)
+    both = _whole(n * F.lit(train_fraction + validation_fraction)) - 1
+    marks = _step_marks(
+        df, step, train=train, validation=F.least(F.greatest(train + 1, both), n - 2)
+    )
+    if marks["n"] < 3:
         raise ValueError("At least three distinct time steps are required.")
-    train = max(0, int(n * train_fraction) - 1)
-    both = int(n * (train_fraction + validation_fraction)) - 1
-    validation = min(max(train + 1, both), n - 2)
-    if validation <= train:
+    if marks["validation"] <= marks["train"]:
         raise ValueError("The fractions leave an empty part.")
-    return Boundaries(_step_at(steps, step, train), _step_at(steps, step, validation))
+    return Boundaries(int(marks["train"]), int(marks["validation"]))
 
 
 def chronological_split(
@@ -68,12 +93,11 @@ def fit_calibration_split(
     """Add ``part``: the latest training steps are kept for probability calibration."""
     if not 0 < calibration_fraction < 1:
         raise ValueError("calibration_fraction must lie between 0 and 1.")
-    steps = train.select(step).where(F.col(step).isNotNull()).distinct()
-    n = steps.count()
-    position = max(0, int(n * (1 - calibration_fraction)) - 1)
-    if n < 2 or position >= n - 1:
+    position = F.greatest(F.lit(0), _whole(F.col("n") * F.lit(1 - calibration_fraction)) - 1)
+    marks = _step_marks(train, step, last=position, final=F.col("n") - 1)
+    if marks["n"] < 2 or marks["last"] >= marks["final"]:
         raise ValueError("The calibration fraction leaves an empty part.")
-    last = _step_at(steps, step, position)
+    last = int(marks["last"])
     return train.withColumn(
         "part", F.when(F.col(step) <= last, "fit").when(F.col(step).isNotNull(), "calibration")
     )

@@ -6,8 +6,13 @@ Each text runs unchanged in Spark (braces filled with DataFrames) and in DuckDB
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 VIEWS = {
     # txn: hourly transactions, 720 steps over 30 days, with scores that have ties
     "txn": """
@@ -151,7 +156,21 @@ VIEWS = {
     """,
 }
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+#: Declared schemas save the job that would read the file footers first.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+TABLES = tuple(SCHEMAS)
 
 
 def _inputs(view: str) -> list[str]:
@@ -165,9 +184,16 @@ class Bindings:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._built: dict[str, DataFrame] = {}
+        self._shared: dict[str, object] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+
+    def once(self, name: str, make: Callable[[Bindings], T]) -> T:
+        """A value several steps of one query share, made on first use."""
+        if name not in self._shared:
+            self._shared[name] = make(self)
+        return self._shared[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:

@@ -128,11 +128,11 @@ def _(b):
                    "r AS (ORDER BY i ROWS BETWEEN 14 PRECEDING AND 15 FOLLOWING)",
         "phases": "SELECT i % 30 AS phase, avg(prcp - trend) AS m FROM trended GROUP BY 1",
         "season": "SELECT phase, m - (SELECT avg(m) FROM phases) AS seasonal FROM phases",
-    }, select="SELECT date, round(prcp, 6) AS observed, round(trend, 6) AS trend, round(seasonal, 6) AS seasonal, "
-              "round(prcp - trend - seasonal, 6) AS residual FROM trended JOIN season ON i % 30 = phase"),
+    }, select="SELECT date, round(prcp, 9) AS observed, round(trend, 9) AS trend, round(seasonal, 9) AS seasonal, "
+              "round(prcp - trend - seasonal, 9) AS residual FROM trended JOIN season ON i % 30 = phase"),
 )
 def _(b):
-    return rounded(timeseries.seasonal_decompose_additive(_daily(b), "prcp", 30))
+    return rounded(timeseries.seasonal_decompose_additive(_daily(b), "prcp", 30), 9)
 
 
 @register(

@@ -220,7 +220,8 @@ def _scored(b):
 
 
 def _parts(b):
-    return splitting.chronological_split(_scored(b))
+    ends = b.once("ends", lambda b: splitting.split_boundaries(_scored(b)))
+    return splitting.with_split(_scored(b), ends)
 
 
 @register("distinct_steps", oracle("txn", select="SELECT DISTINCT step FROM txn"))
@@ -230,7 +231,7 @@ def _(b):
 
 @register("chronological_split", oracle("txn", steps=_SPLIT, select="SELECT source_row_number, step, split FROM parts"))
 def _(b):
-    return _parts(b).select("source_row_number", "step", "split")
+    return splitting.chronological_split(_scored(b)).select("source_row_number", "step", "split")
 
 
 @register(
