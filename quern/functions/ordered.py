@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.sources.literal import inline_table
+
 #: Upper bound for the number of order ranges, and so for every table of range totals.
 MAX_RANGES = 2048
 _RANGE = "_range"
@@ -261,8 +263,8 @@ def _ranked_values(
             ranked = bracketed.withColumn("upto", F.sum("n").over(running)).withColumnRenamed(
                 _RANGE, "_bracket"
             )
-        lookup = values.sparkSession.createDataFrame(
-            targets, "position long, _bracket int, rank long"
+        lookup = inline_table(
+            values.sparkSession, "position long, _bracket int, rank long", targets
         )
         # Two rows per requested probability.
         hits = ranked.join(F.broadcast(lookup), "_bracket").where(

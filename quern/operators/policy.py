@@ -18,6 +18,7 @@ from quern.functions.ordered import even_probabilities, exact_quantiles, with_ra
 from quern.functions.scalar import safe_share
 from quern.operators.contract import sized
 from quern.operators.features import day_index
+from quern.sources.literal import inline_table
 
 
 @dataclass(frozen=True)
@@ -186,7 +187,7 @@ def eligible_by_threshold(
 
 def _grid(df: DataFrame, thresholds: Sequence[float]) -> DataFrame:
     rows = [(level, float(t)) for level, t in enumerate(sorted(set(thresholds)), start=1)]
-    return df.sparkSession.createDataFrame(rows, "level int, threshold double")
+    return inline_table(df.sparkSession, "level int, threshold double", rows)
 
 
 def _reached(valued: DataFrame, thresholds: Sequence[float]) -> DataFrame:

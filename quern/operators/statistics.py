@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from quern.functions import special
 from quern.functions.ordered import cut_points, with_range
 from quern.functions.scalar import drop_null_rows, right_closed_bin
+from quern.sources.literal import inline_table
 
 ALPHA = 0.05
 
@@ -354,8 +355,8 @@ def ols_summary(
         watson, jarque_bera, math.exp(-jarque_bera / 2), omnibus, math.exp(-omnibus / 2),
         shape["skew"], shape["kurtosis"], fit.condition,
     )
-    return df.sparkSession.createDataFrame(
-        [tuple(float(v) for v in values)], ", ".join(f"{c} double" for c in _SUMMARY)
+    return inline_table(
+        df.sparkSession, ", ".join(f"{c} double" for c in _SUMMARY), [tuple(float(v) for v in values)]
     )
 
 

@@ -18,6 +18,24 @@ def values_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
     return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted.fields])
 
 
+def inline_table(spark: SparkSession, columns: str, rows: Sequence[tuple]) -> DataFrame:
+    """A few computed numbers as rows of the plan itself (no job to distribute them).
+
+    ``columns`` reads like "position long, rank long"; values are finite numbers.
+    """
+    parts = [c.split() for c in columns.split(", ")]
+    types = {"long": "bigint"}
+    cells = ", ".join(
+        "(" + ", ".join(f"{v!r}D" if isinstance(v, float) else repr(v) for v in row) + ")"
+        for row in rows
+    )
+    names = ", ".join(f"c{i}" for i in range(len(parts)))
+    picked = ", ".join(
+        f"CAST(c{i} AS {types.get(kind, kind)}) AS {name}" for i, (name, kind) in enumerate(parts)
+    )
+    return spark.sql(f"SELECT {picked} FROM VALUES {cells} AS t({names})")
+
+
 def publish_view(name: str, df: DataFrame, table: bool = False) -> DataFrame:
     """Make a result readable under a name: a session view, or a stored table."""
     if table:

@@ -1,18 +1,43 @@
-"""Every query with a SQL twin, all rows compared on the smallest tables."""
+"""Every named query: all rows against its SQL twin, and the shape of its plan."""
+
+import re
 
 import pytest
 
 from quern.plans.catalog import ENTRIES
-from tools.compare import connect, difference
+from tools.compare import connect, frame_difference
 
 FOLDER = "/root/testdata/sf0.001"
 
+#: Ranks a sample of fixed size, so one task is enough.
+FIXED_SIZE_INPUT = {"feature_importance"}
+
 
 @pytest.fixture(scope="module")
 def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", [n for n, e in ENTRIES.items() if e.sql])
-def test_same_rows_as_sql(spark, duck, name):
-    assert difference(ENTRIES[name], spark, duck, FOLDER) is None
+def single_task_inputs(plan: str) -> list[str]:
+    """Operators that send unreduced rows to one task."""
+    lines = [re.sub(r"^[\s:+\-]*(\*\(\d+\) )?", "", line) for line in plan.splitlines()]
+    bounded = ("HashAggregate", "ObjectHashAggregate", "SortAggregate", "LocalLimit", "LocalTableScan", "Window")
+    found = []
+    for line, child in zip(lines, lines[1:]):
+        if line.startswith("Exchange SinglePartition") and not child.startswith(bounded):
+            below = lines[lines.index(child) :]
+            first = next((x for x in below if x.startswith((*bounded, "FileScan", "Scan"))), "")
+            if first.startswith(("FileScan", "Scan")):
+                found.append(child)
+    return found
+
+
+@pytest.mark.parametrize("name", list(ENTRIES))
+def test_rows_and_plan(spark, duck, name):
+    entry = ENTRIES[name]
+    frame = entry.run(spark, FOLDER)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    if name not in FIXED_SIZE_INPUT:
+        assert single_task_inputs(plan) == []
+    assert frame_difference(frame, entry, duck) is None

@@ -54,7 +54,10 @@ def table(columns, rows):
 
 def difference(entry, spark, con, folder) -> str | None:
     """None when equal, else what differs."""
-    frame = entry.run(spark, folder)
+    return frame_difference(entry.run(spark, folder), entry, con)
+
+
+def frame_difference(frame, entry, con) -> str | None:
     got = table(frame.columns, [tuple(r) for r in frame.collect()])
     if entry.sql is None:
         return None if got[1] else "no rows"
