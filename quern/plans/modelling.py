@@ -1,7 +1,7 @@
 """Model fitting, calibration, scoring and importance queries.
 
-Fitted numbers depend on the solver, so these have no SQL twin; tests check their
-properties. Boosting runs few rounds here, the declared candidates remain the default.
+Fitted trees and ridge coefficients depend on the solver, so those have no SQL twin;
+tests check their properties. Boosting runs few rounds here, the declared candidates remain the default.
 """
 
 from __future__ import annotations
@@ -10,10 +10,16 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from quern.operators import features, models, splitting
-from quern.plans.registry import register
-from quern.plans.transactions import COSTS, THRESHOLD, _reviewed_test
-from quern.operators import policy
+from quern.operators import contract, features, models, policy, splitting
+from quern.plans.registry import oracle, register, rounded
+from quern.plans.transactions import (
+    _FEATURES,
+    _SPLIT,
+    _STEPS,
+    COSTS,
+    THRESHOLD,
+    _reviewed_test,
+)
 from quern.session import scratch_path
 
 QUICK_TREES = {"learning_rate": 0.1, "num_leaves": 8, "n_estimators": 5, "min_child_samples": 20}
@@ -37,12 +43,44 @@ def _bundle(b):
     return bundle, later
 
 
-@register("encode_features")
+# The fit part: earlier training steps, all fraud and the first hashes of the rest.
+_FIT = {
+    **_SPLIT,
+    "train": "SELECT * FROM parts WHERE split = 'train'",
+    "inner_steps": _STEPS.format(source="train"),
+    "last": "SELECT max(step) AS last FROM inner_steps WHERE i = greatest(0, CAST(floor(n * (1 - 2e-1)) AS INT) - 1) + 1",
+    "early": "SELECT t.* FROM train t, last WHERE step <= last",
+    "hashed": "SELECT source_row_number, row_number() OVER (ORDER BY md5(CAST(source_row_number AS VARCHAR) || ':42'), source_row_number) AS r "
+              "FROM early WHERE is_fraud = 0",
+    "picked": "SELECT source_row_number FROM early WHERE is_fraud = 1 UNION ALL SELECT source_row_number FROM hashed "
+              "WHERE r <= 20 * (SELECT count(*) FROM early WHERE is_fraud = 1)",
+    "matrix": _FEATURES.replace("round(", "(").replace(", 6) AS", ") AS"),
+    "fit": "SELECT m.* FROM matrix m SEMI JOIN picked USING (source_row_number)",
+    "moments": "SELECT " + ", ".join(
+        f"avg({c}) AS {c}_m, stddev_samp({c}) AS {c}_s" for c in features.NUMERIC_FEATURES) + " FROM fit",
+}
+
+
+@register(
+    "encode_features",
+    oracle("txn", steps=_FIT, select="SELECT source_row_number, "
+           + ", ".join(f"CAST(type = '{t}' AS INT) AS type_{t}" for t in contract.TRANSACTION_TYPES) + ", "
+           + ", ".join(f"round(({c} - {c}_m) / {c}_s, 6) AS {c}" for c in features.NUMERIC_FEATURES)
+           + " FROM matrix, moments WHERE step > (SELECT a FROM ends) AND step <= (SELECT z FROM ends)"),
+)
 def _(b):
     _, fit, _, later = _parts(b)
     encoder = Pipeline(stages=models.encode_features(scale=True)).fit(fit)
-    return encoder.transform(later).select(
-        "source_row_number", vector_to_array("model_input").alias("model_input")
+    vector = encoder.transform(later).select(
+        "source_row_number", vector_to_array("model_input").alias("x")
+    )
+    types = contract.TRANSACTION_TYPES
+    return rounded(
+        vector.select(
+            "source_row_number",
+            *[F.col("x")[i].cast("int").alias(f"type_{t}") for i, t in enumerate(types)],
+            *[F.col("x")[len(types) + i].alias(c) for i, c in enumerate(features.NUMERIC_FEATURES)],
+        )
     )
 
 
@@ -60,12 +98,36 @@ def _(b):
     return models.raw_score(model, later).select("source_row_number", "label", "score")
 
 
-@register("sigmoid_calibration")
+def _newton(rounds: int) -> dict[str, str]:
+    """Newton steps of the smoothed logistic fit on one score, one CTE per step."""
+    steps = {
+        "prior": "SELECT sum(is_fraud) AS pos, count(*) - sum(is_fraud) AS neg FROM txn",
+        "aimed": "SELECT source_row_number, probability AS s, CASE WHEN is_fraud = 1 THEN (pos + 1e0) / (pos + 2e0) ELSE 1 / (neg + 2e0) END AS t "
+                 "FROM txn, prior",
+        "w0": "SELECT 0e0 AS w, ln(sum(t) / sum(1 - t)) AS c FROM aimed",
+    }
+    for i in range(rounds):
+        steps[f"g{i}"] = (
+            "SELECT sum(t - p) AS g0, sum((t - p) * s) AS g1, sum(p * (1 - p)) AS h00, sum(p * (1 - p) * s) AS h01, "
+            f"sum(p * (1 - p) * s * s) AS h11 FROM (SELECT s, t, 1 / (1 + exp(-(w * s + c))) AS p FROM aimed, w{i})"
+        )
+        steps[f"w{i + 1}"] = (
+            "SELECT w + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS w, "
+            f"c + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS c FROM w{i}, g{i}"
+        )
+    return steps
+
+
+@register(
+    "sigmoid_calibration",
+    oracle("txn", steps=_newton(10), select="SELECT source_row_number, round(1 / (1 + exp(-(w * s + c))), 4) AS probability FROM aimed, w10"),
+)
 def _(b):
     scored = b["txn"].select(
         "source_row_number", F.col("is_fraud").alias("label"), F.col("probability").alias("score")
     )
-    return models.calibrated(scored, *models.sigmoid_calibration(scored))
+    fitted = models.calibrated(scored, *models.sigmoid_calibration(scored))
+    return rounded(fitted.select("source_row_number", "probability"), 4)
 
 
 @register("batch_score")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quern.plans.registry import oracle, register, rounded
-from quern.plans.transactions import COSTS, _FLAGGED
+from quern.plans.transactions import _FLAGGED, _PSI, COSTS, _quantiles
 from quern.session import scratch_path
 from quern.streaming.validation import append_to, split_sink, stream_daily_monitoring, stream_validate
 
@@ -57,15 +57,42 @@ def _(b):
     )
 
 
-_START = "1704067200"
+_START = 1704067200  # midnight, so that stream days equal day indexes
 
 
-@register("stream_daily_monitoring")
+# Rows within the watermark's delay of the newest one leave their days open.
+_CLOSED = {
+    "scored": "SELECT *, is_fraud AS actual FROM txn",
+    "days": "SELECT (step - 1) // 24 AS day_index, *, probability >= 5e-1 AS review FROM scored",
+    "quantiles": _quantiles("scored"),
+    "cuts": "SELECT list_sort(list_distinct(q)) AS q FROM quantiles",
+    "inner_cuts": "SELECT q[2:len(q) - 1] AS e FROM cuts",
+    "placed": "SELECT d.*, list_sum([CAST(probability >= x AS INT) for x in e]) AS bin FROM days d, inner_cuts",
+    "ref": "SELECT bin, count(*) / CAST((SELECT count(*) FROM placed) AS DOUBLE) AS r FROM placed GROUP BY 1",
+    "sizes": "SELECT day_index, count(*) AS n FROM placed GROUP BY 1",
+    "shares": "SELECT s.day_index, f.bin, greatest(r, 1e-6) AS r, count(p.bin) / CAST(s.n AS DOUBLE) AS c FROM sizes s CROSS JOIN ref f "
+              "LEFT JOIN placed p ON p.day_index = s.day_index AND p.bin = f.bin GROUP BY 1, 2, 3, s.n",
+    "drift": f"SELECT day_index, {_PSI} AS psi FROM shares GROUP BY 1",
+    "volume": "SELECT day_index, count(*) AS transaction_count, count(*) FILTER (WHERE review) AS review_count, "
+              "count(*) FILTER (WHERE actual = 1) AS observed_fraud_count, count(*) FILTER (WHERE review AND actual = 1) AS true_positive_count, "
+              "round(avg(probability), 6) AS mean_probability, round(coalesce(sum(amount * 1e0 * 85e-2) FILTER (WHERE review AND actual = 1), 0), 4) "
+              "AS loss_avoided FROM days GROUP BY 1",
+}
+
+
+@register(
+    "stream_daily_monitoring",
+    oracle("txn", steps=_CLOSED, select="SELECT CAST(v.day_index AS INT) AS day_index, v.* EXCLUDE (day_index), round(psi, 6) AS score_psi "
+           "FROM volume v JOIN drift USING (day_index) WHERE (v.day_index + 2) * 24 <= (SELECT max(step) - 1 FROM txn)"),
+)
 def _(b):
     scored = b["txn"].select(
-        F.timestamp_seconds(F.col("step") * 3600 + int(_START) - 3600).alias("ts"),
+        F.timestamp_seconds((F.col("step") - 1) * 3600 + _START).alias("ts"),
         "amount", "probability", F.col("is_fraud").alias("actual"),
         (F.col("probability") >= 0.5).alias("review"),
     )
     days = stream_daily_monitoring(_replayed(b, scored, "scored"), b["txn"], COSTS)
-    return rounded(_drained(b, days, "monitored"))
+    closed = _drained(b, days, "monitored").withColumn(
+        "day_start", F.floor((F.unix_seconds("day_start") - _START) / 86400).cast("int")
+    )
+    return rounded(closed.withColumnRenamed("day_start", "day_index"), special={"loss_avoided": 4})

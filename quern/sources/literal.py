@@ -21,14 +21,12 @@ def values_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
 def inline_table(spark: SparkSession, columns: str, rows: Sequence[tuple]) -> DataFrame:
     """A few computed numbers as rows of the plan itself (no job to distribute them).
 
-    ``columns`` reads like "position long, rank long"; values are finite numbers.
+    ``columns`` reads like "position long, rank long"; values are numbers.
     """
     parts = [c.split() for c in columns.split(", ")]
     types = {"long": "bigint"}
-    cells = ", ".join(
-        "(" + ", ".join(f"{v!r}D" if isinstance(v, float) else repr(v) for v in row) + ")"
-        for row in rows
-    )
+    text = lambda v: f"double('{v!r}')" if isinstance(v, float) else repr(v)
+    cells = ", ".join("(" + ", ".join(text(v) for v in row) + ")" for row in rows)
     names = ", ".join(f"c{i}" for i in range(len(parts)))
     picked = ", ".join(
         f"CAST(c{i} AS {types.get(kind, kind)}) AS {name}" for i, (name, kind) in enumerate(parts)
