@@ -1,0 +1,18 @@
+"""Small sides of joins, broadcast only after their size was checked."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def sized(df: DataFrame, broadcast_rows: int = 0) -> DataFrame:
+    """Compute a frame that is small in practice, so that its true size is known.
+
+    Spark then broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold`` and
+    falls back to a shuffled join above. For narrow rows, ``broadcast_rows`` allows a
+    broadcast up to that many counted rows whatever the threshold.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return F.broadcast(kept) if kept.count() <= broadcast_rows else kept

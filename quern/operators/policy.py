@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.ordered import even_probabilities, exact_quantiles, with_range
 from quern.functions.scalar import safe_share
-from quern.operators.contract import sized
+from quern.functions.sizing import sized
 from quern.operators.features import day_index
 from quern.sources.literal import inline_table
 

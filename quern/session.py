@@ -18,6 +18,8 @@ RUNTIME_SETTINGS = {
     # Split a skewed join side even when that costs one more exchange: a hot
     # customer or station must not pin a single task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Per-group top-k keeps its partial limit in every task up to this k.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     "spark.sql.session.timeZone": "UTC",
 }
 
