@@ -89,24 +89,29 @@ def ordered_cumsum(
     within ``by``. A hot ``by`` group is spread over the ranges of ``order``.
     """
     ranged = with_range(df, order, cut_points(df, order, ranges))
+    # The group as one never-null column: NULL keys match themselves, and the join below
+    # can keep the partitioning of the window instead of shuffling the rows again.
+    group = ["_group"] if by else []
+    if by:
+        ranged = ranged.withColumn("_group", F.struct(*by))
     position = F.desc if descending else F.asc
     inside = (
-        Window.partitionBy(*by, _RANGE)
+        Window.partitionBy(*group, _RANGE)
         .orderBy(position(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     earlier = (
-        Window.partitionBy(*by)
+        Window.partitionBy(*group)
         .orderBy(position(_RANGE))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     expressions = {name: F.col(e) if isinstance(e, str) else e for name, e in sums.items()}
-    totals = ranged.groupBy(*by, _RANGE).agg(
+    totals = ranged.groupBy(*group, _RANGE).agg(
         *[F.sum(e).alias(f"_total_{name}") for name, e in expressions.items()]
     )
     # One row per range and group, so this window sees at most MAX_RANGES rows a group.
     offsets = totals.select(
-        *by,
+        *group,
         _RANGE,
         *[
             F.coalesce(F.sum(f"_total_{name}").over(earlier), F.lit(0)).alias(f"_before_{name}")
@@ -117,9 +122,7 @@ def ordered_cumsum(
         "*", *[F.sum(e).over(inside).alias(f"_inside_{name}") for name, e in expressions.items()]
     )
     # Without groups the offsets are at most MAX_RANGES rows: a safe broadcast.
-    joined = join_null_safe(
-        local, offsets if by else F.broadcast(offsets), [*by, _RANGE], "inner"
-    )
+    joined = local.join(offsets if by else F.broadcast(offsets), [*group, _RANGE])
     return joined.select(
         *df.columns,
         *[

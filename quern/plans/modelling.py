@@ -37,7 +37,7 @@ def _parts(b):
 
 def _bundle(b):
     ends, fit, calibration, later = _parts(b)
-    model = models.fit_logistic(fit, max_iter=50)
+    model = models.fit_logistic(fit, max_iter=20)
     a, c = models.sigmoid_calibration(models.raw_score(model, calibration))
     bundle = models.Bundle(model, "logistic_regression", (a, c), 0.01, COSTS, *ends)
     return bundle, later
@@ -87,7 +87,7 @@ def _(b):
 @register("fit_logistic")
 def _(b):
     _, fit, _, later = _parts(b)
-    model = models.fit_logistic(fit, max_iter=50)
+    model = models.fit_logistic(fit, max_iter=20)
     return models.raw_score(model, later).select("source_row_number", "label", "score")
 
 
