@@ -208,15 +208,21 @@ def _daily_sweep(capacity: int, levels: int):
 
     def sweep(key: tuple, day: pd.DataFrame) -> pd.DataFrame:
         ordered = day.sort_values(list(_RANKED_BY), ascending=[False, False, True])
-        steps = np.zeros((3, levels + 2), dtype="int64")
         best: list[int] = []
-        for level, actual, units in zip(ordered["level"], ordered["actual"], ordered["units"]):
+        floors = []
+        for level in ordered["level"].tolist():
             floor = best[0] if len(best) == capacity else 0
+            floors.append(floor)
             if level > floor:
-                gain = (1, actual, units * actual)
-                steps[:, floor + 1] += gain
-                steps[:, level + 1] -= gain
-                (heapq.heapreplace if len(best) == capacity else heapq.heappush)(best, level)
+                (heapq.heapreplace if floor else heapq.heappush)(best, level)
+        level, floor = ordered["level"].to_numpy(), np.asarray(floors)
+        taken = level > floor
+        actual = ordered["actual"].to_numpy(dtype="int64")[taken]
+        gains = (np.ones_like(actual), actual, actual * ordered["units"].to_numpy()[taken])
+        steps = np.zeros((3, levels + 2), dtype="int64")
+        for row, gain in zip(steps, gains):
+            np.add.at(row, floor[taken] + 1, gain)
+            np.subtract.at(row, level[taken] + 1, gain)
         totals = steps.cumsum(axis=1)[:, 1 : levels + 1]
         return pd.DataFrame(
             {

@@ -57,7 +57,8 @@ def _(b):
 
 @register(
     "validate_transactions_accepted",
-    oracle("txn_source", steps=_FLAGGED, select=f"SELECT source_row_number, {_RENAMED} FROM flagged WHERE rejection_reason = ''"),
+    oracle("txn_source", steps=_FLAGGED, select=f"SELECT source_row_number, {_RENAMED} FROM flagged WHERE rejection_reason = ''".replace(
+        "isFraud AS", "CAST(isFraud AS TINYINT) AS").replace("isFlaggedFraud AS", "CAST(isFlaggedFraud AS TINYINT) AS")),
 )
 def _(b):
     return contract.validate_transactions(b["txn_source"]).accepted
