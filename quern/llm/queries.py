@@ -5,22 +5,51 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import bpe_transducer, fingerprints, mixture_packing, token_files
-from quern.llm.common import table
+from quern.llm import (
+    bpe_transducer,
+    fingerprints,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    mixture_packing,
+    secret_scan,
+    token_files,
+)
+from quern.llm.common import held_out, table
 from quern.session import scratch_path
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, folder, "documents")).select("doc_id", "text", "n_removed")
+
+
 def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, folder, "documents"))
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = language_id.fit(documents.where(~held_out("doc_id", 4)))
+    said = language_id.identify(documents.select("doc_id", "text"), model)
+    return said.select("doc_id", held_out("doc_id", 4).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, folder, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_transducer.round_trip(table(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return secret_scan.digest(secret_scan.scan(documents, secret_scan.fit(documents)))
+
+
 def op9_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
     return mixture_packing.pack(table(spark, folder, "documents"), WORD_MODEL)
 
@@ -31,5 +60,12 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op2_fingerprints, op6_byte_bpe, op9_mixture_packing, op10_token_files)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_line_dedup, op2_fingerprints, op3_language_id, op4_jaccard_join, op6_byte_bpe, op8_secret_scan,
+        op9_mixture_packing, op10_token_files,
+    )
+}
+#: SQL has no models, tokenizers, sketches or reachability; the tests use brute force instead.
 ORACLES: dict[str, str] = {}
