@@ -7,8 +7,8 @@ four fifths can no longer be reached: two linked units share a shingle of both p
 
 Units with the same first shingle form a group of similar ones. The matrix holds each group's
 union of prefixes; two groups whose unions share fewer shingles than any of their members would need
-to link are never opened. Opened groups are compared in blocks of at most about
-``block`` units a side: a query whose shingles in the block's union are fewer than four fifths of its
+to link are never opened. Groups that open each other meet in one block, or, where their sets
+are too large for one, pair by pair in blocks of about ``block`` units a side: a query whose shingles in the block's union are fewer than four fifths of its
 own is skipped, all others are counted exactly. No pair of units becomes a row unless it links
 and joins two parts of its block not yet linked.
 
@@ -41,6 +41,21 @@ def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield np.unique(hashes[first[i] : first[i + 1]])
 
 
+def _unit(own: np.ndarray) -> int | None:
+    """A name of the set; None for the empty set."""
+    weights = np.arange(1, 2 * len(own), 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return int((own * weights).sum().view(np.int64)) if len(own) else None
+
+
+def _prefix(own: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The first shingles in the common order: all but four fifths, and one."""
+    if len(own) and len(frequent):
+        at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
+        late = frequent[at] == own
+        own = np.concatenate([own[~late], own[late]])
+    return own[: len(own) - (4 * len(own) + 4) // 5 + (len(own) > 0)].view(np.int64)
+
+
 def _frequent(rows: DataFrame, size: int, one_in: int) -> np.ndarray:
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,7 +143,7 @@ def compare_block(units: list[int], sides: list[int], sets: list[np.ndarray]):
         return links, edges
     sizes = np.array([len(s) for s in sets])
     tokens = np.concatenate([sets[i] for i in inner])
-    owner = np.repeat(np.arange(len(inner)), sizes[inner])
+    owner = np.repeat(np.arange(len(inner), dtype=np.int32), sizes[inner])
     order = np.argsort(tokens, kind="stable")
     tokens, owner = tokens[order], owner[order]
     union, first = np.unique(tokens, return_index=True)
@@ -156,10 +171,13 @@ def compare_block(units: list[int], sides: list[int], sets: list[np.ndarray]):
     return links, edges
 
 
-def jaccard_components(documents: DataFrame, size: int = 5, one_in: int = 16, block: int = 128) -> DataFrame:
+def jaccard_components(
+    documents: DataFrame, size: int = 5, one_in: int = 16, block: int = 512, table: int = 8_000_000
+) -> DataFrame:
     """doc_id, n_shingles, component_id, linked_sets (other sets linked directly) and copies (other
     documents of the same set) of every row.
 
+    ``table`` bounds the shingles a task holds at once, ``block`` the units of a side of a pair of groups.
     component_id is the smallest doc_id reachable by links of similarity 0.8 or more, itself included.
     """
     spark = prepare(documents.sparkSession)
@@ -169,40 +187,44 @@ def jaccard_components(documents: DataFrame, size: int = 5, one_in: int = 16, bl
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = frequent.value
         for batch in batches:
-            count, unit, prefixes = [], [], []
-            for own in _sets(batch.column(1), size):
-                count.append(len(own))
-                if not len(own):
-                    unit.append(None)
-                    prefixes.append(np.zeros(0, np.int64))
-                    continue
-                weights = np.arange(1, 2 * len(own), 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                unit.append(int((own * weights).sum().view(np.int64)))
-                if len(late):
-                    at = np.minimum(np.searchsorted(late, own), len(late) - 1)
-                    rare = late[at] != own
-                    own = np.concatenate([own[rare], own[~rare]])
-                reach = len(own) - (4 * len(own) + 4) // 5 + 1
-                prefixes.append(own[:reach].view(np.int64))
+            found = [(len(own), _unit(own), _prefix(own, late)[:1].tolist() or [None]) for own in _sets(batch.column(1), size)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(count, pa.int64()), pa.array(unit, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "unit", "prefix"],
+                [batch.column(0), *(pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)), pa.array([f[2][0] for f in found], pa.int64())],
+                ["doc_id", "n_shingles", "unit", "g"],
             )
 
-    described = written(
-        rows.mapInArrow(describe, "doc_id long, n_shingles long, unit long, prefix array<long>"), "jaccard-sets"
-    )
-    units = (
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        late, seen = frequent.value, set()
+        for batch in batches:
+            tokens, count = [], []
+            for own in _sets(batch.column(0), size):
+                unit = _unit(own)
+                if unit is None or unit in seen:  # copies within the task
+                    continue
+                if len(seen) > 500_000:
+                    seen.clear()
+                seen.add(unit)
+                tokens.append(_prefix(own, late))
+                count.append(len(tokens[-1]))
+            if tokens:
+                group = np.repeat([t[0] for t in tokens], count)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(group)], ["token", "g"])
+
+    described = written(rows.mapInArrow(describe, "doc_id long, n_shingles long, unit long, g long"), "jaccard-sets")
+    slim = (
         described.where("unit IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("unit")
-        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
-        .select("unit", "rep", "copies", "n", F.col("prefix")[0].alias("g"), "prefix")
+        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("n_shingles").alias("n"), F.min("g").alias("g"))
+    )
+    slim = written(slim, "jaccard-units")
+    groups = written(
+        slim.groupBy("g").agg(F.count("*").alias("members"), F.min("n").alias("low"), F.max("n").alias("high"), F.sum("n").alias("weight")),
+        "jaccard-groups",
     )
-    units = written(units, "jaccard-units")
-    slim = units.drop("prefix")
-    groups = written(slim.groupBy("g").agg(F.count("*").alias("members"), F.min("n").alias("low"), F.max("n").alias("high")), "jaccard-groups")
     matrix = (
-        units.select(F.explode("prefix").alias("token"), "g")
+        rows.where("doc_id IS NOT NULL")
+        .select("text")
+        .mapInArrow(prefixes, "token long, g long")
         .repartition(partitions(spark), "token")
         .sortWithinPartitions("token", "g")
     )
@@ -224,45 +246,85 @@ def jaccard_components(documents: DataFrame, size: int = 5, one_in: int = 16, bl
         .where(F.col("m.shared") >= F.least(least("a", "b"), least("b", "a")) - 1e-6)
         .select(F.col("m.g").alias("g"), F.col("m.h").alias("h"), F.col("a.members").alias("of_g"), F.col("b.members").alias("of_h"))
     )
-    own = groups.where("members > 1").select("g", F.col("g").alias("h"), F.col("members").alias("of_g"), F.col("members").alias("of_h"))
+    opened = written(opened, "jaccard-opened")
+    # Groups that open each other, directly or not, form a circle. A circle of up to ``table``
+    # shingles is one block; a larger one falls apart into stars, each group with
+    # its most connected neighbour, and what is opened across stars is compared pair by pair.
+    circle = components(opened.select(F.col("g").alias("a"), F.col("h").alias("b"))).withColumnRenamed("vertex", "g")
+    circled = groups.join(circle, "g", "left").withColumn("circle", F.coalesce("component", "g")).drop("component")
+    whole = circled.groupBy("circle").agg(F.sum("members").alias("all_members"), F.sum("weight").alias("all_weight"))
+    circled = circled.join(whole.where("all_members > 1"), "circle")
+    circled = written(circled.withColumn("whole", F.col("all_weight") <= table).drop("all_members", "all_weight"), "jaccard-circles")
+    apart = circled.where("NOT whole").drop("circle", "whole")
+    edges = opened.join(apart.select("g"), "g").select("g", "h")
+    edges = edges.union(edges.select("h", "g")).union(apart.select("g", "g"))
+    degree = edges.groupBy("g").agg(F.count("*").alias("degree"))
+    star = edges.join(degree.select(F.col("g").alias("h"), "degree"), "h")
+    star = star.groupBy("g").agg(F.max(F.struct("degree", "h")).alias("m")).select("g", F.col("m.h").alias("star"))
+    apart = written(apart.join(star, "g"), "jaccard-stars")
+    light = apart.groupBy("star").agg(F.sum("weight").alias("w")).select("star", (F.col("w") <= table).alias("light"))
+    apart = apart.join(light, "star")
+    # A star of more shingles than a block holds is compared pair by pair as well.
+    apart = apart.withColumn("star", F.when(F.col("light"), F.col("star"))).drop("light")
+    own = apart.where("star IS NULL AND members > 1").select(
+        "g", F.col("g").alias("h"), F.col("members").alias("of_g"), F.col("members").alias("of_h")
+    )
+    across = opened.join(apart.select("g", F.col("star").alias("s")), "g").join(
+        apart.select(F.col("g").alias("h"), F.col("star").alias("t")), "h"
+    )
+    across = across.where("NOT coalesce(s = t, false)").select("g", "h", "of_g", "of_h")
 
     def blocks(members):
         return F.ceil(members / block)
 
-    opened = opened.unionByName(own).select(
-        "g", "h", F.explode(F.sequence(F.lit(0), blocks(F.col("of_g")).cast("int") - 1)).alias("i"), "of_h"
-    ).select("g", "h", "i", F.explode(F.sequence(F.lit(0), blocks(F.col("of_h")).cast("int") - 1)).alias("j"))
-    opened = written(opened.where("g <> h OR i <= j"), "jaccard-opened")
-    placed = slim.join(groups.select("g", "members"), "g").select(
+    def places(members):
+        return F.explode(F.sequence(F.lit(0), blocks(F.col(members)).cast("int") - 1))
+
+    large = across.unionByName(own)
+    large = large.select("g", "h", places("of_g").alias("i"), "of_h").select("g", "h", "i", places("of_h").alias("j"))
+    large = written(large.where("g <> h OR i <= j"), "jaccard-blocks")
+    placed = slim.join(apart.select("g", "members"), "g").select(
         "unit", "rep", "g", F.pmod(F.hash("unit"), blocks(F.col("members")).cast("int")).alias("i")
     )
     alike = F.expr("g = h AND i = j")
-    asked = opened.join(placed, ["g", "i"]).select("g", "h", "i", "j", "unit", "rep", F.when(alike, 2).otherwise(0).alias("side"))
+    asked = large.join(placed, ["g", "i"]).select("g", "h", "i", "j", "unit", "rep", F.when(alike, 2).otherwise(0).alias("side"))
     asking = (
-        opened.where(~alike)
+        large.where(~alike)
         .join(placed.select(F.col("g").alias("h"), F.col("i").alias("j"), "unit", "rep"), ["h", "j"])
         .select("g", "h", "i", "j", "unit", "rep", F.lit(1).alias("side"))
     )
-    seats = written(asked.unionByName(asking), "jaccard-seats")
-    wanted = seats.select("unit", F.col("rep").alias("doc_id")).distinct()
+    round_table = circled.where("whole").select("g", "circle", F.lit(-1).alias("kind")).union(
+        apart.where("star IS NOT NULL").select("g", "star", F.lit(-2))
+    )
+    round_table = slim.join(round_table, "g").select(
+        F.col("circle").alias("g"), F.col("circle").alias("h"), F.col("kind").alias("i"), F.col("kind").alias("j"), "unit", "rep", F.lit(2).alias("side")
+    )
+    seats = asked.unionByName(asking).unionByName(round_table)
+    seats = seats.groupBy("unit", F.col("rep").alias("doc_id")).agg(F.collect_list(F.struct("g", "h", "i", "j", "side")).alias("seats"))
+    seats = written(seats, "jaccard-seats")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s.tobytes() for s in _sets(batch.column(1), size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["unit", "tokens"])
-
-    # Rows of one id may differ: the unit of the text itself decides.
-    chosen = described.join(wanted, ["doc_id", "unit"]).select("doc_id", "unit", "n_shingles").distinct()
-    spelled = written(
-        rows.join(chosen, "doc_id").select("unit", "text").mapInArrow(spell, "unit long, tokens binary").dropDuplicates(["unit"]),
-        "jaccard-spelled",
-    )
+            sets = list(_sets(batch.column(2), size))
+            # Rows of one id may differ: only a text of this very unit counts.
+            same = [_unit(own) == unit for own, unit in zip(sets, batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.select([0, 3]).filter(pa.array(same)).columns,
+                    pa.array([own.tobytes() for own, ok in zip(sets, same, strict=True) if ok], pa.binary()),
+                ],
+                ["rep", "seats", "tokens"],
+            )
+
     task = ["g", "h", "i", "j"]
     dealt = (
-        seats.join(spelled, "unit")
-        .select(*task, "side", "rep", "tokens")
+        rows.join(seats, "doc_id")
+        .select("doc_id", "unit", "text", "seats")
+        .mapInArrow(spell, "rep long, seats array<struct<g:bigint,h:bigint,i:int,j:int,side:int>>, tokens binary")
+        .select("rep", "tokens", F.explode("seats").alias("s"))
+        .select(*[f"s.{k}" for k in task], "s.side", "rep", "tokens")
         .repartition(partitions(spark), *task)
-        .sortWithinPartitions(*task)
+        .sortWithinPartitions(*task, "side", "rep")
     )
     found = written(dealt.mapInArrow(_compare, "a long, b long, links long"), "jaccard-links")
     links = found.where("b IS NULL")
@@ -305,6 +367,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if key is not None:
                     yield finished()
                 key, units, sides, sets = now, [], [], []
+            if units and units[-1] == rep and sides[-1] == side:  # a repeated row
+                continue
             units.append(rep)
             sides.append(side)
             sets.append(np.frombuffer(blob, np.uint64))

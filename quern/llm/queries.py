@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quern.llm import (
     bpe_transducer,
+    brown_lm,
+    embedding_join,
     fingerprints,
     jaccard_join,
     language_id,
@@ -41,10 +43,19 @@ def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, folder, "documents"))
 
 
+def op5_brown_lm(spark: SparkSession, folder: str) -> DataFrame:
+    training = "crc32(cast(coalesce(cast(doc_id as string), '') as binary)) % 7 <> 2"
+    return brown_lm.score(table(spark, folder, "documents"), training)
+
+
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_transducer.round_trip(table(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def op7_embedding_join(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_join.near_components(table(spark, folder, "embeddings"))
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return secret_scan.digest(secret_scan.scan(documents, secret_scan.fit(documents)))
@@ -63,8 +74,8 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_line_dedup, op2_fingerprints, op3_language_id, op4_jaccard_join, op6_byte_bpe, op8_secret_scan,
-        op9_mixture_packing, op10_token_files,
+        op1_line_dedup, op2_fingerprints, op3_language_id, op4_jaccard_join, op5_brown_lm, op6_byte_bpe,
+        op7_embedding_join, op8_secret_scan, op9_mixture_packing, op10_token_files,
     )
 }
 #: SQL has no models, tokenizers, sketches or reachability; the tests use brute force instead.
