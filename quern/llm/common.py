@@ -42,6 +42,15 @@ def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def plain(df: DataFrame, *made: str) -> tuple[DataFrame, list[str]]:
+    """``df`` under the names c0, c1, ... and its own names; columns called like ``made`` (any case) are left out.
+
+    Operators that carry all columns along work on such a frame, so that no name can clash.
+    """
+    kept = [i for i, name in enumerate(df.columns) if name.lower() not in made]
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).select(*[f"c{i}" for i in kept]), [df.columns[i] for i in kept]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quern.llm.common import prepare, text_slices
+from quern.llm.common import plain, prepare, text_slices
 from quern.llm.words import raw
 
 BINS = 4096
@@ -176,8 +176,8 @@ def identify(documents: DataFrame, model: Model | None, lead: float = 0.2) -> Da
     """
     prepare(documents.sparkSession)
     made = ("lang_pred", "score", "ambiguous")
-    rows = documents.select(*[c for c in documents.columns if c not in made])
-    at = rows.columns.index("text")
+    rows, names = plain(documents, *made)
+    at = names.index("text")
     schema = StructType(list(rows.schema.fields))
     for name, kind in zip(made, ("string", "double", "boolean"), strict=True):
         schema = schema.add(name, kind)
@@ -189,11 +189,11 @@ def identify(documents: DataFrame, model: Model | None, lead: float = 0.2) -> Da
             if model is None:
                 lettered[:] = False
                 best, score, gap = (np.zeros(len(batch)) for _ in range(3))
-                names = [UNDETERMINED]
+                spoken = [UNDETERMINED]
             else:
                 best, score, gap = model.predict(features(text))
-                names = model.languages
-            said = [names[int(k)] if ok else UNDETERMINED for k, ok in zip(best, lettered, strict=True)]
+                spoken = model.languages
+            said = [spoken[int(k)] if ok else UNDETERMINED for k, ok in zip(best, lettered, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,
@@ -204,4 +204,4 @@ def identify(documents: DataFrame, model: Model | None, lead: float = 0.2) -> Da
                 [*batch.schema.names, *made],
             )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).toDF(*names, *made)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quern.llm.common import prepare, text_slices, written
+from quern.llm.common import plain, prepare, text_slices, written
 from quern.llm.words import hashed_words, mixed, raw, span_hashes
 
 
@@ -79,11 +79,11 @@ def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def dedup_lines(documents: DataFrame, window: int = 2, modulus: int = 3, long_line: int = 50) -> DataFrame:
     """All columns of ``documents``, text without repeated chunks, and n_removed (chunks taken out).
 
-    An n_chars column follows the text. A column called n_removed is replaced.
+    A whole-number n_chars column follows the text. A column called n_removed is replaced.
     """
     prepare(documents.sparkSession)
-    rows = documents.select(*[c for c in documents.columns if c != "n_removed"])
-    at = rows.columns.index("text")
+    rows, given = plain(documents, "n_removed")
+    at, doc_id = given.index("text"), f"c{documents.columns.index('doc_id')}"
     kind = pa.list_(pa.struct([("hash", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
     others = [f for i, f in enumerate(rows.schema.fields) if i != at]
     added = StructType.fromDDL(
@@ -111,7 +111,7 @@ def dedup_lines(documents: DataFrame, window: int = 2, modulus: int = 3, long_li
             yield pa.RecordBatch.from_arrays([*kept, ids, pa.array(blobs, pa.binary()), pa.array(lists, kind)], packed.names)
 
     held = written(rows.mapInArrow(cut, packed), "line-dedup-texts", compression="uncompressed")
-    places = held.select("_row", F.col("doc_id").cast("long").alias("id"), F.explode("_chunks").alias("c"))
+    places = held.select("_row", F.col(doc_id).cast("long").alias("id"), F.explode("_chunks").alias("c"))
     places = places.select("_row", "id", "c.*")
     repeated = places.groupBy("hash").count().where("count > 1").select("hash")
     suspects = places.join(repeated, "hash").groupBy("_row").agg(
@@ -151,7 +151,9 @@ def dedup_lines(documents: DataFrame, window: int = 2, modulus: int = 3, long_li
     )
     schema = StructType(list(rows.schema.fields)).add("n_removed", "integer")
     names = [f.name for f in others]
-    has_length = "n_chars" in names
+    length = f"c{documents.columns.index('n_chars')}" if "n_chars" in given else None
+    if length and rows.schema[length].dataType.simpleString() not in ("bigint", "int"):
+        length = None
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -167,12 +169,12 @@ def dedup_lines(documents: DataFrame, window: int = 2, modulus: int = 3, long_li
                 texts.append(None if text is None else text.decode())
                 removed.append(len(spans or ()))
             columns = list(batch.columns[: len(names)])
-            if has_length:
-                k = names.index("n_chars")
+            if length:
+                k = names.index(length)
                 old = columns[k].to_pylist()
                 new = [len(t) if n else o for t, n, o in zip(texts, removed, old, strict=True)]
                 columns[k] = pa.array(new, columns[k].type)
             columns.insert(at, pa.array(texts, pa.string()))
             yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int32())], schema.names)
 
-    return held.drop("_chunks").join(gone, "_row", "left").select(*names, "_packed", "_gone").mapInArrow(apply, schema)
+    return held.drop("_chunks").join(gone, "_row", "left").select(*names, "_packed", "_gone").mapInArrow(apply, schema).toDF(*given, "n_removed")
