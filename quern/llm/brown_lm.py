@@ -30,7 +30,7 @@ from quern.llm.words import Words, hashed_words
 
 ENDINGS = 512
 #: Distinct keys a task gathers before it hands them on.
-_HELD = 1_000_000
+_HELD = 400_000
 
 
 @dataclass
