@@ -56,10 +56,6 @@ def right_closed_bin(
     return expression
 
 
-def count_true(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def safe_share(part: Column, whole: Column) -> Column:
     """part / whole, 0 when there is nothing to divide by."""
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))

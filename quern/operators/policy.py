@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from quern.functions.ordered import even_probabilities, exact_quantiles, with_range
 from quern.functions.scalar import safe_share
-from quern.functions.sizing import sized
 from quern.operators.features import day_index
 from quern.sources.literal import inline_table
 
@@ -83,7 +82,7 @@ def review_policy(scored: DataFrame, threshold: float, costs: Costs) -> DataFram
     """Add ``review``: eligible and among the day's best rows.
 
     Only the last accepted row of each day goes back to the data (one row a day), and
-    each row compares itself with it; the scored rows are not shuffled.
+    each row compares itself with it. Spark sees that side's true size when it has run.
     """
     valued = with_value(scored, costs, threshold)
     sort_key = F.struct(
@@ -91,7 +90,7 @@ def review_policy(scored: DataFrame, threshold: float, costs: Costs) -> DataFram
         (-F.col("probability")).alias("p"),
         F.col("source_row_number").alias("r"),
     )
-    cutoffs = sized(
+    cutoffs = (
         capacity_top_k(valued.select(*_RANKED_BY, "day_index", "eligible"), costs.capacity_per_day)
         .groupBy("day_index")
         .agg(F.max(sort_key).alias("_cutoff"))

@@ -97,23 +97,23 @@ def pearson_test(
 
 def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
     """F test of equal means over all groups; missing values are left out."""
+    present = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
+    # One number, told beforehand: a difference of two huge sums of squares would lose all digits.
+    mean = present.agg(F.avg(value)).first()[0]
     groups = (
-        df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
-        .groupBy(group)
+        present.groupBy(group)
         .agg(
             F.count(value).alias("n"),
             F.avg(value).alias("m"),
             F.var_pop(value).alias("v"),
         )
     )
-    grand = F.sum(F.col("n") * F.col("m")) / F.sum("n")
+    apart = F.col("m") - F.lit(mean)
     pooled = groups.agg(
         F.count("*").alias("k"),
         F.sum("n").alias("n"),
         F.sum(F.col("n") * F.col("v")).alias("ss_within"),
-        (F.sum(F.col("n") * F.col("m") * F.col("m")) - F.sum("n") * grand * grand).alias(
-            "ss_between"
-        ),
+        F.sum(F.col("n") * apart * apart).alias("ss_between"),
     )
     return (
         pooled.withColumn("df_between", F.col("k") - 1)

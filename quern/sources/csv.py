@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.scalar import nan_to_null
-from quern.functions.sizing import sized
 
 _CORRUPT = "_corrupt_record"
 
@@ -20,13 +20,38 @@ def scan_csv_typed(
     path: str,
     schema: T.StructType | str,
     columns: Sequence[str] | None = None,
-    max_rows: int | None = None,
 ) -> DataFrame:
-    """CSV with declared types; only the wanted columns are parsed."""
-    df = spark.read.schema(schema).option("header", True).csv(path)
-    if columns:
-        df = df.select(*columns)
-    return nan_to_null(df if max_rows is None else df.limit(max_rows))
+    """CSV with declared types; only the wanted columns are parsed.
+
+    Columns are found by each file's own header, so files may differ in order and extra columns;
+    a declared and wanted column that a file lacks is an error. A value that is not of its type is NULL.
+    """
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    wanted = [f for f in declared.fields if columns is None or f.name in columns]
+    wanted.sort(key=lambda f: list(columns).index(f.name) if columns else 0)
+    types = {f.name: f.dataType.simpleString() for f in wanted}
+    parts = [_typed(spark, files, types) for files in files_by_header(spark, path).values()]
+    if not parts:
+        return spark.createDataFrame([], T.StructType(wanted))
+    return nan_to_null(reduce(DataFrame.unionByName, parts))
+
+
+def files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """First line to the files that begin with it; only first lines are read."""
+    found: dict[str, list[str]] = {}
+    listed = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0").collect()
+    for file in sorted(row["path"] for row in listed):
+        found.setdefault(spark.read.text(file).head()["value"], []).append(file)
+    return found
+
+
+def _typed(spark: SparkSession, paths: str | list[str], types: Mapping[str, str]) -> DataFrame:
+    """Files of one header as columns of these types, in this order."""
+    raw = spark.read.option("header", True).csv(paths)
+    missing = sorted(set(types) - set(raw.columns))
+    if missing:
+        raise ValueError(f"{paths} lacks the columns {missing}")
+    return raw.select(*[F.expr(f"try_cast(`{c}` AS {t})").alias(c) for c, t in types.items()])
 
 
 def scan_csv_inferred(spark: SparkSession, path: str, null_value: str = "") -> DataFrame:
@@ -70,15 +95,9 @@ def scan_csv_yearly_union(
     """
     union = None
     for year, path in sorted(paths.items()):
-        raw = spark.read.option("header", True).csv(path)
-        missing = sorted(set(columns) - set(raw.columns))
-        if missing:
-            raise ValueError(f"{path} lacks the columns {missing}")
-        part = raw.select(
-            *[F.expr(f"try_cast(`{c}` AS {t})").alias(c) for c, t in columns.items()],
-            F.lit(year).alias("year"),
-        )
-        union = part if union is None else union.unionByName(part)
+        for files in files_by_header(spark, path).values():
+            part = _typed(spark, files, columns).withColumn("year", F.lit(year))
+            union = part if union is None else union.unionByName(part)
     if union is None:
         raise ValueError("At least one year is required.")
     return union
@@ -91,8 +110,8 @@ def with_line_number(
 
     ``file_name`` adds the file under that name. ``df`` must come straight from a CSV scan. Rows of one file split are read in order,
     so a row is its split's first line plus its place in the split; one count per split
-    gives the first lines. Nothing is shuffled but those counts: a terabyte is some eight
-    thousand splits, and the rows stay in place while there are at most two million.
+    gives the first lines. Those counts are few (a terabyte is some eight thousand splits);
+    Spark sees their size and decides whether the rows can stay in place.
     """
     block = {
         "_file": F.col("_metadata.file_path"),
@@ -109,13 +128,10 @@ def with_line_number(
         .orderBy("_start")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = sized(
-        splits.select(
-            "_file",
-            "_start",
-            (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
-        ),
-        broadcast_rows=2_000_000,
+    offsets = splits.select(
+        "_file",
+        "_start",
+        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
     return placed.join(offsets, ["_file", "_start"]).select(
         (F.col("_place") + F.col("_shift") + 2).alias(name),

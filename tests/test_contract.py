@@ -94,3 +94,29 @@ def test_features_of_the_four_rows(spark):
         features.leakage_guard([*features.MODEL_FEATURES, "new_balance_orig"])
     with pytest.raises(ValueError, match="missing columns"):
         features.decision_time_features(accepted.drop("type"))
+
+
+def test_fingerprints_tell_rows_apart(spark):
+    made = [(1, 1.001, "p", "q|r"), (2, 1.004, "p", "q|r"), (3, 1.001, "p|q", "r"), (4, 1e19, None, "N"), (5, 1e19, "N", None),
+            (6, 0.0, "1:a", ""), (7, -0.0, "1:a", ""), (8, 0.0, "~", None)]
+    df = spark.createDataFrame(made, "source_row_number long, v double, a string, b string")
+    printed = contract.row_fingerprint(df, ["v", "a", "b"])
+    found = {r["source_row_number"]: r["row_fingerprint"] for r in printed.collect()}
+    assert found[6] == found[7] and len(set(found.values())) == 7
+    assert contract.duplicate_content_rows(printed).first()[0] == 1
+
+
+def test_patterns_end_with_the_text(spark):
+    df = spark.createDataFrame([("C1",), ("C1\n",), ("M2",)], "name_orig string")
+    rule = {"name_orig pattern": contract.ACCEPTED_CHECKS["name_orig pattern"]}
+    assert rows(contract.constraint_violations(df, rule)) == [("name_orig pattern", 2)]
+
+
+def test_replaced_files_are_read_anew(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for values in ([(2, "a"), (3, "a"), (4, "b")], [(2, "a"), (3, "b"), (4, "b")]):
+        spark.createDataFrame(values, "source_row_number long, v string").coalesce(1).write.mode("overwrite").parquet(path)
+        flagged = contract.duplicate_source_rows(spark.read.parquet(path), ["v"])
+        later = [k for k, v in values if any(w == v and j < k for j, w in values)]
+        assert rows(flagged.where("is_duplicate").select("source_row_number")) == [(k,) for k in later]
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()

@@ -29,10 +29,19 @@ def test_typed_scan(spark, tmp_path):
     path = write(tmp_path / "t", "id,v\n1,2.5\n2,NaN\n")
     df = csv.scan_csv_typed(spark, path, "id int, v double", ["v"])
     assert rows(df) == [(2.5,), (None,)]
-    assert csv.scan_csv_typed(spark, path, "id int, v double", max_rows=1).count() == 1
+    assert rows(csv.scan_csv_typed(spark, path, "v double, id int"), "id", "v") == [(1, 2.5), (2, None)]
     assert dict(csv.scan_csv_inferred(spark, path).dtypes) == {"id": "int", "v": "double"}
 
 
+def test_typed_scan_follows_each_header(spark, tmp_path):
+    path = write(tmp_path / "t", "b,a,x\n1,2,3\n")
+    (tmp_path / "t" / "c.csv").write_text("a,b\n5,6\n*,7\n")
+    df = csv.scan_csv_typed(spark, path, "a int, b int")
+    assert rows(df, "a", "b") == sorted([(2, 1), (5, 6), (None, 7)], key=str)
+    with pytest.raises(ValueError, match="lacks"):
+        csv.scan_csv_typed(spark, path, "a int, x int")
+
+
 def test_years_are_matched_by_header(spark, tmp_path):
     paths = {
         2019: write(tmp_path / "y1", "id,amount\n1,10\n"),

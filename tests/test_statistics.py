@@ -110,3 +110,13 @@ def test_zero_falls_out_of_the_first_band(spark):
     bands = lambda **o: [r["b"] for r in statistics.bin_right_closed(df, "h", "b", **o).collect()]
     assert bands() == [None, "Low", "Medium", "Very High", None]
     assert bands(include_lowest=True)[0] == "Low"
+
+
+def test_anova_far_from_zero(spark):
+    near = [(g, float((7 * i + 3 * g) % 11 + g)) for g in range(3) for i in range(40)]
+    found = []
+    for shift in (0.0, 1e9):
+        df = spark.createDataFrame([(g, v + shift) for g, v in near], "g int, v double")
+        found.append(statistics.anova_oneway(df, "g", "v").first())
+    assert found[1]["f"] == pytest.approx(found[0]["f"], rel=1e-5)
+    assert found[1]["p_value"] == pytest.approx(found[0]["p_value"], rel=1e-4)
