@@ -606,8 +606,8 @@ def _candidate(suffix: str, model: str) -> str:
 
 _CANDIDATES = {
     **_TWO,
-    **_suffixed({**_search_steps("scored", 51), **_curve("scored")}, "a"),
-    **_suffixed({**_search_steps("scored", 51, "score_b"), **_curve("scored", "score_b")}, "b"),
+    **_suffixed({**_search_steps("scored", 201), **_curve("scored")}, "a"),
+    **_suffixed({**_search_steps("scored", 201, "score_b"), **_curve("scored", "score_b")}, "b"),
     "candidates": f"SELECT * FROM ({_candidate('a', 'score_a')}) UNION ALL SELECT * FROM ({_candidate('b', 'score_b')})",
 }
 
@@ -615,7 +615,7 @@ _CANDIDATES = {
 def _candidates(b):
     scored = _scored(b)
     second = scored.withColumn("probability", F.expr(_SCORE_B))
-    table = scoring.candidate_comparison({"score_a": scored, "score_b": second}, COSTS, 51)
+    table = scoring.candidate_comparison({"score_a": scored, "score_b": second}, COSTS, 201)
     return rounded(table, special={"validation_policy_cost": 4, "selected_threshold": 9})
 
 
