@@ -5,7 +5,7 @@ unit. All shingles have one order: frequent ones (estimated on one text in ``one
 hash; the order decides only how fast the join is. A unit's prefix holds the shingles beyond which
 four fifths can no longer be reached: two linked units share a shingle of both prefixes.
 
-Units with the same first shingle form a group of similar ones. The matrix holds each group's
+Units with the same least hash and about the same size form a group of similar ones. The matrix holds each group's
 union of prefixes; two groups whose unions share fewer shingles than any of their members would need
 to link are never opened. Groups that open each other meet in one block, or, where their sets
 are too large for one, pair by pair in blocks of about ``block`` units a side: a query whose shingles in the block's union are fewer than four fifths of its
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import partitions, prepare, text_slices, written
 from quern.llm.components import components
-from quern.llm.words import hashed_shingles, hashed_words
+from quern.llm.words import hashed_shingles, hashed_words, mixed
 
 #: At most so many frequent shingles are told to all tasks (8 bytes each).
 FREQUENT = 100_000
@@ -56,6 +56,22 @@ def _prefix(own: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return own[: len(own) - (4 * len(own) + 4) // 5 + (len(own) > 0)].view(np.int64)
 
 
+def _group(own: np.ndarray, frequent: np.ndarray) -> int | None:
+    """A name shared by similar sets of about the same size.
+
+    A set of mostly frequent shingles is one of many copies: its least frequent-shingle hash
+    names it. Any other is named by its least hash among the rest, which no common passage shares.
+    """
+    if not len(own):
+        return None
+    late = np.zeros(len(own), bool)
+    if len(frequent):
+        late = frequent[np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)] == own
+    chosen = own[late] if 2 * late.sum() >= len(own) else own[~late]
+    size = int(np.log(len(own)) / np.log(1.1))
+    return int(mixed(chosen[:1] + np.uint64(size * 0x9E3779B97F4A7C15 % 2**64)).view(np.int64)[0])
+
+
 def _frequent(rows: DataFrame, size: int, one_in: int) -> np.ndarray:
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,16 +203,16 @@ def jaccard_components(
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = frequent.value
         for batch in batches:
-            found = [(len(own), _unit(own), _prefix(own, late)[:1].tolist() or [None]) for own in _sets(batch.column(1), size)]
+            found = [(len(own), _unit(own), _group(own, late)) for own in _sets(batch.column(1), size)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)), pa.array([f[2][0] for f in found], pa.int64())],
+                [batch.column(0), *(pa.array([f[k] for f in found], pa.int64()) for k in range(3))],
                 ["doc_id", "n_shingles", "unit", "g"],
             )
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late, seen = frequent.value, set()
         for batch in batches:
-            tokens, count = [], []
+            tokens, groups = [], []
             for own in _sets(batch.column(0), size):
                 unit = _unit(own)
                 if unit is None or unit in seen:  # copies within the task
@@ -205,10 +221,9 @@ def jaccard_components(
                     seen.clear()
                 seen.add(unit)
                 tokens.append(_prefix(own, late))
-                count.append(len(tokens[-1]))
+                groups.append(np.full(len(tokens[-1]), _group(own, late)))
             if tokens:
-                group = np.repeat([t[0] for t in tokens], count)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(group)], ["token", "g"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, groups)], ["token", "g"])
 
     described = written(rows.mapInArrow(describe, "doc_id long, n_shingles long, unit long, g long"), "jaccard-sets")
     slim = (
