@@ -155,7 +155,7 @@ def evaluate_policy(reviewed: DataFrame, costs: Costs) -> DataFrame:
 def candidate_thresholds(scored: DataFrame, grid_size: int = 201) -> list[float]:
     """Sorted union of even thresholds and score quantiles, at most 2 * grid_size numbers."""
     if grid_size < 3:
-        raise ValueError("grid_size must be at least 3.")
+        raise ValueError("A threshold grid has three points or more.")
     even = even_probabilities(grid_size - 1)
     return sorted({*even, *exact_quantiles(scored, "probability", even)})
 

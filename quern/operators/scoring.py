@@ -211,5 +211,5 @@ def candidate_comparison(
         )
         table = best if table is None else table.unionByName(best)
     if table is None:
-        raise ValueError("At least one candidate is required.")
+        raise ValueError("There is nothing to compare without a candidate.")
     return table.orderBy("validation_policy_cost", F.desc("validation_pr_auc"))

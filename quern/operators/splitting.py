@@ -63,7 +63,7 @@ def split_boundaries(
         df, step, train=train, validation=F.least(F.greatest(train + 1, both), n - 2)
     )
     if marks["n"] < 3:
-        raise ValueError("At least three distinct time steps are required.")
+        raise ValueError("Three parts need three different time steps.")
     if marks["validation"] <= marks["train"]:
         raise ValueError("The fractions leave an empty part.")
     return Boundaries(int(marks["train"]), int(marks["validation"]))

@@ -52,9 +52,14 @@ def sink_parquet_parts(df: DataFrame, folder: str, overwrite: bool = False) -> N
     df.write.mode("overwrite" if overwrite else "errorifexists").parquet(folder)
 
 
-def sink_csv_result(df: DataFrame, folder: str) -> None:
-    """Write one small result as one CSV part with a header."""
-    df.coalesce(1).write.mode("errorifexists").option("header", True).csv(folder)
+def sink_csv_result(df: DataFrame, folder: str, order: Sequence[str] = ()) -> None:
+    """Write one small result as one CSV part with a header, sorted by ``order``.
+
+    Only the finished rows meet in one task.
+    """
+    one = df.repartition(1)
+    one = one.sortWithinPartitions(*order) if order else one
+    one.write.mode("errorifexists").option("header", True).csv(folder)
 
 
 def sink_json_metrics(df: DataFrame, folder: str) -> None:
