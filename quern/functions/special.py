@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _TINY = 1e-300
-_STEPS = 10_000
+#: A fraction or series that needs more terms is an error, not an answer.
+_STEPS = 1_000_000
 
 
 def _lentz(coefficients, start: float) -> float:
@@ -25,17 +26,32 @@ def _lentz(coefficients, start: float) -> float:
         d = 1.0 / ((b + a * d) or _TINY)
         c = (b + a / c) or _TINY
         value *= c * d
-        if abs(c * d - 1.0) < 1e-16:
-            break
-    return value
-
-
-def beta_tail(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function I_x(a, b)."""
-    if x <= 0.0 or x >= 1.0:
-        return float(x >= 1.0)
+        if abs(c * d - 1.0) < 3e-16:
+            return value
+    raise ArithmeticError("A tail probability did not converge.")
+
+
+def _log_beta(a: float, b: float) -> float:
+    """Logarithm of the beta function, without differences of large numbers."""
+    large, small = max(a, b), min(a, b)
+    if large < 1e4:
+        return math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
+    # Stirling's series of both large terms, subtracted term by term.
+    total = large + small
+    ratio = (large - 0.5) * math.log1p(small / large) + small * math.log(total) - small
+    return math.lgamma(small) - ratio - (1 / total - 1 / large) / 12
+
+
+def beta_tail(a: float, b: float, x: float, rest: float | None = None) -> float:
+    """Regularised incomplete beta function I_x(a, b); ``rest`` is 1 - x where known exactly."""
+    rest = 1.0 - x if rest is None else rest
+    if x <= 0.0 or rest <= 0.0:
+        return float(rest <= 0.0)
+    if a > 1e6 and a > 1e4 * b:
+        # Beside so large a parameter the gamma distribution is exact to 1e-11; the fraction is not.
+        return gamma_tail(b, -(a + (b - 1.0) / 2.0) * (math.log(x) if x < 0.5 else math.log1p(-rest)))
     if x > (a + 1.0) / (a + b + 2.0):
-        return 1.0 - beta_tail(b, a, 1.0 - x)
+        return 1.0 - beta_tail(b, a, rest, x)
 
     def terms():
         for step in range(1, _STEPS):
@@ -49,10 +65,9 @@ def beta_tail(a: float, b: float, x: float) -> float:
                 m = half
                 yield m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), 1.0
 
-    log_front = (
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-        + a * math.log(x) + b * math.log1p(-x)
-    )
+    log_x = math.log(x) if x < 0.5 else math.log1p(-rest)
+    log_rest = math.log(rest) if rest < 0.5 else math.log1p(-x)
+    log_front = a * log_x + b * log_rest - _log_beta(a, b)
     return math.exp(log_front) / a * _lentz(terms(), 0.0)
 
 
@@ -67,8 +82,8 @@ def gamma_tail(a: float, x: float) -> float:
             term *= x / (a + n)
             total += term
             if term < total * 1e-17:
-                break
-        return 1.0 - math.exp(log_front) * total
+                return 1.0 - math.exp(log_front) * total
+        raise ArithmeticError("A tail probability did not converge.")
 
     def terms():
         yield 1.0, x + 1.0 - a
@@ -79,11 +94,11 @@ def gamma_tail(a: float, x: float) -> float:
 
 
 def t_two_sided(t: float, df: float) -> float:
-    return beta_tail(df / 2.0, 0.5, df / (df + t * t))
+    return beta_tail(df / 2.0, 0.5, df / (df + t * t), t * t / (df + t * t))
 
 
 def f_upper(f: float, df1: float, df2: float) -> float:
-    return beta_tail(df2 / 2.0, df1 / 2.0, df2 / (df2 + df1 * f))
+    return beta_tail(df2 / 2.0, df1 / 2.0, df2 / (df2 + df1 * f), df1 * f / (df2 + df1 * f))
 
 
 def chi2_upper(x: float, df: float) -> float:

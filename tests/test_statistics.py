@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +121,11 @@ def test_anova_far_from_zero(spark):
         found.append(statistics.anova_oneway(df, "g", "v").first())
     assert found[1]["f"] == pytest.approx(found[0]["f"], rel=1e-5)
     assert found[1]["p_value"] == pytest.approx(found[0]["p_value"], rel=1e-4)
+
+
+@pytest.mark.parametrize("t", [0.5, 1.0, 3.0, 12.0])
+def test_tails_of_many_rows(t):
+    normal = math.erfc(t / math.sqrt(2))
+    assert special.t_two_sided(t, 1e12) == pytest.approx(normal, rel=1e-8)
+    assert special.t_two_sided(t, 2.1e6) == pytest.approx(special.t_two_sided(t, 1.9e6), rel=2e-3)
+    assert special.f_upper(t, 2, 1e12) == pytest.approx(math.exp(-t), rel=1e-9)
