@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import prepare, text_slices, written
+from quern.llm.common import most_frequent, prepare, text_slices, written
 from quern.llm.words import Words, hashed_words
 
 ENDINGS = 512
@@ -115,23 +115,6 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     return written(made.groupBy("word").agg(F.max("ending").alias("ending"), F.sum("n").alias("n")), "brown-counts")
 
 
-def _most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Every word that occurs so often that at most ``most`` do: a threshold, not a cut among equals."""
-    scale = F.when(F.col("n") < 4096, F.col("n")).otherwise(F.floor(F.log2("n") * 64) + 4096 - 12 * 64)
-    steps = sorted(((r["s"], r["c"], r["least"]) for r in counts.groupBy(scale.alias("s")).agg(
-        F.count("*").alias("c"), F.min("n").alias("least")).collect()), reverse=True)
-    total, least = 0, None
-    for _, count, low in steps:
-        if total + count > most:
-            break
-        total, least = total + count, low
-    if least is None:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    found = counts.where(F.col("n") >= least).select("word", "n").toPandas()
-    order = np.argsort(found["word"].to_numpy().view(np.uint64))
-    return found["word"].to_numpy()[order], found["n"].to_numpy()[order]
-
-
 def _units(words: Words, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at, known = vocabulary.find(words.hashes)
     unit = np.where(known, vocabulary.unit[at] if len(vocabulary.unit) else -1, -1)
@@ -289,7 +272,7 @@ def score(
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     ends = learned.count()
     tokens, known_types = totals[0] + ends, totals[1] + (ends > 0)
-    top, top_count = _most_frequent(counts, frequent)
+    top, top_count = most_frequent(counts, frequent)
     chosen = np.lexsort((top, -top_count))[:words]
     unit = np.full(len(top), -1)
     unit[chosen] = np.arange(len(chosen))

@@ -88,6 +88,26 @@ def range_of(column: str | Column, cuts: list) -> Column:
     return F.when(value.isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), step))
 
 
+def most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every word (by hash) of ``counts`` (word, n) that occurs so often that at most ``most`` do.
+
+    A threshold, found from a histogram, not a cut among equals: only what is returned reaches the driver.
+    """
+    scale = F.when(F.col("n") < 4096, F.col("n")).otherwise(F.floor(F.log2("n") * 64) + 4096 - 12 * 64)
+    steps = sorted(((r["s"], r["c"], r["least"]) for r in counts.groupBy(scale.alias("s")).agg(
+        F.count("*").alias("c"), F.min("n").alias("least")).collect()), reverse=True)
+    total, least = 0, None
+    for _, count, low in steps:
+        if total + count > most:
+            break
+        total, least = total + count, low
+    if least is None:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    found = counts.where(F.col("n") >= least).select("word", "n").toPandas()
+    order = np.argsort(found["word"].to_numpy().view(np.uint64))
+    return found["word"].to_numpy()[order], found["n"].to_numpy()[order]
+
+
 def text_slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column of about ``most`` bytes, one row at least."""
     places = raw(column)[1]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import partitions, prepare, text_slices, written
+from quern.llm.common import most_frequent, partitions, prepare, text_slices, written
 from quern.llm.components import components
 from quern.llm.words import hashed_shingles, hashed_words, mixed
 
@@ -77,12 +77,11 @@ def _frequent(rows: DataFrame, size: int, one_in: int) -> np.ndarray:
         for batch in batches:
             sets = list(_sets(batch.column(0), size))
             if sets:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["token"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["word"])
 
     sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0).select("text")
-    count = sample.mapInArrow(spread, "token long").groupBy("token").count().where("count > 2")
-    top = count.orderBy(F.desc("count"), "token").limit(FREQUENT).collect()
-    return np.sort(np.array([r["token"] for r in top], np.int64).view(np.uint64))
+    count = sample.mapInArrow(spread, "word long").groupBy("word").agg(F.count("*").alias("n")).where("n > 2")
+    return most_frequent(written(count, "jaccard-frequent"), FREQUENT)[0].view(np.uint64)
 
 
 def _pairs_of_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
