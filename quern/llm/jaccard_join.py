@@ -332,7 +332,8 @@ def jaccard_components(
 
     task = ["g", "h", "i", "j"]
     dealt = (
-        rows.join(seats, "doc_id")
+        # Texts are always dealt by id: a plan that broadcasts small tables would say nothing of large ones.
+        rows.join(seats.hint("merge"), "doc_id")
         .select("doc_id", "unit", "text", "seats")
         .mapInArrow(spell, "rep long, seats array<struct<g:bigint,h:bigint,i:int,j:int,side:int>>, tokens binary")
         .select("rep", "tokens", F.explode("seats").alias("s"))
