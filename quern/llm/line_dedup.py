@@ -1,14 +1,15 @@
-"""Line dedup: repeated chunks of lines are removed from all but their first place.
+"""Line dedup: repeated runs of lines are removed from all but their first place.
 
-A text's lines are cut into chunks where a rolling hash over ``window`` line hashes is 0 modulo
-``modulus``, so that inserted lines move no boundary beyond their neighbourhood. A line of
-``long_line`` words or more is a chunk of its own. Chunks of at least two lines, or of that many
-words, can repeat. Hashes only name suspects; what is removed was compared byte by byte with the
-first occurrence (least doc_id, null last; then table order; then place). Texts travel packed.
+Every run of two lines with a word in it is a seed, and so is every line of ``long_line`` words or
+more, and every line with words up to the next such line where empty lines lie between. A longer
+run repeats exactly where all its seeds do, so it is removed whole, edges included, wherever the
+lines around it differ. Hashes only name suspects; what is removed was compared byte by byte with
+the first occurrence (least doc_id, null last; then table order; then place). A repeat that
+overlaps its own first place loses only the lines behind that place. Texts travel packed.
 
 Texts without lines to remove stay as they are, null included. A text of which
 everything was removed becomes empty. Repeated rows count as separate documents, so the
-later ones lose their chunks.
+later ones lose their lines. The first place of every line stays.
 """
 
 from __future__ import annotations
@@ -23,11 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quern.llm.common import plain, prepare, text_slices, written
-from quern.llm.words import hashed_words, mixed, raw, span_hashes
+from quern.llm.words import hashed_words, raw, span_hashes
 
 
-def chunks(column: pa.Array, window: int = 2, modulus: int = 3, long_line: int = 50):
-    """(text, start, end, hash) arrays of the chunks that can repeat; places in bytes, without the last line end."""
+def chunks(column: pa.Array, long_line: int = 50):
+    """(text, start, end, hash) arrays of the seeds, by place; places in bytes, without the last line end."""
     data, offsets = raw(column)
     owners, starts, ends, hashes = [], [], [], []
     if len(data):
@@ -41,34 +42,35 @@ def chunks(column: pa.Array, window: int = 2, modulus: int = 3, long_line: int =
         stop = np.append(start[1:], len(data))
         end = stop - (data[stop - 1] == 0x0A)
         count = np.searchsorted(words.start, stop) - np.searchsorted(words.start, start)
-        line = span_hashes(data, start, end)
-        rolling = line.copy()
-        for back in range(1, window):
-            same = np.zeros(len(line), bool)
-            same[back:] = text[back:] == text[:-back]
-            shifted = np.concatenate([np.zeros(back, np.uint64), line[:-back]])
-            rolling[same] += shifted[same] * np.uint64(0x9E3779B97F4A7C15 * (2 * back + 1) % 2**64)
-        cut = mixed(rolling) % np.uint64(modulus) == 0
-        long = count >= long_line
-        cut |= long
-        cut[:-1] |= long[1:] | (text[1:] != text[:-1])
-        cut[-1:] = True
-        last = np.flatnonzero(cut)
-        first = np.concatenate([[0], last[:-1] + 1])
-        total = np.concatenate([[0], np.cumsum(count)])
-        held = total[last + 1] - total[first]
-        keep = ((last > first) | (held >= long_line)) & (held > 0)
-        first, last = first[keep], last[keep]
+        pair = np.flatnonzero((text[1:] == text[:-1]) & (count[1:] + count[:-1] > 0))
+        spoken = np.flatnonzero(count)
+        over = np.flatnonzero((text[spoken[1:]] == text[spoken[:-1]]) & (np.diff(spoken) > 2))
+        long = np.flatnonzero(count >= long_line)
+        first = np.concatenate([pair, spoken[over], long])
+        last = np.concatenate([pair + 1, spoken[over + 1], long])
+        order = np.lexsort((last, first))
+        first, last = first[order], last[order]
         owners, starts, ends = text[first], start[first], end[last]
         hashes = span_hashes(data, starts, ends)
         starts, ends = starts - offsets[owners], ends - offsets[owners]
     return (np.asarray(x, k) for x, k in ((owners, np.int64), (starts, np.int64), (ends, np.int64), (hashes, np.uint64)))
 
 
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs of lines that overlap or touch as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], end))
+        else:
+            out.append((start, end))
+    return out
+
+
 def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without these runs of lines and their line ends."""
     kept, at = [], 0
-    for start, end in sorted(spans):
+    for start, end in _merged(spans):
         kept.append(text[at:start])
         at = end + (text[end : end + 1] == b"\n")
     kept.append(text[at:])
@@ -76,32 +78,43 @@ def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return left[:-1] if at >= len(text) and left.endswith(b"\n") and not text.endswith(b"\n") else left
 
 
-def dedup_lines(documents: DataFrame, window: int = 2, modulus: int = 3, long_line: int = 50) -> DataFrame:
-    """All columns of ``documents``, text without repeated chunks, and n_removed (chunks taken out).
+def _settled(df: DataFrame, label: str, compression: str) -> DataFrame:
+    """``written``, and the shuffle files of that write go at once: only the table is read again."""
+    key, conf = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", df.sparkSession.conf
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return written(df, label, compression)
+    finally:
+        conf.set(key, before)
+
+
+def dedup_lines(documents: DataFrame, long_line: int = 50) -> DataFrame:
+    """All columns of ``documents``, text without repeated runs of lines, and n_removed (runs taken out).
 
     A whole-number n_chars column follows the text. A column called n_removed is replaced.
     """
     prepare(documents.sparkSession)
     rows, given = plain(documents, "n_removed")
     at, doc_id = given.index("text"), f"c{documents.columns.index('doc_id')}"
-    kind = pa.list_(pa.struct([("hash", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
+    kind = pa.list_(pa.struct([("hash", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
     others = [f for i, f in enumerate(rows.schema.fields) if i != at]
     added = StructType.fromDDL(
-        "_row bigint, _packed binary, _chunks array<struct<hash: bigint, start: bigint, end: bigint>>"
+        "_row bigint, _packed binary, _chunks array<struct<hash: bigint, start: int, end: int>>"
     )
     packed = StructType(others + added.fields)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        packer = zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=6)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             column = batch.column(at).cast(pa.string())
             lists: list[list[dict]] = [[] for _ in range(len(batch))]
             for a, b in text_slices(column):
                 for text, start, end, h in zip(
-                    *(x.tolist() for x in chunks(column.slice(a, b - a), window, modulus, long_line)), strict=True
+                    *(x.tolist() for x in chunks(column.slice(a, b - a), long_line)), strict=True
                 ):
                     lists[a + text].append({"hash": h - (h >> 63 << 64), "start": start, "end": end})
             blobs = [None if t is None else packer.compress(t.encode()) for t in column.to_pylist()]
@@ -130,25 +143,27 @@ def dedup_lines(documents: DataFrame, window: int = 2, modulus: int = 3, long_li
                     values = (row, doc, s["hash"], s["start"], s["end"], text[s["start"] : s["end"]])
                     for column, value in zip(out, values, strict=True):
                         column.append(value)
-            kinds = [*[pa.int64()] * 5, pa.binary()]
+            kinds = [*[pa.int64()] * 3, pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["_row", "id", "hash", "start", "end", "bytes"]
             )
 
-    spelled = written(
+    spelled = _settled(
         held.select("_row", "_packed").join(suspects, "_row").select("_row", "id", "_packed", "spans")
-        .mapInArrow(spell, "_row long, id long, hash long, start long, end long, bytes binary"),
-        "line-dedup-suspects",
+        .mapInArrow(spell, "_row long, id long, hash long, start int, end int, bytes binary"),
+        "line-dedup-suspects", compression="zstd",
     )
     place = F.struct(F.col("id").isNull().alias("none"), "id", "_row", "start")
     # Grouping and joining on the bytes themselves is the comparison.
     first = spelled.groupBy("hash", "bytes").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    gone = (
+    behind = F.when(F.col("_row") == F.col("first._row"), F.col("first.start") + F.length("bytes") + 1)
+    gone = _settled(
         spelled.join(first.select("hash", "bytes", "first"), ["hash", "bytes"])
         .where((F.col("_row") != F.col("first._row")) | (F.col("start") != F.col("first.start")))
         .groupBy("_row")
-        .agg(F.collect_list(F.struct("start", "end")).alias("_gone"))
-    )
+        .agg(F.collect_list(F.struct(F.greatest("start", behind).alias("start"), "end")).alias("_gone")),
+        "line-dedup-gone", compression="zstd",
+    )
     schema = StructType(list(rows.schema.fields)).add("n_removed", "integer")
     names = [f.name for f in others]
     length = f"c{documents.columns.index('n_chars')}" if "n_chars" in given else None
@@ -164,10 +179,11 @@ def dedup_lines(documents: DataFrame, window: int = 2, modulus: int = 3, long_li
             lists = batch.column(len(names) + 1).to_pylist()
             for blob, spans in zip(batch.column(len(names)).to_pylist(), lists, strict=True):
                 text = None if blob is None else reader.decompress(blob)
-                if spans:
-                    text = _without(text, [(s["start"], s["end"]) for s in spans])
+                runs = _merged([(s["start"], s["end"]) for s in spans or ()])
+                if runs:
+                    text = _without(text, runs)
                 texts.append(None if text is None else text.decode())
-                removed.append(len(spans or ()))
+                removed.append(len(runs))
             columns = list(batch.columns[: len(names)])
             if length:
                 k = names.index(length)

@@ -134,6 +134,32 @@ def test_chunks_resist_shifts():
     assert len(whole & shifted) >= len(whole) - 2
 
 
+@pytest.mark.parametrize("length", [2, 3, 5, 10])
+def test_line_dedup_removes_short_lines_whole(spark, length):
+    """Passages of short lines between lines of their own; the first place of each stays."""
+    made, expected = [], []
+    for k in range(30):
+        passage = [f"passage {k} line {j}" for j in range(length)]
+        if k % 3 == 0:
+            passage[1:1] = ["", "", ""]
+        for copy in range(3):
+            doc = 3 * k + copy
+            before, after = [f"before {doc} {j}" for j in range(copy)], [f"after {doc} {j}" for j in range(2)]
+            made.append((doc, "\n".join([*before, *passage, *after])))
+            expected.append("\n".join([*before, *(passage if copy == 0 else []), *after]))
+    found = line_dedup.dedup_lines(spark.createDataFrame(made, "doc_id long, text string").repartition(3)).collect()
+    assert [r.text for r in sorted(found, key=lambda r: r.doc_id)] == expected
+    assert all(r.n_removed == int(r.doc_id % 3 > 0) for r in found)
+
+
+def test_line_dedup_within_one_text(spark):
+    made = [(1, "a\na\na"), (2, "b\nb\nb\nb"), (3, "c\nd\nx\nc\nd"), (4, "one\ntwo"), (5, "one\nthree"), (6, "e\nf\n")]
+    found = line_dedup.dedup_lines(spark.createDataFrame([*made, (7, "e\nf")], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in found} == {
+        1: "a\na", 2: "b\nb", 3: "c\nd\nx", 4: "one\ntwo", 5: "one\nthree", 6: "e\nf\n", 7: "",
+    }
+
+
 # 2 ------------------------------------------------------------------------------------------
 
 
