@@ -6,8 +6,8 @@ as a space). Each classifier's loss weighs by how well it did on rows kept from
 codeword with the least weighted loss wins. A text is ambiguous when the runner-up is nearly
 as close. A text that is null or has no letter is ``und`` with score 0.
 
-The classifiers are fitted on a sample of about ``per_language`` labelled rows of each
-language, chosen by a hash of the id; that bound is the only one. Without labelled rows
+The classifiers are fitted on the ``per_language`` labelled rows of each language whose ids have
+the least hashes; that bound is the only one, and every labelled language has rows. Without labelled rows
 every text is ``und``.
 """
 
@@ -20,7 +20,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -138,21 +138,29 @@ class Model:
         return cls(held["languages"].tolist(), held["weights"], held["scale"], held["trust"])
 
 
+def _reach(wanted: int, count: int, least: int) -> int:
+    """A 64-bit hash at or below which about ``wanted`` of ``count`` rows lie, the one of hash ``least`` included."""
+    return max(least, -(2**63) + min(2**64 - 1, (wanted << 64) // count))
+
+
 def fit(labelled: DataFrame, per_language: int = 400, most_rows: int = 4_000) -> Model | None:
     """Fit on ``labelled`` (doc_id, text, lang), in one task; rows without text or label are left out."""
     prepare(labelled.sparkSession)
     rows = labelled.select(
         F.xxhash64("doc_id").alias("h"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     ).where("text IS NOT NULL AND lang IS NOT NULL")
-    count = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counted = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()
+    count = {r["lang"]: (r["n"], r["least"]) for r in counted}
     if not count:
         return None
     each = max(1, min(per_language, most_rows // len(count)))
-    share: Column = reduce(
-        lambda rest, item: F.when(F.col("lang") == item[0], int(1_000_000 * min(1.0, each / item[1]))).otherwise(rest),
+    # Narrowed to more than enough hashes of 64 bits, the least one at any rate, then to exactly ``each``.
+    bound: Column = reduce(
+        lambda rest, item: F.when(F.col("lang") == item[0], F.lit(_reach(2 * each + 40, *item[1]))).otherwise(rest),
         sorted(count.items()),
-        F.lit(0),
+        F.lit(None).cast("long"),
     )
+    order = Window.partitionBy("lang").orderBy("h", F.xxhash64("text"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, labels = [], []
@@ -164,7 +172,8 @@ def fit(labelled: DataFrame, per_language: int = 400, most_rows: int = 4_000) ->
             made = Model.fit(np.concatenate(x)[order], [labels[i] for i in order])
             yield pa.RecordBatch.from_arrays([pa.array([made.to_bytes()], pa.binary())], ["model"])
 
-    chosen = rows.where(F.pmod("h", F.lit(1_000_000)) < share).select("text", "lang")
+    near = rows.where(F.col("h") <= bound)
+    chosen = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each).select("text", "lang")
     found = chosen.repartition(1).mapInArrow(learn, "model binary").collect()
     return Model.from_bytes(bytes(found[0]["model"])) if found else None
 

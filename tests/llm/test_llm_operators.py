@@ -213,6 +213,14 @@ def test_language_id_without_labels(docs):
     assert {r.lang_pred for r in language_id.identify(docs, None).collect()} == {"und"}
 
 
+def test_language_id_keeps_the_largest_language(spark):
+    """More than a million rows to each one taken: the share in millionths was 0."""
+    hot = spark.range(1_000_001).selectExpr("id AS doc_id", "'que ción los' AS text", "'es' AS lang")
+    few = spark.range(3).selectExpr("-1 - id AS doc_id", "'the and ing' AS text", "'en' AS lang")
+    assert language_id.fit(hot.unionByName(few), per_language=1).languages == ["en", "es"]
+    assert language_id._reach(1, 10**30, -5) == -5 and language_id._reach(9, 3, 0) == 2**63 - 1
+
+
 @pytest.mark.parametrize("count", [1, 2, 4, 9])
 def test_codewords_differ(count):
     code = language_id.codewords(count)
