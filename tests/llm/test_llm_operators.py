@@ -413,6 +413,25 @@ def test_secret_network_learns_what_rules_confirm(spark):
     assert sum(found[1000 + i].n_model for i in range(20)) >= 15
 
 
+def test_secrets_without_digits_are_candidates(spark):
+    letters = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    value = lambda: "".join(RANDOM.choice(letters, 18))
+    made = [(i, f"{prose('en', 8)} password={value()} {prose('en', 4)}") for i in range(500)]
+    made += [(1000 + i, f"{prose('en', 6)} passphrase={value()} ok") for i in range(20)]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    network = secret_scan.fit(df.where("doc_id < 500"))
+    assert network is not None
+    found = {r.doc_id: r for r in secret_scan.digest(secret_scan.scan(df, network)).collect()}
+    assert sum(found[1000 + i].n_model > 0 for i in range(20)) >= 15
+
+
+def test_secret_threshold_keeps_the_recall():
+    network = secret_scan.Network()
+    logit, y = np.array([*[-4.0] * 30, *[4.0] * 10, *[-4.5] * 400]), np.array([1] * 40 + [0] * 400, float)
+    network.calibrate(logit, y, 0.98)
+    assert network.threshold < 0.5 and (network.chance(logit[:40]) >= network.threshold).mean() >= 0.98
+
+
 # 9 and 10 -----------------------------------------------------------------------------------
 
 
