@@ -9,6 +9,7 @@ from quern.llm import (
     bpe_transducer,
     brown_lm,
     embedding_join,
+    fill_middle,
     fingerprints,
     jaccard_join,
     language_id,
@@ -71,12 +72,17 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
+def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return fill_middle.digest(fill_middle.fill_middle(documents))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_fingerprints, op3_language_id, op4_jaccard_join, op5_brown_lm, op6_byte_bpe,
-        op7_embedding_join, op8_secret_scan, op9_mixture_packing, op10_token_files,
+        op7_embedding_join, op8_secret_scan, op9_mixture_packing, op10_token_files, op11_fill_middle,
     )
 }
-#: SQL has no models, tokenizers, sketches or reachability; the tests use brute force instead.
-ORACLES: dict[str, str] = {}
+#: SQL has no models, tokenizers, sketches or reachability; the tests use brute force for the others.
+ORACLES: dict[str, str] = {"op11_fill_middle": fill_middle.SQL}
