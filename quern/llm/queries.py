@@ -16,6 +16,7 @@ from quern.llm import (
     line_dedup,
     mixture_packing,
     secret_scan,
+    shard_shuffle,
     token_files,
 )
 from quern.llm.common import held_out, table
@@ -77,11 +78,18 @@ def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
     return fill_middle.digest(fill_middle.fill_middle(documents))
 
 
+def op12_shard_shuffle(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "shards")
+    shard_shuffle.shuffle_to_shards(table(spark, folder, "documents"), path)
+    return shard_shuffle.digest(shard_shuffle.read_shards(spark, path))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_fingerprints, op3_language_id, op4_jaccard_join, op5_brown_lm, op6_byte_bpe,
         op7_embedding_join, op8_secret_scan, op9_mixture_packing, op10_token_files, op11_fill_middle,
+        op12_shard_shuffle,
     )
 }
 #: SQL has no models, tokenizers, sketches or reachability; the tests use brute force for the others.
