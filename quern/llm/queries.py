@@ -15,6 +15,7 @@ from quern.llm import (
     language_id,
     line_dedup,
     mixture_packing,
+    prefix_trie,
     secret_scan,
     shard_shuffle,
     token_files,
@@ -84,13 +85,17 @@ def op12_shard_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     return shard_shuffle.digest(shard_shuffle.read_shards(spark, path))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_fingerprints, op3_language_id, op4_jaccard_join, op5_brown_lm, op6_byte_bpe,
         op7_embedding_join, op8_secret_scan, op9_mixture_packing, op10_token_files, op11_fill_middle,
-        op12_shard_shuffle,
+        op12_shard_shuffle, op13_prefix_trie,
     )
 }
 #: SQL has no models, tokenizers, sketches or reachability; the tests use brute force for the others.
-ORACLES: dict[str, str] = {"op11_fill_middle": fill_middle.SQL}
+ORACLES: dict[str, str] = {"op11_fill_middle": fill_middle.SQL, "op13_prefix_trie": prefix_trie.SQL}
