@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions import special
+from quern.functions.factor import LeastSquares, triangles
 from quern.functions.ordered import cut_points, with_range
 from quern.functions.scalar import drop_null_rows, right_closed_bin
 from quern.sources.literal import inline_table
@@ -193,83 +194,46 @@ def expected_counts(df: DataFrame, a: str, b: str, levels: Sequence[str]) -> Dat
 # ---- ordinary least squares ----------------------------------------------------
 
 
-def ols_moments(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
-    """One row: complete rows, dropped rows, means and all covariances."""
-    names = [*xs, y]
-    complete = F.lit(True)
-    for name in names:
-        complete = complete & F.col(name).isNotNull()
-    kept = [F.when(complete, F.col(name).cast("double")) for name in names]
-    return df.agg(
-        F.count_if(complete).alias("n"),
-        F.count_if(~complete).alias("dropped"),
-        F.array(*[F.avg(v) for v in kept]).alias("means"),
-        F.array(
-            *[F.covar_pop(kept[i], kept[j]) for i in range(len(names)) for j in range(len(names))]
-        ).alias("covariances"),
-    )
-
-
-class _Solution:
-    """Coefficients and their covariance from centred moments."""
-
-    def __init__(self, n: int, means: Sequence[float], covariances: Sequence[float]):
-        k = len(means) - 1
-        cov = np.asarray(covariances, dtype=float).reshape(k + 1, k + 1) * n
-        mean = np.asarray(means, dtype=float)
-        inverse = np.linalg.inv(cov[:k, :k])
-        slopes = inverse @ cov[:k, k]
-        self.n, self.k = n, k
-        self.coefficients = np.concatenate(([mean[k] - slopes @ mean[:k]], slopes))
-        self.total_ss = cov[k, k]
-        self.residual_ss = self.total_ss - slopes @ cov[:k, k]
-        self.df_residual = n - k - 1
-        centre = inverse @ mean[:k]
-        unscaled = np.concatenate(([1.0 / n + mean[:k] @ centre], np.diag(inverse)))
-        self.errors = np.sqrt(unscaled * self.residual_ss / self.df_residual)
-        design = np.empty((k + 1, k + 1))
-        design[0, 0], design[0, 1:], design[1:, 0] = n, n * mean[:k], n * mean[:k]
-        design[1:, 1:] = cov[:k, :k] + n * np.outer(mean[:k], mean[:k])
-        eigen = np.linalg.eigvalsh(design)
-        self.condition = math.sqrt(eigen[-1] / eigen[0])
-
-
 def ols_fit(
     df: DataFrame, y: str, xs: Sequence[str], nan_policy: str = "propagate", level: float = 0.95
 ) -> DataFrame:
-    """Coefficient table: term, coefficient, std_error, t, p_value, ci_low, ci_high."""
+    """Coefficient table: term, coefficient, std_error, t, p_value, ci_low, ci_high.
+
+    Collinear regressors give the fit of least norm; without spare rows only coefficients are given.
+    """
     if nan_policy not in ("propagate", "omit"):
         raise ValueError("nan_policy must be 'propagate' or 'omit'.")
     terms = ["const", *xs]
 
     def solve(batches):
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                if nan_policy == "propagate" and row.dropped:
-                    blank = [None] * len(terms)
-                    yield pd.DataFrame({"term": terms, **{c: blank for c in _FIT[1:]}}).astype(
-                        {c: "float64" for c in _FIT[1:]}
-                    )
-                    continue
-                fit = _Solution(row.n, row.means, row.covariances)
-                t = fit.coefficients / fit.errors
-                reach = special.t_quantile(level, fit.df_residual) * fit.errors
-                yield pd.DataFrame(
-                    {
-                        "term": terms,
-                        "coefficient": fit.coefficients,
-                        "std_error": fit.errors,
-                        "t": t,
-                        "p_value": [special.t_two_sided(v, fit.df_residual) for v in t],
-                        "ci_low": fit.coefficients - reach,
-                        "ci_high": fit.coefficients + reach,
-                    }
-                )
-
-    # The input is the one row of moments, whatever the size of the data.
-    return ols_moments(df, y, xs).mapInPandas(
+            for parts in batch["parts"]:
+                fit = LeastSquares(parts)
+                if (nan_policy == "propagate" and fit.dropped) or not fit.n:
+                    table = {c: [math.nan] * len(terms) for c in _FIT[1:]}
+                else:
+                    spare, errors = fit.df_residual > 0, fit.errors
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        t = fit.coefficients / errors
+                    reach = (special.t_quantile(level, fit.df_residual) if spare else math.nan) * errors
+                    tails = [_two_sided(v, fit.df_residual) for v in t]
+                    table = {
+                        "coefficient": fit.coefficients, "std_error": errors, "t": t, "p_value": tails,
+                        "ci_low": fit.coefficients - reach, "ci_high": fit.coefficients + reach,
+                    }
+                # A missing number reads back as NULL.
+                yield pd.DataFrame({"term": terms, **table})
+
+    # The input is one row of triangles, whatever the size of the data.
+    return triangles(df, [*xs, y]).mapInPandas(
         solve, "term string, " + ", ".join(f"{c} double" for c in _FIT[1:])
-    )
+    ).select("term", *[F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in _FIT[1:]])
+
+
+def _two_sided(t: float, df: int) -> float:
+    if df < 1 or math.isnan(t):
+        return math.nan
+    return special.t_two_sided(t, df) if math.isfinite(t) else 0.0
 
 
 _FIT = ("term", "coefficient", "std_error", "t", "p_value", "ci_low", "ci_high")
@@ -323,12 +287,14 @@ def durbin_watson(df: DataFrame, residual: str, order: str) -> DataFrame:
 def ols_summary(
     df: DataFrame, y: str, xs: Sequence[str], order: str, nan_policy: str = "propagate"
 ) -> DataFrame:
-    """Goodness of fit and residual diagnostics of a regression as one row."""
-    moments = ols_moments(df, y, xs).first()
-    if nan_policy == "propagate" and moments["dropped"]:
+    """Goodness of fit and residual diagnostics of a regression as one row.
+
+    ``rank`` counts the independent terms, the constant included; degrees of freedom follow it.
+    """
+    fit = LeastSquares(triangles(df, [*xs, y]).first()["parts"])
+    if (nan_policy == "propagate" and fit.dropped) or fit.df_residual < 1:
         empty = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in _SUMMARY)
         return df.sparkSession.sql(f"SELECT {empty}")
-    fit = _Solution(moments["n"], moments["means"], moments["covariances"])
     fitted = F.lit(float(fit.coefficients[0]))
     for slope, x in zip(fit.coefficients[1:], xs, strict=True):
         fitted = fitted + F.lit(float(slope)) * F.col(x)
@@ -342,7 +308,11 @@ def ols_summary(
     ).first()
     watson = durbin_watson(residuals, "residual", order).first()["durbin_watson"]
 
-    n, k, rss = fit.n, fit.k, shape["rss"]
+    n, k, rss = fit.n, fit.rank - 1, shape["rss"]
+    if not (rss and fit.total_ss and k):  # an exact fit, or nothing to explain
+        known = {"n": n, "df_residual": fit.df_residual, "rank": fit.rank, "condition_number": fit.condition}
+        empty = ", ".join(f"CAST({known.get(c, 'NULL')} AS DOUBLE) AS {c}" for c in _SUMMARY)
+        return df.sparkSession.sql(f"SELECT {empty}")
     r2 = 1 - rss / fit.total_ss
     f_value = (fit.total_ss - rss) / k / (rss / fit.df_residual)
     log_likelihood = -n / 2 * (math.log(2 * math.pi) + math.log(rss / n) + 1)
@@ -353,7 +323,7 @@ def ols_summary(
         special.f_upper(f_value, k, fit.df_residual), log_likelihood,
         2 * (k + 1) - 2 * log_likelihood, math.log(n) * (k + 1) - 2 * log_likelihood,
         watson, jarque_bera, math.exp(-jarque_bera / 2), omnibus, math.exp(-omnibus / 2),
-        shape["skew"], shape["kurtosis"], fit.condition,
+        shape["skew"], shape["kurtosis"], fit.condition, fit.rank,
     )
     return inline_table(
         df.sparkSession, ", ".join(f"{c} double" for c in _SUMMARY), [tuple(float(v) for v in values)]
@@ -363,5 +333,5 @@ def ols_summary(
 _SUMMARY = (
     "n", "df_residual", "r2", "adj_r2", "f", "f_p_value", "log_likelihood", "aic", "bic",
     "durbin_watson", "jarque_bera", "jarque_bera_p_value", "omnibus", "omnibus_p_value",
-    "skew", "kurtosis", "condition_number",
+    "skew", "kurtosis", "condition_number", "rank",
 )

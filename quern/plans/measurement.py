@@ -315,7 +315,21 @@ def _(b):
 _FITTED = "(SELECT mu[6] - list_sum([w[i][6] * mu[i] for i in range(1, 6)]) FROM solved)" + "".join(
     f" + (SELECT w[{i}][6] FROM solved) * {x}" for i, x in enumerate(_XS, start=1)
 )
-_SUMMARY_COLUMNS = tuple(c for c in statistics._SUMMARY if c != "condition_number")
+# Extreme singular values: squaring a positive matrix of trace one ends in the projection on its first direction.
+_MATRIX = lambda cell: f"[[{cell} for j in range(1, 7)] for i in range(1, 7)]"
+_CONDITION = {
+    "normal": "SELECT " + _MATRIX("CASE WHEN i = 1 AND j = 1 THEN n * 1e0 WHEN i = 1 THEN n * mu[j - 1] WHEN j = 1 THEN n * mu[i - 1] "
+                                  "ELSE m[i - 1][j - 1] + n * mu[i - 1] * mu[j - 1] END") + " AS a FROM base",
+    "inverse": "SELECT " + _MATRIX("CASE WHEN i = 1 AND j = 1 THEN 1e0 / n + list_sum([list_sum([mu[p] * w[p][q] * mu[q] for q in range(1, 6)]) for p in range(1, 6)]) "
+                                   "WHEN i = 1 THEN -list_sum([mu[p] * w[p][j - 1] for p in range(1, 6)]) "
+                                   "WHEN j = 1 THEN -list_sum([mu[p] * w[p][i - 1] for p in range(1, 6)]) ELSE w[i - 1][j - 1] END") + " AS a FROM solved",
+    "squared": "SELECT x, 0 AS s, a AS b FROM (SELECT 1 AS x, a FROM normal UNION ALL SELECT 2, a FROM inverse) UNION ALL SELECT x, s + 1, "
+               + _MATRIX("c[i][j] / list_sum([c[p][p] for p in range(1, 7)])") + " FROM (SELECT x, s, "
+               + _MATRIX("list_sum([u[i][p] * u[p][j] for p in range(1, 7)])") + " AS c FROM (SELECT x, s, "
+               + _MATRIX("b[i][j] / list_sum([b[p][p] for p in range(1, 7)])") + " AS u FROM squared WHERE s < 40))",
+    "extreme": "SELECT sqrt((SELECT list_sum([list_sum([b[i][j] * a[j][i] for j in range(1, 7)]) for i in range(1, 7)]) FROM squared, normal WHERE x = 1 AND s = 40) "
+               "* (SELECT list_sum([list_sum([b[i][j] * a[j][i] for j in range(1, 7)]) for i in range(1, 7)]) FROM squared, inverse WHERE x = 2 AND s = 40)) AS cond",
+}
 
 
 @register(
@@ -337,15 +351,16 @@ _SUMMARY_COLUMNS = tuple(c for c in statistics._SUMMARY if c != "condition_numbe
         "k4": "SELECT *, pow(asinh(y / sqrt(2 / (w2 - 1))) / sqrt(ln(w2) / 2), 2) + pow((1 - 2 / (9 * a) - "
               "cbrt((1 - 2 / a) / (1 + x * sqrt(2 / (a - 4))))) / sqrt(2 / (9 * a)), 2) AS om FROM k3",
         "fp": f"SELECT *, {_tail('f', '5', 'dfr')} AS f_p_value FROM k4",
+        **_CONDITION,
     }, select="SELECT n, dfr AS df_residual, round(r2, 6) AS r2, round(1 - (1 - r2) * (n - 1) / dfr, 6) AS adj_r2, round(f, 2) AS f, "
               "round(f_p_value, 6) AS f_p_value, round(ll, 4) AS log_likelihood, round(12 - 2 * ll, 4) AS aic, "
               "round(ln(n) * 6 - 2 * ll, 4) AS bic, round(dw, 6) AS durbin_watson, round(jb, 4) AS jarque_bera, "
               "round(exp(-jb / 2), 6) AS jarque_bera_p_value, round(om, 4) AS omnibus, round(exp(-om / 2), 6) AS omnibus_p_value, "
-              "round(skew, 6) AS skew, round(kurt, 6) AS kurtosis FROM fp"),
+              "round(skew, 6) AS skew, round(kurt, 6) AS kurtosis, round(cond, 4) AS condition_number, 6e0 AS rank FROM fp, extreme"),
 )
 def _(b):
     summary = statistics.ols_summary(b["usage"], _Y, _XS, "row_id", "omit")
     return rounded(
-        summary.select(*_SUMMARY_COLUMNS),
-        special={"f": 2, "log_likelihood": 4, "aic": 4, "bic": 4, "jarque_bera": 4, "omnibus": 4},
+        summary,
+        special={"f": 2, "log_likelihood": 4, "aic": 4, "bic": 4, "jarque_bera": 4, "omnibus": 4, "condition_number": 4},
     )

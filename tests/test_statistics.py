@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quern.functions import special
+from quern.functions import factor, special
 from quern.operators import statistics
 
 
@@ -129,3 +129,64 @@ def test_tails_of_many_rows(t):
     assert special.t_two_sided(t, 1e12) == pytest.approx(normal, rel=1e-8)
     assert special.t_two_sided(t, 2.1e6) == pytest.approx(special.t_two_sided(t, 1.9e6), rel=2e-3)
     assert special.f_upper(t, 2, 1e12) == pytest.approx(math.exp(-t), rel=1e-9)
+
+
+def fitted(spark, design, y, **options):
+    names = [f"x{i}" for i in range(design.shape[1])]
+    rows = [(i, *map(float, r), float(v)) for i, (r, v) in enumerate(zip(design, y, strict=True))]
+    df = spark.createDataFrame(rows, "i long, " + ", ".join(f"{n} double" for n in [*names, "y"])).repartition(7)
+    table = {r["term"]: r for r in statistics.ols_fit(df, "y", names, **options).collect()}
+    return [table[t] for t in ("const", *names)], statistics.ols_summary(df, "y", names, "i", **options).first()
+
+
+def test_collinear_regressors_give_the_fit_of_least_norm(spark):
+    random = np.random.default_rng(8)
+    x = random.normal(size=(300, 3))
+    design = np.column_stack([x, x[:, 0] - 2 * x[:, 1], np.zeros(300), np.full(300, 3.0)])
+    y = 1 + x @ [2.0, -1.0, 0.5] + random.normal(size=300)
+    table, summary = fitted(spark, design, y)
+    whole = np.column_stack([np.ones(300), design])
+    beta = np.linalg.pinv(whole) @ y
+    errors = np.sqrt(np.diag(np.linalg.pinv(whole.T @ whole, rcond=1e-10)) * ((y - whole @ beta) ** 2).sum() / 296)
+    assert [r["coefficient"] for r in table] == pytest.approx(list(beta), abs=1e-10)
+    assert [r["std_error"] for r in table] == pytest.approx(list(errors), abs=1e-10)
+    assert table[5]["coefficient"] == pytest.approx(0, abs=1e-12)  # the column of zeros
+    assert (summary["rank"], summary["df_residual"], summary["n"]) == (4, 296, 300)
+    assert summary["r2"] == pytest.approx(1 - ((y - whole @ beta) ** 2).sum() / ((y - y.mean()) ** 2).sum())
+
+
+def test_badly_scaled_regressors_keep_their_rank(spark):
+    random = np.random.default_rng(9)
+    x = random.normal(size=(500, 3))
+    y = 5 + x @ [1.0, 2.0, 3.0] + 0.01 * random.normal(size=500)
+    table, summary = fitted(spark, x * [1e9, 1e-9, 1.0] + [0, 0, 1e6], y)
+    plain_table, plain_summary = fitted(spark, x, y)
+    got = [r["coefficient"] for r in table]
+    wanted = [r["coefficient"] for r in plain_table]
+    assert summary["rank"] == plain_summary["rank"] == 4
+    assert got[1] * 1e9 == pytest.approx(wanted[1], rel=1e-6) and got[2] / 1e9 == pytest.approx(wanted[2], rel=1e-6)
+    assert got[3] == pytest.approx(wanted[3], rel=1e-6)
+    assert [r["t"] for r in table[1:]] == pytest.approx([r["t"] for r in plain_table[1:]], rel=1e-5)
+
+
+def test_fits_without_spare_rows(spark):
+    table, summary = fitted(spark, np.array([[1.0], [2.0]]), np.array([3.0, 5.0]))
+    assert [r["coefficient"] for r in table] == pytest.approx([1.0, 2.0])
+    assert all(r["std_error"] is None and r["p_value"] is None for r in table) and summary["r2"] is None
+    exact, summary = fitted(spark, np.arange(50.0).reshape(-1, 1), 2 * np.arange(50.0) + 1)
+    assert [r["coefficient"] for r in exact] == pytest.approx([1.0, 2.0]) and summary["rank"] == 2
+    empty = spark.createDataFrame([], "x0 double, y double")
+    assert all(r["coefficient"] is None for r in statistics.ols_fit(empty, "y", ["x0"]).collect())
+
+
+def test_triangle_does_not_depend_on_the_layout(spark):
+    random = np.random.default_rng(10)
+    rows = random.normal(size=(1000, 3))
+    df = spark.createDataFrame(rows.tolist(), "a double, b double, y double")
+    wanted = np.linalg.qr(np.column_stack([np.ones(1000), rows]), mode="r")
+    for parts in (1, 40):
+        found = factor.LeastSquares(factor.triangles(df.repartition(parts), ["a", "b", "y"]).first()["parts"])
+        whole = np.column_stack([np.ones(1000), rows[:, :2]])
+        assert found.coefficients == pytest.approx(np.linalg.lstsq(whole, rows[:, 2])[0])
+        assert found.total_ss == pytest.approx((wanted[1:, 3] ** 2).sum())
+        assert found.condition == pytest.approx(np.linalg.cond(whole))
