@@ -20,9 +20,9 @@ from pyspark.sql import types as T
 
 from quern.sources.literal import inline_table
 
-#: Upper bound for the number of order ranges, and so for every table of range totals.
-MAX_RANGES = 2048
 _RANGE = "_range"
+#: Ranges whose totals one task sums; more are summed as ranges of ranges.
+_SPAN = 512
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -50,10 +50,10 @@ def order_key(df: DataFrame, column: str) -> Column:
 
 
 def cut_points(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:
-    """Roughly even cut points of a column (at most ``MAX_RANGES`` numbers)."""
+    """Roughly even cut points of a column, two ranges a shuffle partition if not said otherwise."""
     if ranges is None:
         ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
-    ranges = max(2, min(ranges, MAX_RANGES))
+    ranges = max(2, ranges)
     probabilities = [i / ranges for i in range(1, ranges)]
     row = df.agg(
         F.percentile_approx(order_key(df, column), probabilities, ranges * 4).alias("cuts")
@@ -75,6 +75,32 @@ def with_range(df: DataFrame, column: str, cuts: Sequence[float], name: str = _R
     return ranged.withColumn(name, F.col("_bucket").cast("int")).drop("_key", "_bucket")
 
 
+def _before_each_range(
+    totals: DataFrame, group: Sequence[str], names: Sequence[str], descending: bool
+) -> DataFrame:
+    """(group, range, _before_*): totals of all earlier ranges, by a prefix scan in two levels.
+
+    Totals are summed inside spans of ranges and over the spans, so no task takes all ranges.
+    """
+    position = F.desc if descending else F.asc
+    spans = totals.withColumn("_span", F.floor(F.col(_RANGE) / _SPAN))
+
+    def earlier(*keys: str, order: str):
+        return Window.partitionBy(*keys).orderBy(position(order)).rowsBetween(Window.unboundedPreceding, -1)
+
+    def summed(frame: DataFrame, prefix: str, window, *kept: str) -> DataFrame:
+        return frame.select(
+            *kept, *[F.coalesce(F.sum(f"_total_{n}").over(window), F.lit(0)).alias(f"{prefix}{n}") for n in names]
+        )
+
+    inside = summed(spans, "_near_", earlier(*group, "_span", order=_RANGE), *group, "_span", _RANGE)
+    whole = spans.groupBy(*group, "_span").agg(*[F.sum(f"_total_{n}").alias(f"_total_{n}") for n in names])
+    over = summed(whole, "_far_", earlier(*group, order="_span"), *group, "_span")
+    return inside.join(over, [*group, "_span"]).select(
+        *group, _RANGE, *[(F.col(f"_near_{n}") + F.col(f"_far_{n}")).alias(f"_before_{n}") for n in names]
+    )
+
+
 def ordered_cumsum(
     df: DataFrame,
     order: str,
@@ -82,13 +108,15 @@ def ordered_cumsum(
     by: Sequence[str] = (),
     descending: bool = False,
     ranges: int | None = None,
+    cuts: Sequence[float] | None = None,
 ) -> DataFrame:
     """Running sums (current row included) in the order of a unique column.
 
     ``sums`` maps a new column to the expression summed. ``order`` must be unique
-    within ``by``. A hot ``by`` group is spread over the ranges of ``order``.
+    within ``by``. A hot ``by`` group is spread over the ranges of ``order``. ``cuts``
+    may come from another frame, such as the raw rows behind ``df``.
     """
-    ranged = with_range(df, order, cut_points(df, order, ranges))
+    ranged = with_range(df, order, cut_points(df, order, ranges) if cuts is None else cuts)
     # The group as one never-null column: NULL keys match themselves, and the join below
     # can keep the partitioning of the window instead of shuffling the rows again.
     group = ["_group"] if by else []
@@ -100,28 +128,15 @@ def ordered_cumsum(
         .orderBy(position(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    earlier = (
-        Window.partitionBy(*group)
-        .orderBy(position(_RANGE))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
     expressions = {name: F.col(e) if isinstance(e, str) else e for name, e in sums.items()}
     totals = ranged.groupBy(*group, _RANGE).agg(
         *[F.sum(e).alias(f"_total_{name}") for name, e in expressions.items()]
     )
-    # One row per range and group, so this window sees at most MAX_RANGES rows a group.
-    offsets = totals.select(
-        *group,
-        _RANGE,
-        *[
-            F.coalesce(F.sum(f"_total_{name}").over(earlier), F.lit(0)).alias(f"_before_{name}")
-            for name in expressions
-        ],
-    )
+    offsets = _before_each_range(totals, group, list(expressions), descending)
     local = ranged.select(
         "*", *[F.sum(e).over(inside).alias(f"_inside_{name}") for name, e in expressions.items()]
     )
-    # Without groups the offsets are at most MAX_RANGES rows: a safe broadcast.
+    # Without groups the offsets are one row a range: a safe broadcast.
     joined = local.join(offsets if by else F.broadcast(offsets), [*group, _RANGE])
     return joined.select(
         *df.columns,
@@ -177,6 +192,33 @@ def keep_extreme(
     return join_null_safe(df, best, [*keys, order], "left_semi")
 
 
+def best_of_parts(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, parts: int | None = None
+) -> DataFrame:
+    """The first ``k`` rows of each group in each of ``parts`` sets of input tasks.
+
+    A task keeps its own first ``k`` rows of a group before it sends them, and all of them go to one
+    set, so that the number of rows left does not grow with the number of tasks.
+    """
+    if parts is None:
+        parts = 8 * (math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1)
+    window = Window.partitionBy(*keys, "_set").orderBy(*order)
+    sets = df.withColumn("_set", F.pmod(F.spark_partition_id(), F.lit(parts)))
+    return sets.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= k).drop("_set", "_rank")
+
+
+def best_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank", parts: int | None = None
+) -> DataFrame:
+    """The first ``k`` rows of each group with their rank: a top-k that is merged in two levels.
+
+    A group with most of the rows meets its last task as ``parts * k`` rows at most.
+    """
+    window = Window.partitionBy(*keys).orderBy(*order)
+    best = best_of_parts(df, keys, order, k, parts)
+    return best.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
+
+
 #: Relative rank error of the sketch that brackets a quantile is one over this.
 _SKETCH = 4_096
 #: Distinct values a single task may rank; larger brackets are split into ranges.

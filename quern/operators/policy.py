@@ -5,7 +5,6 @@ Scored rows carry source_row_number, step, amount, probability and actual (0 / 1
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
@@ -14,9 +13,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.ordered import even_probabilities, exact_quantiles, with_range
+from quern.functions.ordered import best_rows, cut_points, even_probabilities, exact_quantiles, with_range
 from quern.functions.scalar import safe_share
 from quern.operators.features import day_index
+from quern.session import written
 from quern.sources.literal import inline_table
 
 
@@ -55,8 +55,8 @@ def with_value(scored: DataFrame, costs: Costs, threshold: float = 0.0) -> DataF
     )
 
 
-#: Amounts are swept as whole ten-thousandths, so equal reviews cost exactly the same.
-_UNITS = 10_000
+#: Rows of a day that one task sweeps.
+_SWEPT_ROWS = 50_000
 _RANKED_BY = ("expected_net_value", "probability", "source_row_number")
 
 
@@ -64,18 +64,13 @@ def _best_first() -> list[Column]:
     return [F.desc("expected_net_value"), F.desc("probability"), F.asc("source_row_number")]
 
 
-def capacity_top_k(valued: DataFrame, capacity: int) -> DataFrame:
+def capacity_top_k(valued: DataFrame, capacity: int, parts: int | None = None) -> DataFrame:
     """The eligible rows of highest value per day, with their ``day_rank``.
 
-    Every task keeps its own best ``capacity`` rows per day before the shuffle, so a
-    day with a third of all rows costs no more than any other.
+    Every task keeps its own best rows of a day, sets of tasks merge theirs, and a day's last
+    task takes the best of ``parts`` sets, so a day with most rows costs no more than any other.
     """
-    window = Window.partitionBy("day_index").orderBy(*_best_first())
-    return (
-        valued.where(F.col("eligible"))
-        .withColumn("day_rank", F.row_number().over(window))
-        .where(F.col("day_rank") <= capacity)
-    )
+    return best_rows(valued.where(F.col("eligible")), ["day_index"], _best_first(), capacity, "day_rank", parts)
 
 
 def review_policy(scored: DataFrame, threshold: float, costs: Costs) -> DataFrame:
@@ -197,42 +192,39 @@ def _reached(valued: DataFrame, thresholds: Sequence[float]) -> DataFrame:
     return leveled.where(F.col("level") >= 1)
 
 
-def _daily_sweep(capacity: int, levels: int):
-    """Per-day function: reviewed rows, caught fraud and amount units at every level.
+def _places_left(capacity: int, levels: int):
+    """Per-day function: for every part, best part first, the reviews each level has left for it.
 
-    Rows come best first. At level t a row is taken while fewer than ``capacity``
-    better rows reach t, that is for the levels above the capacity-th highest level
-    among the better rows, up to its own level.
+    The state that parts of a day hand on is how many of their rows reach each level: a level
+    is served by the first ``capacity`` of these, in whichever parts they are.
     """
 
-    def sweep(key: tuple, day: pd.DataFrame) -> pd.DataFrame:
-        ordered = day.sort_values(list(_RANKED_BY), ascending=[False, False, True])
-        best: list[int] = []
-        floors = []
-        for level in ordered["level"].tolist():
-            floor = best[0] if len(best) == capacity else 0
-            floors.append(floor)
-            if level > floor:
-                (heapq.heapreplace if floor else heapq.heappush)(best, level)
-        level, floor = ordered["level"].to_numpy(), np.asarray(floors)
-        taken = level > floor
-        actual = ordered["actual"].to_numpy(dtype="int64")[taken]
-        gains = (np.ones_like(actual), actual, actual * ordered["units"].to_numpy()[taken])
-        steps = np.zeros((3, levels + 2), dtype="int64")
-        for row, gain in zip(steps, gains):
-            np.add.at(row, floor[taken] + 1, gain)
-            np.subtract.at(row, level[taken] + 1, gain)
-        totals = steps.cumsum(axis=1)[:, 1 : levels + 1]
-        return pd.DataFrame(
-            {
-                "level": np.arange(1, levels + 1, dtype="int32"),
-                "reviewed": totals[0],
-                "true_positives": totals[1],
-                "caught_units": totals[2],
-            }
-        )
-
-    return sweep
+    def left(key: tuple, counts: pd.DataFrame) -> pd.DataFrame:
+        parts = np.sort(counts["part"].unique())[::-1]
+        reach = np.zeros((len(parts), levels + 1), dtype="int64")
+        np.add.at(reach, (np.searchsorted(-parts, -counts["part"].to_numpy()), counts["level"].to_numpy()), counts["n"].to_numpy())
+        reach = reach[:, ::-1].cumsum(axis=1)[:, ::-1]
+        before = reach.cumsum(axis=0) - reach
+        left = np.maximum(capacity - before, 0)[:, 1:]
+        open_parts = left.any(axis=1)
+        return pd.DataFrame({"day_index": key[0], "part": parts[open_parts], "left": list(left[open_parts])})
+
+    return left
+
+
+def _sweep_part(key: tuple, rows: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+    """Reviews, caught fraud and its amount at every level, of one part of a day."""
+    if rows.empty or state.empty:
+        return pd.DataFrame({c: [] for c in ("day_index", "level", "reviewed", "true_positives", "caught")})
+    ordered = rows.sort_values(list(_RANKED_BY), ascending=[False, False, True])
+    level, actual = ordered["level"].to_numpy(), ordered["actual"].to_numpy(dtype="int64")
+    caught = ordered["amount"].to_numpy() * actual
+    left = state["left"].iloc[0]
+    found = []
+    for at, places in enumerate(left, start=1):
+        taken = np.flatnonzero(level >= at)[:places]
+        found.append((key[0], at, len(taken), int(actual[taken].sum()), float(caught[taken].sum())))
+    return pd.DataFrame(found, columns=["day_index", "level", "reviewed", "true_positives", "caught"])
 
 
 def threshold_search(
@@ -246,34 +238,38 @@ def threshold_search(
     Rows of one day and level are interchangeable but for their value, so beyond the
     best ``capacity`` of them none can ever be taken: that exact pruning runs before
     the shuffle and leaves at most capacity * thresholds rows a day, whatever the
-    size of the day. One sweep per day then serves all thresholds.
+    size of the day. These are cut into parts by value. Counts by level tell each part what
+    better parts have left for it, and the parts are swept apart, so no day is one task.
     """
     if costs.capacity_per_day < 1:
         raise ValueError("The capacity must be at least one review a day.")
     cuts = sorted(set(thresholds)) if thresholds is not None else candidate_thresholds(scored, grid_size)
-    within = Window.partitionBy("day_index", "level").orderBy(*_best_first())
-    able = (
-        _reached(with_value(scored, costs), cuts)
-        .select(
-            *_RANKED_BY,
-            "day_index",
-            "level",
-            F.round(F.col("amount") * _UNITS).cast("long").alias("units"),
-            F.col("actual").cast("int").alias("actual"),
-        )
-        .withColumn("_rank", F.row_number().over(within))
-        .where(F.col("_rank") <= costs.capacity_per_day)
-        .drop("_rank")
+    capacity, levels = costs.capacity_per_day, len(cuts)
+    able = _reached(with_value(scored, costs), cuts).select(
+        *_RANKED_BY, "day_index", "level", "amount", F.col("actual").cast("int").alias("actual")
+    )
+    best = best_rows(able, ["day_index", "level"], _best_first(), capacity, "_rank").drop("_rank")
+    best = written(best, "sweep")
+    parts = -(-capacity * levels // _SWEPT_ROWS)
+    split = cut_points(best, "expected_net_value", parts) if parts > 1 else []
+    best = with_range(best, "expected_net_value", split, "part")
+    state = best.groupBy("day_index", "part", "level").agg(F.count("*").alias("n")).groupBy("day_index").applyInPandas(
+        _places_left(capacity, levels), "day_index int, part int, left array<long>"
     )
-    days = able.groupBy("day_index").applyInPandas(
-        _daily_sweep(costs.capacity_per_day, len(cuts)),
-        "level int, reviewed long, true_positives long, caught_units long",
+    swept = best.groupBy("day_index", "part").cogroup(state.groupBy("day_index", "part")).applyInPandas(
+        _sweep_part, "day_index int, level int, reviewed long, true_positives long, caught double"
     )
-    levels = days.groupBy("level").agg(
+    # Sums of decimals do not depend on their order, so equal reviews cost exactly the same.
+    days = swept.groupBy("day_index", "level").agg(
         F.sum("reviewed").alias("reviewed"),
         F.sum("true_positives").alias("true_positives"),
-        (F.sum("caught_units") / _UNITS).alias("_caught_amount"),
-        F.count_if(F.col("reviewed") >= costs.capacity_per_day).alias("capacity_binding_days"),
+        F.sum(F.col("caught").cast("decimal(38,10)")).alias("caught"),
+    )
+    per_level = days.groupBy("level").agg(
+        F.sum("reviewed").alias("reviewed"),
+        F.sum("true_positives").alias("true_positives"),
+        F.sum("caught").cast("double").alias("_caught_amount"),
+        F.count_if(F.col("reviewed") >= capacity).alias("capacity_binding_days"),
     )
     everything = scored.agg(
         F.struct(
@@ -284,7 +280,7 @@ def threshold_search(
     ).first()["all"]
     table = (
         _grid(scored, cuts)
-        .join(levels, "level", "left")
+        .join(per_level, "level", "left")
         .na.fill(0)
         .withColumns(
             {

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quern.operators import contract
 from quern.plans.registry import oracle, register, rounded
 from quern.plans.transactions import _FLAGGED, _PSI, COSTS, _quantiles
-from quern.session import scratch_path
+from quern.session import scratch_path, written
 from quern.streaming.validation import append_to, end_marker, split_sink, stream_daily_monitoring, stream_validate
 
 _FILES = 2  # files of one arrival, and so of one micro-batch
@@ -16,7 +16,7 @@ _FILES = 2  # files of one arrival, and so of one micro-batch
 def _replayed(b, frame, event_time, label):
     """A static frame as a stream that arrives in order of its column ``arrival``, closed by an end marker."""
     path = scratch_path(b.spark, label)
-    frame = written(b, frame, f"{label}-rows")
+    frame = written(frame, f"{label}-rows")
     for part in sorted(r[0] for r in frame.select("arrival").distinct().collect()):
         rows = frame.where(F.col("arrival") == part).drop("arrival")
         rows.repartition(_FILES).write.mode("append").parquet(path)
@@ -25,12 +25,6 @@ def _replayed(b, frame, event_time, label):
     return b.spark.readStream.schema(schema).option("maxFilesPerTrigger", _FILES).parquet(path)
 
 
-def written(b, frame, label):
-    path = scratch_path(b.spark, label)
-    frame.write.parquet(path)
-    return b.spark.read.schema(frame.schema).parquet(path)
-
-
 def _drained(b, frame, label):
     """Run a stream over everything available and read its output."""
     root = scratch_path(b.spark, label)

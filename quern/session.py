@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime settings every operator was planned for. They only steer execution;
 #: results do not depend on them.
@@ -18,8 +18,8 @@ RUNTIME_SETTINGS = {
     # Split a skewed join side even when that costs one more exchange: a hot
     # customer or station must not pin a single task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Per-group top-k keeps its partial limit in every task up to this k.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
+    # Per-group top-k keeps its partial limit in every task, whatever k is.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -82,6 +82,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/quern-{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Compute a table once and cut its lineage; the copy in the shared folder outlives a lost executor."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let MLlib cut the lineage of long boosting runs."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -32,6 +32,25 @@ def test_running_sums_by_group(skewed):
     assert got == want
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_prefix_scan_over_ranges_of_ranges(skewed, monkeypatch, descending):
+    data, df = skewed
+    monkeypatch.setattr(ordered, "_SPAN", 4)
+    for by in ([], ["g"]):
+        made = ordered.ordered_cumsum(df, "id", {"s": "x"}, by=by, descending=descending, ranges=60)
+        got = {r["id"]: r["s"] for r in made.collect()}
+        sums, want = {}, {}
+        for i, g, x in sorted(data, reverse=descending):
+            key = g if by else None
+            sums[key] = want[i] = sums.get(key, 0) + x
+        assert got == want
+
+
+def test_ranges_have_no_upper_bound(spark):
+    df = spark.range(20_000).select("id", F.rand(3).alias("v"))
+    assert len(ordered.cut_points(df, "v", 5_000)) == 4_999
+
+
 def test_running_sums_descending_without_groups(skewed):
     data, df = skewed
     got = {r["id"]: r["s"] for r in ordered.ordered_cumsum(df, "id", {"s": "x"}, descending=True).collect()}

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from quern.functions import ordered
 from quern.operators import monitoring, policy, scoring
 
 SCHEMA = "source_row_number long, step int, type string, amount double, probability double, actual int"
@@ -66,6 +67,63 @@ def test_reviews_never_exceed_capacity_in_a_hot_day(spark):
     assert [r["n"] for r in per_day] == [25, 25]
 
 
+def test_rows_of_a_hot_day_do_not_grow_with_the_tasks(spark):
+    """Sets of tasks merge their best rows, so the day's last task meets a fixed number."""
+    pick = random.Random(2)
+    data = [(1 if i % 10 else 40, "T", pick.uniform(50, 900), pick.random(), 0) for i in range(4_000)]
+    costs, capacity, parts = policy.Costs(), 5, 4
+    reached = []
+    for tasks in (4, 64):
+        valued = policy.with_value(scored(spark, data).repartition(tasks), costs, 0.2)
+        able = valued.where("eligible")
+        reached.append(ordered.best_of_parts(able, ["day_index"], policy._best_first(), capacity, parts).groupBy("day_index").count().orderBy("day_index").first()["count"])
+        best = policy.capacity_top_k(valued, capacity, parts)
+        plan = best._jdf.queryExecution().executedPlan().toString()
+        # Ranked inside each task before either exchange.
+        assert plan.count("WindowGroupLimit") == 4 and plan.count("Partial") >= 2
+        got = [(r["source_row_number"], r["day_rank"]) for r in best.orderBy("day_index", "day_rank").collect()]
+        want = [(r["source_row_number"], i % 5 + 1) for i, r in enumerate(x for day in (0, 1) for x in able.where(f"day_index = {day}").orderBy(*policy._best_first()).limit(5).collect())]
+        assert got == want
+    assert reached == [capacity * parts] * 2
+
+
+def test_any_capacity_keeps_the_partial_limit(spark):
+    valued = policy.with_value(scored(spark, [(1, "T", 100.0, 0.9, 0), (1, "T", 200.0, 0.9, 0)]), policy.Costs())
+    plan = policy.capacity_top_k(valued, 50_000_000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 4
+    assert policy.capacity_top_k(valued, 50_000_000).count() == 2
+
+
+@pytest.mark.parametrize("swept", [3, 40])
+def test_a_day_swept_in_parts(spark, monkeypatch, swept):
+    """One hot day over many tasks gives what one task gives."""
+    pick = random.Random(swept)
+    data = [
+        (1 if i % 20 else 30, "T", pick.choice([10.5, 33.1, 500.0, 77.7]), pick.randrange(41) / 40, pick.randrange(2))
+        for i in range(600)
+    ]
+    df = scored(spark, data).persist()
+    costs, thresholds = policy.Costs(17), [i / 10 for i in range(11)]
+    table = lambda: [tuple(r) for r in policy.threshold_search(df, costs, thresholds=thresholds).collect()]
+    whole = table()
+    monkeypatch.setattr(policy, "_SWEPT_ROWS", swept)
+    parted = table()
+    assert len(parted) == len(whole) and all(a == pytest.approx(b) for a, b in zip(sorted(parted), sorted(whole), strict=True))
+    at = {r[0]: r for r in parted}
+    for t in (0.0, 0.3, 0.9):
+        want = policy.evaluate_policy(policy.review_policy(df, t, costs), costs).first()
+        assert at[t][1:] == pytest.approx(tuple(want))
+
+
+def test_equal_reviews_cost_exactly_the_same(spark):
+    """Thresholds that change no review tie, and the higher one is taken."""
+    data = [(d, "T", 0.1 + i * 1e-7, 0.95, 1) for d in (1, 30, 60) for i in range(40)]
+    data = [(d, t, a + 100, p, y) for d, t, a, p, y in data]
+    table = policy.threshold_search(scored(spark, data), policy.Costs(25), thresholds=[0.1, 0.2, 0.5, 0.9])
+    assert len({r["total_cost"] for r in table.collect()}) == 1
+    assert policy.best_threshold(table).first()["threshold"] == 0.9
+
+
 def test_perfect_ranking(spark):
     df = scored(spark, [(1, "T", 1.0, p, y) for p, y in ((0.01, 0), (0.1, 0), (0.9, 1), (0.99, 1))])
     row = scoring.probability_metrics(df, 1.0).first()
