@@ -161,13 +161,25 @@ def _(b):
 
 @register(
     "ingest_batch",
-    oracle("txn_source", steps=_FLAGGED, select="SELECT CAST(1 AS BIGINT) AS ingestion_id, 'completed' AS status, count(*) AS source_rows, "
-           "count(*) FILTER (WHERE rejection_reason = '') AS accepted_rows, count(*) FILTER (WHERE rejection_reason <> '') AS rejected_rows FROM flagged"),
+    oracle("txn_source", steps={
+        **_FLAGGED,
+        "kept": "SELECT source_row_number, rejection_reason FROM flagged",
+    }, select="SELECT CAST(1 AS BIGINT) AS ingestion_id, 'completed' AS status, (SELECT count(*) FROM kept) AS source_rows, "
+              "(SELECT count(*) FROM kept WHERE rejection_reason = '') AS accepted_rows, (SELECT count(*) FROM kept WHERE rejection_reason <> '') AS rejected_rows, "
+              "source_row_number, nullif(rejection_reason, '') AS rejection_reason, rejection_reason = '' AS printed FROM kept"),
 )
 def _(b):
+    """Every loaded line, from both published layers, with the state of its batch."""
     root = scratch_path(b.spark, "ingest")
-    checked = contract.validate_transactions(b["txn_source"])
-    ingest.ingest_batch(checked.accepted, checked.rejected, "events", "0" * 64, root)
-    return ingest.batch_state(b.spark, root).select(
+    ingest.ingest_batch(contract.flag_transactions(b["txn_source"]), "events", "0" * 64, root)
+    state = ingest.batch_state(b.spark, root).select(
         "ingestion_id", "status", "source_rows", "accepted_rows", "rejected_rows"
     )
+    accepted = ingest.completed_rows(b.spark, root, "raw/transactions").select(
+        "ingestion_id", "source_row_number", F.lit(None).cast("string").alias("rejection_reason"),
+        F.col("row_fingerprint").rlike("^[0-9a-f]{16}$").alias("printed"),
+    )
+    rejected = ingest.completed_rows(b.spark, root, "audit/rejected_rows").select(
+        "ingestion_id", "source_row_number", "rejection_reason", F.lit(False).alias("printed")
+    )
+    return accepted.unionByName(rejected).join(state, "ingestion_id")

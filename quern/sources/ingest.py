@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import os
 from collections.abc import Iterator
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.operators.contract import rejected_payload_json
+from quern.operators.contract import LINE, accepted_rows, rejected_payload_json, rejected_rows, row_fingerprint
 
 _BLOCK = 1 << 20
 
@@ -59,14 +61,15 @@ def require_known_sources(manifest: DataFrame) -> None:
 
 
 _EVENTS = (
-    "ingestion_id long, event_seq long, status string, source_name string, source_sha256 string, "
+    "ingestion_id long, event_seq long, status string, source_name string, source_sha256 string, content_digest string, "
     "source_rows long, accepted_rows long, rejected_rows long, happened_at timestamp"
 )
 
 
 def batch_events(spark: SparkSession, root: str) -> DataFrame:
+    names = [part.split()[0] for part in _EVENTS.split(", ")]
     try:
-        return spark.read.schema(_EVENTS).parquet(f"{root}/audit/ingestion_events")
+        return spark.read.schema(_EVENTS).parquet(f"{root}/audit/ingestion_events").select(*names)
     except AnalysisException:
         return spark.createDataFrame([], _EVENTS)
 
@@ -81,43 +84,99 @@ def _record(spark: SparkSession, root: str, **values) -> None:
     values["happened_at"] = dt.datetime.now(dt.timezone.utc)
     names = [part.split()[0] for part in _EVENTS.split(", ")]
     row = tuple(values.get(n) for n in names)
-    spark.createDataFrame([row], _EVENTS).coalesce(1).write.mode("append").parquet(
-        f"{root}/audit/ingestion_events"
+    # A folder per event: writers of one folder would clear each other's unfinished files.
+    spark.createDataFrame([row], _EVENTS).coalesce(1).write.mode("errorifexists").parquet(
+        f"{root}/audit/ingestion_events/event={values['ingestion_id']}-{values['event_seq']}"
     )
 
 
-def ingest_batch(
-    accepted: DataFrame, rejected: DataFrame, source_name: str, source_sha256: str, root: str
-) -> int:
-    """Load one validated source under a new batch id and return the id.
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file that must not exist yet; False when somebody else has.
 
-    Rows land in an ``ingestion_id=N`` folder of their own: a failed batch leaves no
-    rows another batch's readers would see, and the log only ever grows.
+    Exclusive on local disks and on every store whose creation without overwriting is, such as HDFS.
+    """
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(target.getParent())
+    if system.getUri().getScheme() == "file":
+        try:
+            os.close(os.open(target.toUri().getPath(), os.O_CREAT | os.O_EXCL))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        system.create(target, False).close()
+    except Py4JJavaError as error:
+        if system.exists(target):
+            return False
+        raise error
+    return True
+
+
+def _claim_id(spark: SparkSession, root: str) -> int:
+    """The lowest id above all recorded ones that nobody else has claimed."""
+    wanted = (batch_events(spark, root).agg(F.max("ingestion_id")).first()[0] or 0) + 1
+    while not claim(spark, f"{root}/audit/claims/id-{wanted:012d}"):
+        wanted += 1
+    return wanted
+
+
+def repeated_content(accepted: DataFrame, fingerprint: str = "row_fingerprint") -> int:
+    """Rows whose content repeats an earlier row; equal fingerprints are compared by their values."""
+    content = [c for c in accepted.columns if c not in (LINE, fingerprint)]
+    shared = accepted.groupBy(fingerprint).agg(F.count("*").alias("n")).where(F.col("n") > 1).select(fingerprint)
+    groups = accepted.join(shared, fingerprint, "left_semi").groupBy(*content).agg(F.count("*").alias("n"))
+    return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).first()[0]
+
+
+def _content_digest(accepted: DataFrame) -> Column:
+    """A name of the set of rows, whatever their order, lines and files: their number and 128 bits."""
+    content = [c for c in accepted.columns if c not in (LINE, "row_fingerprint")]
+    halves = [F.lpad(F.hex(F.bit_xor(F.xxhash64(F.lit(i), *content))), 16, "0") for i in (1, 2)]
+    return F.concat(F.count("*").cast("string"), F.lit("-"), *halves)
+
+
+def ingest_batch(flagged: DataFrame, source_name: str, source_sha256: str, root: str) -> int:
+    """Load one checked source (lines with their rejection reason) under a new id and return the id.
+
+    The id and the source's digest are claimed by exclusive creation, so loads may run side by
+    side. The checks are computed once, into a staging folder. Rows repeated within the batch, or a
+    batch that holds the same rows as an earlier one, are refused before anything is published.
+    Accepted rows carry their fingerprint and land in an ``ingestion_id=N`` folder of their own;
+    readers see them with the ``completed`` event. The log only grows. A source whose load
+    failed stays claimed, as its digest is in the log.
     """
-    spark = accepted.sparkSession
-    known = batch_events(spark, root)
-    if not known.where(F.col("source_sha256") == source_sha256).isEmpty():
+    spark = flagged.sparkSession
+    if not claim(spark, f"{root}/audit/claims/source-{source_sha256}"):
         raise ValueError("This source digest was ingested before.")
-    ingestion_id = (known.agg(F.max("ingestion_id")).first()[0] or 0) + 1
+    ingestion_id = _claim_id(spark, root)
     common = {
         "ingestion_id": ingestion_id, "source_name": source_name, "source_sha256": source_sha256,
     }
     _record(spark, root, event_seq=1, status="started", **common)
     try:
-        accepted_to = f"{root}/raw/transactions/ingestion_id={ingestion_id}"
+        staging = f"{root}/staging/ingestion_id={ingestion_id}"
+        flagged.write.mode("errorifexists").parquet(staging)
+        staged = spark.read.schema(flagged.schema).parquet(staging)
+        accepted, rejected = accepted_rows(staged), rejected_rows(staged)
+        content = [c for c in accepted.columns if c != LINE]
+        accepted = row_fingerprint(accepted, content).select(LINE, "row_fingerprint", *content)
+        digest, n_accepted = accepted.agg(_content_digest(accepted), F.count("*")).first()
+        if repeats := repeated_content(accepted):
+            raise RuntimeError(f"{repeats} rows repeat the content of another row of this batch.")
+        if n_accepted and not claim(spark, f"{root}/audit/claims/content-{digest}"):
+            raise RuntimeError("A batch with the same rows was ingested before.")
         rejected_to = f"{root}/audit/rejected_rows/ingestion_id={ingestion_id}"
-        accepted.write.mode("errorifexists").parquet(accepted_to)
-        rejected_payload_json(rejected, ingestion_id).drop("ingestion_id").write.mode(
-            "errorifexists"
-        ).parquet(rejected_to)
-        n_accepted = spark.read.parquet(accepted_to).count()
-        n_rejected = spark.read.parquet(rejected_to).count()
+        rejected_payload_json(rejected, ingestion_id).drop("ingestion_id").write.mode("errorifexists").parquet(rejected_to)
+        accepted.write.mode("errorifexists").parquet(f"{root}/raw/transactions/ingestion_id={ingestion_id}")
+        n_rejected = rejected.count()
     except Exception:
         _record(spark, root, event_seq=2, status="failed", **common)
         raise
     _record(
         spark, root, event_seq=2, status="completed", source_rows=n_accepted + n_rejected,
-        accepted_rows=n_accepted, rejected_rows=n_rejected, **common,
+        accepted_rows=n_accepted, rejected_rows=n_rejected, content_digest=digest, **common,
     )
     return ingestion_id
 

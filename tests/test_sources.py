@@ -1,7 +1,9 @@
 import hashlib
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 
 from quern.operators import contract
@@ -89,20 +91,66 @@ def test_manifest(spark, tmp_path):
             ingest.require_known_sources(ingest.source_manifest(spark, f"{path}/*.csv", expected))
 
 
+def flagged(spark, data):
+    return contract.flag_transactions(spark.createDataFrame(data, SCHEMA))
+
+
 def test_batches(spark, tmp_path):
     root = str(tmp_path / "lake")
     data = [*FOUR, changed(FOUR[0], source_row_number=9, amount=-1.0)]
-    result = contract.validate_transactions(spark.createDataFrame(data, SCHEMA))
-    assert ingest.ingest_batch(result.accepted, result.rejected, "s", "1" * 64, root) == 1
+    assert ingest.ingest_batch(flagged(spark, data), "s", "1" * 64, root) == 1
     with pytest.raises(ValueError, match="before"):
-        ingest.ingest_batch(result.accepted, result.rejected, "s", "1" * 64, root)
+        ingest.ingest_batch(flagged(spark, data), "s", "1" * 64, root)
+    broken = flagged(spark, data).withColumn("rejection_reason", F.raise_error(F.lit("x")).cast("string"))
     with pytest.raises(Exception):
-        ingest.ingest_batch(result.accepted, result.accepted.selectExpr("raise_error('x') AS rejection_reason", "source_row_number"), "s", "2" * 64, root)
+        ingest.ingest_batch(broken, "s", "2" * 64, root)
     state = ingest.batch_state(spark, root)
     assert rows(state, "ingestion_id", "status", "accepted_rows", "rejected_rows") == [
         (1, "completed", 4, 1), (2, "failed", None, None),
     ]
+    loaded = ingest.completed_rows(spark, root, "raw/transactions")
+    assert loaded.count() == 4 and loaded.where("length(row_fingerprint) = 16").select("row_fingerprint").distinct().count() == 4
+    assert ingest.completed_rows(spark, root, "audit/rejected_rows").count() == 1
+
+
+def test_repeated_content_is_refused_before_it_is_published(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    ingest.ingest_batch(flagged(spark, FOUR), "s", "1" * 64, root)
+    again = [changed(r, source_row_number=100 - i) for i, r in enumerate(FOUR)]  # other file, other lines, same rows
+    with pytest.raises(RuntimeError, match="same rows"):
+        ingest.ingest_batch(flagged(spark, again), "s", "2" * 64, root)
+    twice = spark.createDataFrame([*FOUR, changed(FOUR[0], source_row_number=50)], SCHEMA).withColumn("rejection_reason", F.lit(""))
+    with pytest.raises(RuntimeError, match="1 rows repeat"):
+        ingest.ingest_batch(twice, "s", "3" * 64, root)
+    assert rows(ingest.batch_state(spark, root), "ingestion_id", "status") == [(1, "completed"), (2, "failed"), (3, "failed")]
     assert ingest.completed_rows(spark, root, "raw/transactions").count() == 4
+    assert os.listdir(f"{root}/raw/transactions") == ["ingestion_id=1"]
+    # Batches without accepted rows hold no content that could repeat.
+    for digest in ("4", "5"):
+        ingest.ingest_batch(flagged(spark, [changed(FOUR[0], amount=-1.0)]), "s", digest * 64, root)
+
+
+def test_loads_side_by_side(spark, tmp_path):
+    """Two sources get two ids; of two loads of one source one is refused."""
+    root = str(tmp_path / "lake")
+    sources = [("1", FOUR[:2]), ("2", FOUR[2:]), ("3", [changed(FOUR[0], amount=7.5)]), ("3", [changed(FOUR[0], amount=7.5)])]
+
+    def load(source):
+        try:
+            return ingest.ingest_batch(flagged(spark, source[1]), "s", source[0] * 64, root)
+        except ValueError:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        ids = list(pool.map(load, sources))
+    assert ids.count(None) == 1 and None in ids[2:] and sorted(i for i in ids if i) == [1, 2, 3]
+    assert ingest.completed_rows(spark, root, "raw/transactions").count() == 5
+
+
+def test_one_of_many_claims_succeeds(spark, tmp_path):
+    for path in (f"{tmp_path}/a/one", f"file://{tmp_path}/a/two"):
+        with ThreadPoolExecutor(8) as pool:
+            assert sum(pool.map(lambda _: ingest.claim(spark, path), range(16))) == 1
 
 
 def test_published_names(spark):
