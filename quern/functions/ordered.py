@@ -326,51 +326,56 @@ def even_probabilities(parts: int) -> list[float]:
     return [i * step for i in range(parts)] + [1.0]
 
 
-def hash_cutoff(df: DataFrame, id_column: str, size: int, seed: int) -> tuple[str, object] | None:
+def hash_cutoff(
+    df: DataFrame, id_column: str, size: int, seed: int, rows: int | None = None
+) -> tuple[str, object] | None:
     """(hash, id) of the last row of an exact hash-ordered sample, or None for all rows.
 
-    Narrows a hexadecimal prefix until one small group is left; each step returns at
-    most 4,096 counts to the driver, so the sample itself never has to be sorted.
+    Hashes are uniform, so the wanted one lies within a few standard deviations of its share of
+    their range. One pass counts the hashes below that bracket and keeps those inside, about
+    16 square roots of the sample's size. ``rows`` saves the pass that counts the rows.
     """
+    rows = df.count() if rows is None else rows
+    if size >= rows:
+        return None
     hashed = df.select(sample_hash(id_column, seed).alias("h"), F.col(id_column).alias("i"))
-    prefix, remaining = "", size
-    while True:
-        width = len(prefix) + 3
-        counts = (
-            hashed.where(F.col("h").startswith(prefix))
-            .groupBy(F.substring("h", 1, width).alias("p"))
-            .agg(F.count("*").alias("n"))
-            .collect()
-        )
-        ordered = sorted((r["p"], r["n"]) for r in counts)
-        if sum(n for _, n in ordered) <= remaining and not prefix:
-            return None
-        for part, n in ordered:
-            if remaining <= n:
-                prefix = part
-                break
-            remaining -= n
-        if n <= 10_000 or width >= 30:
-            break
-    last = (
-        hashed.where(F.col("h").startswith(prefix))
-        .orderBy("h", "i")
-        .limit(remaining)
-        .agg(F.max(F.struct("h", "i")).alias("last"))
-        .first()["last"]
+    share = size / rows
+    reach = 8 * math.sqrt(share * (1 - share) / rows) + 8 / rows
+    # Repeated ids are no uniform draws; should the bracket miss, the whole range is one.
+    for low, high in ((share - reach, share + reach), (0.0, 1.0)):
+        found = _kth_hash(hashed, size, max(low, 0.0), min(high, 1.0))
+        if found is not None:
+            return found
+    raise ValueError(f"{id_column} has fewer than {size} rows.")
+
+
+def _kth_hash(hashed: DataFrame, k: int, low: float, high: float) -> tuple[str, object] | None:
+    """The k-th row by (hash, id) when it lies between two shares of the range of hashes."""
+    place = F.conv(F.substring("h", 1, 12), 16, 10).cast("long")
+    first, last = int(low * 16**12), math.ceil(high * 16**12)
+    inside = place >= first
+    counted = (
+        hashed.where(place <= last)
+        .groupBy(F.when(inside, F.col("h")).alias("h"), F.when(inside, F.col("i")).alias("i"))
+        .agg(F.count("*").alias("n"))
     )
-    return last["h"], last["i"]
+    running = Window.orderBy(F.col("h").asc_nulls_first(), "i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = counted.withColumn("upto", F.sum("n").over(running)).where(F.col("upto") >= k)
+    found = reached.orderBy("upto").limit(1).collect()
+    return (found[0]["h"], found[0]["i"]) if found and found[0]["h"] is not None else None
 
 
 def sample_hash(id_column: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(id_column).cast("string"), F.lit(f":{seed}")))
 
 
-def hash_sample(df: DataFrame, id_column: str, size: int, seed: int) -> DataFrame:
+def hash_sample(
+    df: DataFrame, id_column: str, size: int, seed: int, rows: int | None = None
+) -> DataFrame:
     """Exactly ``min(size, rows)`` rows, the same ones on every run and layout."""
     if size <= 0:
         return df.where(F.lit(False))
-    cutoff = hash_cutoff(df, id_column, size, seed)
+    cutoff = hash_cutoff(df, id_column, size, seed, rows)
     if cutoff is None:
         return df
     h, last_hash, last_id = sample_hash(id_column, seed), *cutoff

@@ -15,11 +15,27 @@ def sort_limit(df: DataFrame, column: str, n: int, tie_break: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_last(column), tie_break).limit(n)
 
 
-def to_date_column(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Date part of a date-time or text column; unreadable text becomes NULL."""
+#: Ways in which registers write a day, tried in turn after the ISO form.
+DATE_FORMATS = ("MMMM d, yyyy", "MMM d, yyyy", "M/d/yyyy", "d-MMM-yyyy")
+
+
+def to_date_column(
+    df: DataFrame, column: str, name: str, formats: Sequence[str] = DATE_FORMATS, failed: str | None = None
+) -> DataFrame:
+    """Date part of a date-time or text column.
+
+    Text is read in ISO form or else by the first of ``formats`` that fits it whole; other text
+    gives NULL. ``failed`` names a flag that tells such text from a missing value.
+    """
+    source = F.col(f"`{column}`")
     if df.schema[column].dataType.simpleString() == "string":
-        return df.withColumn(name, F.expr(f"try_cast(`{column}` AS DATE)"))
-    return df.withColumn(name, F.to_date(column))
+        trimmed = F.trim(source)
+        read = [F.to_date(F.try_to_timestamp(trimmed, F.lit(f))) for f in formats]
+        day = F.coalesce(F.expr(f"try_cast(trim(`{column}`) AS DATE)"), *read)
+    else:
+        day = F.to_date(source)
+    dated = df.withColumn(name, day)
+    return dated.withColumn(failed, source.isNotNull() & F.col(f"`{name}`").isNull()) if failed else dated
 
 
 def backfill_self_join(df: DataFrame, key: str, row_id: str, column: str) -> DataFrame:

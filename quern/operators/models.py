@@ -4,22 +4,22 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions.ordered import hash_sample, sample_hash
+from quern.functions.ordered import row_index
 from quern.operators.features import CATEGORICAL_FEATURES, MODEL_FEATURES, NUMERIC_FEATURES
 from quern.operators.policy import Costs, with_value
 from quern.operators.scoring import average_precision
 from quern.operators.splitting import class_balance_weights
-from quern.session import ensure_checkpoint_dir
+from quern.session import ensure_checkpoint_dir, written
 
 # The two declared boosted-tree candidates.
 BOOSTED_CANDIDATES = (
@@ -188,51 +188,69 @@ def model_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "feature string, importance double, method string")
 
 
-def feature_importance(
-    model: PipelineModel,
+def _shuffled(
+    df: DataFrame, features: Sequence[str], row_id: str, seeds: Sequence[int]
+) -> DataFrame:
+    """Every row once per seed, with the features of its partner as ``_other_*``.
+
+    A row at place k of one seeded order is paired with the row at place k of another. Places are
+    numbered by ranges of the order, so neither a sort nor the pairing takes one task.
+    """
+    draw = lambda shift: F.conv(
+        F.substring(F.md5(F.concat(F.col(row_id).cast("string"), F.lit(":"), (F.col("_seed") + shift).cast("string"))), 1, 15), 16, 10
+    ).cast("long")
+    rounds = df.withColumn("_seed", F.explode(F.array(*[F.lit(s) for s in seeds])))
+    own = row_index(rounds.withColumn("_draw", draw(0)), "_draw", by=["_seed"], name="_place").drop("_draw")
+    other = row_index(
+        rounds.select("_seed", draw(500_000).alias("_draw"), *[F.col(c).alias(f"_other_{c}") for c in features]),
+        "_draw", by=["_seed"], name="_place",
+    ).drop("_draw")
+    return own.join(other, ["_seed", "_place"])
+
+
+def permutation_importance(
     df: DataFrame,
+    score: Callable[[DataFrame], DataFrame],
+    features: Sequence[str],
     row_id: str = "source_row_number",
     label: str = "label",
-    sample_rows: int = 2_000,
-    seed: int = 42,
+    seeds: Sequence[int] = (42, 43, 44),
 ) -> DataFrame:
-    """Average precision lost when one feature is shuffled, on a fixed-size sample.
+    """Average precision lost when one feature is shuffled: its mean and spread over the seeds.
 
-    All shuffled copies of the sample (2,000 rows) are scored in one pass.
+    ``score`` adds a column ``score``. All rows take part, and all shuffled copies are scored
+    in one pass. The spread is NULL for a single seed.
     """
-    sample = hash_sample(df, row_id, sample_rows, seed)
-    spot = lambda *order: F.row_number().over(Window.orderBy(*order))
-    # The sample has at most ``sample_rows`` rows, so a plain numbering is enough.
-    numbered = sample.withColumn("_spot", spot(row_id))
-    partner = sample.select(
-        spot(sample_hash(row_id, seed + 1), row_id).alias("_spot"),
-        *[F.col(c).alias(f"_other_{c}") for c in MODEL_FEATURES],
-    )
-    copies = numbered.join(partner, "_spot").withColumn(
-        "shuffled", F.explode(F.array(*[F.lit(c) for c in ("", *MODEL_FEATURES)]))
-    )
-    mixed = copies.withColumns(
-        {
-            c: F.when(F.col("shuffled") == c, F.col(f"_other_{c}")).otherwise(F.col(c))
-            for c in MODEL_FEATURES
-        }
-    ).select("shuffled", label, *MODEL_FEATURES)
-    scored = raw_score(model, mixed).select(
-        "shuffled", F.col("score").alias("probability"), F.col(label).alias("actual")
-    )
-    table = average_precision(scored, by=["shuffled"])
-    whole = table.where(F.col("shuffled") == "").select("average_precision").scalar()
+    paired = written(_shuffled(df.select(row_id, label, *features), features, row_id, seeds), "paired")
+    copies = paired.withColumn("_shuffled", F.explode(F.array(*[F.lit(c) for c in ("", *features)])))
+    mixed = copies.select(
+        "_seed", "_shuffled", label,
+        *[F.when(F.col("_shuffled") == c, F.col(f"_other_{c}")).otherwise(F.col(c)).alias(c) for c in features],
+    )
+    scored = score(mixed).select("_seed", "_shuffled", F.col("score").alias("probability"), F.col(label).alias("actual"))
+    # One row per seed and feature.
+    table = written(average_precision(scored, by=["_seed", "_shuffled"]), "precision")
+    whole = table.where(F.col("_shuffled") == "").select("_seed", F.col("average_precision").alias("_whole"))
+    lost = table.where(F.col("_shuffled") != "").join(whole, "_seed").withColumn("_lost", F.col("_whole") - F.col("average_precision"))
     return (
-        table.where(F.col("shuffled") != "")
-        .select(
-            F.col("shuffled").alias("feature"),
-            (whole - F.col("average_precision")).alias("importance"),
-            F.lit("permutation").alias("method"),
-        )
-        .orderBy(F.desc("importance"))
+        lost.groupBy(F.col("_shuffled").alias("feature"))
+        .agg(F.avg("_lost").alias("importance"), F.stddev_samp("_lost").alias("spread"))
+        .withColumn("method", F.lit("permutation"))
+        .orderBy(F.desc("importance"), "feature")
     )
 
 
+def feature_importance(
+    model: PipelineModel,
+    df: DataFrame,
+    row_id: str = "source_row_number",
+    label: str = "label",
+    seeds: Sequence[int] = (42, 43, 44),
+) -> DataFrame:
+    """Permutation importance of a fitted model's features over all rows."""
+    return permutation_importance(df, lambda rows: raw_score(model, rows), MODEL_FEATURES, row_id, label, seeds)
+
+
 def model_run_record(
     bundle: Bundle, model_run_id: int, metrics: DataFrame
 ) -> DataFrame:

@@ -111,8 +111,8 @@ def sample_negatives(
     Negatives are taken in the order of a seeded hash of their id. The last hash taken
     is found first, so the sample is one filter: no sort, no shuffle of the rows.
     """
-    positives = df.where(F.col(label) == 1).count()
-    negatives = hash_sample(df.where(F.col(label) == 0), row_id, positives * ratio, seed)
+    counts = df.agg(F.count_if(F.col(label) == 1).alias("one"), F.count_if(F.col(label) == 0).alias("zero")).first()
+    negatives = hash_sample(df.where(F.col(label) == 0), row_id, counts["one"] * ratio, seed, counts["zero"])
     return df.where(F.col(label) == 1).unionByName(negatives)
 
 

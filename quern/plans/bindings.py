@@ -115,16 +115,17 @@ VIEWS = {
              JOIN {nation} n ON c.c_nationkey = n.n_nationkey
              JOIN {part} p ON l.l_partkey = p.p_partkey
     """,
-    # providers: one row per provider and year, 1996-2000 (433 of 1,496 present in all five)
+    # providers: one row per provider and year, over all years
     "providers": """
         SELECT o.o_custkey AS prvdr_id, n.n_name AS state, 'PROVIDER' AS smry_ctgry,
                CAST(year(o.o_orderdate) AS INT) AS year,
                CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS pymt,
                CASE WHEN o.o_custkey % 4 = 0 THEN '*' ELSE CAST(o.o_custkey % 100 AS STRING) END AS bene_dual_pct
         FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey
-        WHERE year(o.o_orderdate) BETWEEN 1996 AND 2000
         GROUP BY 1, 2, 3, 4, 6
     """,
+    # panel_years: the five periods of the balanced panel
+    "panel_years": "SELECT * FROM {providers} WHERE year BETWEEN 1996 AND 2000",
     # weather: five stations, more than 2,000 days
     "weather": """
         SELECT 'ST' || CAST(o_custkey % 5 AS STRING) AS name, CAST(o_orderdate AS DATE) AS date,

@@ -37,7 +37,7 @@ def _parts(b):
 
 def _bundle(b):
     ends, fit, calibration, later = _parts(b)
-    model = models.fit_logistic(fit, max_iter=20)
+    model = models.fit_logistic(fit)
     a, c = models.sigmoid_calibration(models.raw_score(model, calibration))
     bundle = models.Bundle(model, "logistic_regression", (a, c), 0.01, COSTS, *ends)
     return bundle, later
@@ -87,7 +87,7 @@ def _(b):
 @register("fit_logistic")
 def _(b):
     _, fit, _, later = _parts(b)
-    model = models.fit_logistic(fit, max_iter=20)
+    model = models.fit_logistic(fit)
     return models.raw_score(model, later).select("source_row_number", "label", "score")
 
 
@@ -156,7 +156,42 @@ def _(b):
     return models.model_run_record(bundle, 1, metrics)
 
 
-@register("feature_importance")
+_FIXED = ("amount", "origin_balance_is_zero", "destination_is_merchant", "hour_of_day")
+_FIXED_SCORE = "4 * CAST(amount > 50 AS INT) + 2 * destination_is_merchant + origin_balance_is_zero"
+_SEEDS = (42, 43, 44)
+_PLACED = ("CAST('0x' || substr(md5(CAST(source_row_number AS VARCHAR) || ':' || CAST(seed + {shift} AS VARCHAR)), 1, 15) AS BIGINT)")
+_IMPORTANCE = {
+    **_SPLIT,
+    "matrix": _FEATURES.replace("round(", "(").replace(", 6) AS", ") AS"),
+    "later": "SELECT * FROM matrix WHERE step > (SELECT a FROM ends) AND step <= (SELECT z FROM ends)",
+    "rounds": f"SELECT l.*, seed FROM later l, (SELECT unnest({list(_SEEDS)}) AS seed)",
+    "own": "SELECT *, row_number() OVER (PARTITION BY seed ORDER BY " + _PLACED.format(shift=0) + ") AS place FROM rounds",
+    "other": "SELECT seed, " + ", ".join(f"{c} AS other_{c}" for c in _FIXED) + ", row_number() OVER (PARTITION BY seed ORDER BY "
+             + _PLACED.format(shift=500000) + ") AS place FROM rounds",
+    "copies": "SELECT seed, shuffled, label, " + ", ".join(f"CASE WHEN shuffled = '{c}' THEN other_{c} ELSE {c} END AS {c}" for c in _FIXED)
+              + " FROM own JOIN other USING (seed, place), (SELECT unnest(['', " + ", ".join(f"'{c}'" for c in _FIXED) + "]) AS shuffled)",
+    "counted": f"SELECT seed, shuffled, {_FIXED_SCORE} AS score, count(*) AS n, sum(label) AS y FROM copies GROUP BY 1, 2, 3",
+    "summed": "SELECT *, sum(n) OVER w AS upto, sum(y) OVER w AS tp FROM counted WINDOW w AS (PARTITION BY seed, shuffled ORDER BY score DESC)",
+    "precision": "SELECT seed, shuffled, sum(y * tp / CAST(upto AS DOUBLE)) / sum(y) AS ap FROM summed GROUP BY 1, 2",
+    "lost": "SELECT p.shuffled, w.ap - p.ap AS lost FROM precision p JOIN precision w ON p.seed = w.seed AND w.shuffled = '' AND p.shuffled <> ''",
+}
+
+
+@register(
+    "feature_importance",
+    oracle("txn", steps=_IMPORTANCE, select="SELECT shuffled AS feature, round(avg(lost), 6) + 0e0 AS importance, "
+           "round(stddev_samp(lost), 6) AS spread, 'permutation' AS method FROM lost GROUP BY 1"),
+)
+def _(b):
+    """The features of a fixed score, so that the shuffling itself can be compared."""
+    *_, later = _parts(b)
+    score = lambda rows: rows.withColumn("score", F.expr(_FIXED_SCORE).cast("double"))
+    return rounded(models.permutation_importance(later, score, _FIXED, seeds=_SEEDS)).withColumn(
+        "importance", F.col("importance") + F.lit(0.0)
+    )
+
+
+@register("feature_importance_fitted")
 def _(b):
     bundle, later = _bundle(b)
     return models.feature_importance(bundle.model, later)

@@ -356,10 +356,16 @@ def _owner_part(place):
 
 @register(
     "to_date_column",
-    oracle("housing", select="SELECT h.*, CAST(sale_date AS DATE) AS sale_day FROM housing h"),
+    oracle("housing", select="SELECT h.*, CAST(sale_date AS DATE) AS sale_day, CASE WHEN unique_id % 41 <> 0 THEN CAST(sale_date AS DATE) END AS text_day, "
+           "unique_id % 41 = 0 AS text_unread FROM housing h"),
 )
 def _(b):
-    return cleaning.to_date_column(b["housing"], "sale_date", "sale_day")
+    # The same days once more as texts of three formats, some of them unreadable.
+    day, pick = F.col("sale_day"), F.col("unique_id") % 3
+    text = F.when(F.col("unique_id") % 41 == 0, "some day").when(pick == 0, F.date_format(day, "MMMM d, yyyy"))
+    text = text.when(pick == 1, F.date_format(day, "M/d/yyyy")).otherwise(day.cast("string"))
+    dated = cleaning.to_date_column(b["housing"], "sale_date", "sale_day").withColumn("_text", text)
+    return cleaning.to_date_column(dated, "_text", "text_day", failed="text_unread").drop("_text")
 
 
 @register(
@@ -469,7 +475,7 @@ def _(b):
 
 _ONE_YEAR = "FROM providers WHERE smry_ctgry = 'PROVIDER'"
 _PANEL = {
-    "panel": "SELECT * FROM providers WHERE prvdr_id IN (SELECT prvdr_id FROM providers GROUP BY 1 "
+    "panel": "SELECT * FROM panel_years WHERE prvdr_id IN (SELECT prvdr_id FROM panel_years GROUP BY 1 "
     "HAVING count(DISTINCT year) = 5)"
 }
 
@@ -539,31 +545,31 @@ def _(b):
     return providers.rows_by_year(b["providers"])
 
 
-@register("join_semi_balanced", oracle("providers", steps=_PANEL, select="SELECT * FROM panel"))
+@register("join_semi_balanced", oracle("panel_years", steps=_PANEL, select="SELECT * FROM panel"))
 def _(b):
-    return providers.join_semi_balanced(b["providers"])
+    return providers.join_semi_balanced(b["panel_years"])
 
 
-@register("panel_size", oracle("providers", steps=_PANEL, select="SELECT count(DISTINCT prvdr_id) AS providers FROM panel"))
+@register("panel_size", oracle("panel_years", steps=_PANEL, select="SELECT count(DISTINCT prvdr_id) AS providers FROM panel"))
 def _(b):
-    return providers.panel_size(providers.join_semi_balanced(b["providers"]))
+    return providers.panel_size(providers.join_semi_balanced(b["panel_years"]))
 
 
 @register(
     "panel_balance_check",
-    oracle("providers", steps=_PANEL, select="SELECT year, count(DISTINCT prvdr_id) AS providers FROM panel GROUP BY 1"),
+    oracle("panel_years", steps=_PANEL, select="SELECT year, count(DISTINCT prvdr_id) AS providers FROM panel GROUP BY 1"),
 )
 def _(b):
-    return providers.panel_balance_check(providers.join_semi_balanced(b["providers"]))
+    return providers.panel_balance_check(providers.join_semi_balanced(b["panel_years"]))
 
 
 @register(
     "payment_trend",
-    oracle("providers", steps=_PANEL, select="SELECT year, count(*) AS providers, round(avg(pymt), 6) AS mean_pymt "
+    oracle("panel_years", steps=_PANEL, select="SELECT year, count(*) AS providers, round(avg(pymt), 6) AS mean_pymt "
            "FROM panel WHERE pymt IS NOT NULL GROUP BY 1"),
 )
 def _(b):
-    return providers.payment_trend(providers.join_semi_balanced(b["providers"]), digits=6)
+    return providers.payment_trend(providers.join_semi_balanced(b["panel_years"]), digits=6)
 
 
 @register(
@@ -572,7 +578,8 @@ def _(b):
 )
 def _(b):
     frame = b["providers"]
-    yearly = {y: frame.where(F.col("year") == y).drop("year") for y in range(1996, 2001)}
+    years = sorted(r["year"] for r in frame.select("year").distinct().collect())
+    yearly = {y: frame.where(F.col("year") == y).drop("year") for y in years}
     return providers.union_all_years(yearly, ("prvdr_id", "state", "smry_ctgry", "pymt"))
 
 

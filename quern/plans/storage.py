@@ -74,7 +74,7 @@ _SHARED = {"prvdr_id": "bigint", "state": "string", "smry_ctgry": "string", "pym
 )
 def _(b):
     root = scratch_path(b.spark, "yearly")
-    years = range(1996, 2001)
+    years = sorted(r["year"] for r in b["providers"].select("year").distinct().collect())
     for year in years:  # odd years store their columns in another order
         frame = b["providers"].where(F.col("year") == year).drop("year")
         columns = frame.columns if year % 2 == 0 else list(reversed(frame.columns))
@@ -145,12 +145,13 @@ def _(b):
 
 @register(
     "describe_schema",
-    "SELECT column_name, non_null FROM (SELECT count(event_id) AS event_id, count(ts) AS ts, count(user_id) AS user_id, "
+    "SELECT column_name, non_null, CASE column_name WHEN 'event_id' THEN 'bigint' WHEN 'user_id' THEN 'bigint' WHEN 'value' THEN 'double' "
+    "WHEN 'ts' THEN 'timestamp_ntz' ELSE 'string' END AS data_type FROM (SELECT count(event_id) AS event_id, count(ts) AS ts, count(user_id) AS user_id, "
     "count(event_type) AS event_type, count(value) AS value, count(props) AS props FROM events) "
     "UNPIVOT (non_null FOR column_name IN (event_id, ts, user_id, event_type, value, props))",
 )
 def _(b):
-    return tables.describe_schema(b["events"]).drop("data_type")
+    return tables.describe_schema(b["events"])
 
 
 @register("source_manifest")

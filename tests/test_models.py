@@ -69,3 +69,25 @@ def test_foreign_folder_is_refused(spark, tmp_path):
 def test_depth_of_the_declared_candidates():
     depths = [math.ceil(math.log2(c["num_leaves"])) for c in models.BOOSTED_CANDIDATES]
     assert depths == [5, 6]
+
+
+def test_importance_of_a_known_score(spark):
+    """Only features the score uses lose precision; every row keeps a partner's value of the same column."""
+    rows = [(i, i % 2, i % 2, (i * 7919) % 50, i % 3) for i in range(600)]
+    df = spark.createDataFrame(rows, "source_row_number long, label int, key int, noise int, other int").repartition(5)
+    seen = []
+
+    def score(frame):
+        seen.append(frame)
+        return frame.withColumn("score", F.col("key").cast("double"))
+
+    found = {r["feature"]: r for r in models.permutation_importance(df, score, ("key", "noise", "other"), seeds=(1, 2)).collect()}
+    assert found["key"]["importance"] == pytest.approx(0.5, abs=0.06) and 0 <= found["key"]["spread"] < 0.1
+    assert found["noise"]["importance"] == found["other"]["importance"] == found["noise"]["spread"] == 0
+    copies = seen[0]
+    assert copies.count() == 2 * 4 * 600
+    for c in ("key", "noise", "other"):
+        counts = [copies.where(f"_shuffled = '{s}' AND _seed = 1").groupBy(c).count().orderBy(c).collect() for s in ("", c)]
+        assert counts[0] == counts[1]
+    moved = copies.where("_shuffled = 'noise'").groupBy("_seed").agg(F.sum(F.col("noise") * F.col("key")).alias("s")).collect()
+    assert moved[0]["s"] != moved[1]["s"]

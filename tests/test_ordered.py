@@ -1,5 +1,6 @@
 """Ordering primitives against plain Python, with groups holding most of the rows."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -116,3 +117,20 @@ def test_hash_sample_is_exact_and_stable(spark):
         ids = {r["id"] for r in first.collect()}
         assert len(ids) == min(size, 5_000)
         assert ids == {r["id"] for r in again.collect()}
+
+
+def test_samples_with_repeated_ids(spark):
+    """Hashes of few ids are not uniform; the sample is exact all the same."""
+    df = spark.createDataFrame([(i % 3,) for i in range(300)] + [(i,) for i in range(10, 40)], "id long")
+    order = sorted((hashlib.md5(f"{r.id}:5".encode()).hexdigest(), r.id) for r in df.collect())
+    for size in (1, 29, 100, 329):
+        cutoff = ordered.hash_cutoff(df, "id", size, 5)
+        assert tuple(cutoff) == order[size - 1]
+    assert ordered.hash_cutoff(df, "id", 330, 5) is None
+
+
+def test_samples_take_two_scans(spark):
+    ids = spark.range(200_000).withColumnRenamed("id", "i")
+    order = sorted(hashlib.md5(f"{i}:1".encode()).hexdigest() for i in range(200_000))
+    for size in (1, 7_000, 199_999):
+        assert ordered.hash_cutoff(ids, "i", size, 1, rows=200_000)[0] == order[size - 1]
