@@ -96,42 +96,68 @@ def word_ids(rows):
 # 1 ------------------------------------------------------------------------------------------
 
 
-def test_line_dedup_removes_repeated_chunks_only(docs, rows):
+def spoken(text):
+    return [line for line in (text or "").split("\n") if WORDS.search(line)]
+
+
+def removed_runs(before, after):
+    """Maximal runs of lines that are gone; for texts whose lines all differ."""
+    left, runs, run = set(after), [], []
+    for line in [*before, None]:
+        if line is not None and line not in left:
+            run.append(line)
+        elif run:
+            runs.append(run)
+            run = []
+    return runs
+
+
+def test_line_dedup_removes_only_what_stands_whole_elsewhere(docs, rows):
     found = line_dedup.dedup_lines(docs)
     assert found.columns == [c for c in docs.columns if c != "n_removed"] + ["n_removed"]
-    by_id = defaultdict(list)
+    given = {r[0]: r[1] for r in rows}
+    texts = [(r[0], r[1] or "") for r in rows]
+    kept = set()
     for r in found.collect():
-        by_id[r.doc_id].append(r)
-    seen, expected = set(), {}
-    for doc, text in sorted({(r[0], r[1]) for r in rows}, key=lambda r: r[0]):
-        spans = []
-        if text:
-            _, start, end, _ = line_dedup.chunks(pa.array([text]))
-            for a, b in zip(start.tolist(), end.tolist(), strict=True):
-                part = text.encode()[a:b]
-                if part in seen:
-                    spans.append((a, b))
-                seen.add(part)
-        expected[doc] = text if not spans else line_dedup._without(text.encode(), spans).decode()
-    for doc, got in by_id.items():
-        assert expected[doc] in [g.text for g in got]
-        assert all(g.n_chars is None or g.n_chars == len(g.text) for g in got)
+        before, after = spoken(given[r.doc_id]), spoken(r.text)
+        kept.update(after)
+        assert (r.text is None) == (given[r.doc_id] is None) and (r.n_removed > 0 or r.text == given[r.doc_id])
+        assert r.n_chars is None or r.n_chars == len(r.text)
+        if len(set(before)) == len(before):
+            runs = removed_runs(before, after)
+            for run in runs:
+                whole = "\n".join(run)
+                count = sum(whole in "\n".join(spoken(t)) for _, t in texts)
+                assert count > 1 and (len(run) > 1 or len(WORDS.findall(whole)) >= 50)
+    # The first place of every line stays.
+    assert kept == {line for _, t in texts for line in spoken(t)}
     copies = [i for i, r in enumerate(rows) if r[1] == rows[5][1]]
-    # Of later copies only single short lines are left.
-    assert expected[copies[0]] == rows[5][1]
-    assert all(len(line.split()) < 50 for i in copies[1:] for line in expected[i].split("\n"))
-    assert all(len(expected[i]) < len(rows[5][1]) / 2 for i in copies[1:])
+    made = {r.doc_id: r.text for r in found.collect()}
+    assert made[copies[0]] == rows[5][1] and all(made[i] == "" for i in copies[1:])
     passages = [r for r in rows if r[1] and r[2] == "de" and r[0] >= 87 and len(r[1].split("\n")) > 3]
     line = next(x for x in passages[0][1].split("\n") if len(x.split()) >= 50)
-    assert sum(line in expected[r[0]] for r in passages) == 1
-    assert sum(g.n_removed for got in by_id.values() for g in got) >= 9
+    assert sum(line in made[r[0]] for r in passages) == 1
 
 
-def test_chunks_resist_shifts():
+def test_cuts_resist_shifts():
     lines = [f"line {i} of the text" for i in range(60)]
-    whole = {h for h in list(line_dedup.chunks(pa.array(["\n".join(lines)])))[3].tolist()}
-    shifted = {h for h in list(line_dedup.chunks(pa.array(["new\n" + "\n".join(lines)])))[3].tolist()}
-    assert len(whole & shifted) >= len(whole) - 2
+    whole = set(line_dedup.seeds(pa.array(["\n".join(lines)]))[2].tolist())
+    shifted = set(line_dedup.seeds(pa.array(["new\n" + "\n".join(lines) + "\nmore"]))[2].tolist())
+    assert len(whole & shifted) >= len(whole) - 2 and 20 < len(whole) < 55
+
+
+def test_every_three_lines_hold_a_cut():
+    """Whatever stands around a passage, its own cuts are the same in both places."""
+    for k in range(200):
+        passage = [f"passage {k} line {j}" for j in range(3)]
+        around = [["x", *passage, "y"], [f"p{k}", "q", *passage], [*passage, f"r{k}", "s"], passage]
+        found = [set(line_dedup.seeds(pa.array(["\n".join(lines)]))[2].tolist()) for lines in around]
+        assert set.intersection(*found)
+
+
+def deduped(spark, made, **options):
+    frame = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    return {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(frame, **options).collect()}
 
 
 @pytest.mark.parametrize("length", [2, 3, 5, 10])
@@ -139,7 +165,7 @@ def test_line_dedup_removes_short_lines_whole(spark, length):
     """Passages of short lines between lines of their own; the first place of each stays."""
     made, expected = [], []
     for k in range(30):
-        passage = [f"passage {k} line {j}" for j in range(length)]
+        passage = [f"passage {k} line {j}" + " word" * 25 * (length == 2) for j in range(length)]
         if k % 3 == 0:
             passage[1:1] = ["", "", ""]
         for copy in range(3):
@@ -147,17 +173,44 @@ def test_line_dedup_removes_short_lines_whole(spark, length):
             before, after = [f"before {doc} {j}" for j in range(copy)], [f"after {doc} {j}" for j in range(2)]
             made.append((doc, "\n".join([*before, *passage, *after])))
             expected.append("\n".join([*before, *(passage if copy == 0 else []), *after]))
-    found = line_dedup.dedup_lines(spark.createDataFrame(made, "doc_id long, text string").repartition(3)).collect()
-    assert [r.text for r in sorted(found, key=lambda r: r.doc_id)] == expected
-    assert all(r.n_removed == int(r.doc_id % 3 > 0) for r in found)
+    found = deduped(spark, made)
+    assert [found[i][0] for i in range(90)] == expected
+    assert all(n == int(doc % 3 > 0) for doc, (_, n) in found.items())
+
+
+def test_line_dedup_keeps_runs_that_are_nowhere_else(spark):
+    a, b, c, d, e = ("".join(f"{x}{i} " for i in range(5)).strip() for x in "abcde")
+    text = lambda *lines: "\n".join(lines)
+    made = [(1, text(a, b)), (2, text(b, c)), (3, text(a, b, c)), (4, text(d, e, a)), (5, text(c, d, e, b)), (6, "y\n}\n}"), (7, "z\n}\n}")]
+    found = {doc: t for doc, (t, _) in deduped(spark, made).items()}
+    assert found[1] == made[0][1] and found[2] == made[1][1] and found[4] == made[3][1]
+    assert found[3] in (a, c)  # a run of two goes, the line left of the other stays
+    assert found[5] in (text(c, b), made[4][1])
+    assert (found[6], found[7]) == (made[5][1], made[6][1])  # too few words
+    # Runs with two places each: the longest goes first, what is left of the other stays only if it is too short.
+    lines = ["".join(f"{x}{i} " for i in range(6)).strip() for x in "klmnopq"]
+    made = [(1, text(*lines[:4])), (2, text(*lines[2:7])), (3, text("own", *lines))]
+    assert deduped(spark, made)[3] == ("own", 2)
 
 
 def test_line_dedup_within_one_text(spark):
-    made = [(1, "a\na\na"), (2, "b\nb\nb\nb"), (3, "c\nd\nx\nc\nd"), (4, "one\ntwo"), (5, "one\nthree"), (6, "e\nf\n")]
-    found = line_dedup.dedup_lines(spark.createDataFrame([*made, (7, "e\nf")], "doc_id long, text string")).collect()
-    assert {r.doc_id: r.text for r in found} == {
-        1: "a\na", 2: "b\nb", 3: "c\nd\nx", 4: "one\ntwo", 5: "one\nthree", 6: "e\nf\n", 7: "",
-    }
+    made = [(1, "a\na\na"), (2, "b\nb\nb\nb"), (3, "c\nd\nf\nx\nc\nd\nf"), (4, "one\ntwo"), (5, "one\nthree"), (6, "e\nf\n"), (7, "e\nf")]
+    found = deduped(spark, [*made, (None, "e\nf")], least_words=2)
+    assert {doc: t for doc, (t, _) in found.items()} == {
+        1: "a\na\na", 2: "b", 3: "c\nd\nf\nx", 4: "one\ntwo", 5: "one\nthree", 6: "e\nf\n", 7: "", None: "",
+    }
+
+
+def test_line_dedup_deals_a_frequent_chunk_to_many_tasks(spark):
+    notice = "\n".join(f"line {j} of the notice under every text" for j in range(4))
+    made = [(i, f"own text {i}\n{notice}") for i in range(3_000)]
+    frame = spark.createDataFrame(made, "doc_id long, text string").repartition(6)
+    texts = line_dedup.dedup_lines(frame).groupBy("n_removed", F.length("text") > 40).count().collect()
+    assert sorted((r[0], r[1], r["count"]) for r in texts) == [(0, True, 1), (1, False, 2_999)]
+    places = spark.createDataFrame([(i, i, 5, 0) for i in range(3_000)] + [(i, i, i, 1) for i in range(10)], "_row long, id long, hash long, line int")
+    found = line_dedup.first_places(places)
+    # The frequent seed is joined where it lies, without an exchange of its rows.
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString() and found.count() == 2_999
 
 
 # 2 ------------------------------------------------------------------------------------------
