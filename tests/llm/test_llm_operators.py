@@ -207,7 +207,7 @@ def test_line_dedup_deals_a_frequent_chunk_to_many_tasks(spark):
     frame = spark.createDataFrame(made, "doc_id long, text string").repartition(6)
     texts = line_dedup.dedup_lines(frame).groupBy("n_removed", F.length("text") > 40).count().collect()
     assert sorted((r[0], r[1], r["count"]) for r in texts) == [(0, True, 1), (1, False, 2_999)]
-    places = spark.createDataFrame([(i, i, 5, 0) for i in range(3_000)] + [(i, i, i, 1) for i in range(10)], "_row long, id long, hash long, line int")
+    places = spark.createDataFrame([(i, i, 5, 0) for i in range(3_000)] + [(i, i, 100 + i, 1) for i in range(10)], "_row long, id long, hash long, line int")
     found = line_dedup.first_places(places)
     # The frequent seed is joined where it lies, without an exchange of its rows.
     assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString() and found.count() == 2_999
