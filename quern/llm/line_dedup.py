@@ -201,8 +201,9 @@ def dedup_lines(documents: DataFrame, long_line: int = 50, least_words: int = 8)
     pairs = first_places(places).groupBy("_row", "_first").agg(F.collect_list(F.struct("line", "_there")).alias("_places"))
     pairs = _settled(pairs.withColumn("_set", F.pmod(F.xxhash64("_row"), F.lit(_SETS)).cast("int")), "line-dedup-pairs")
     firsts = held.select(F.col("_row").alias("_first"), F.col("_packed").alias("_other"))
-    asked = firsts.join(pairs.select("_first", "_set").distinct(), "_first")
-    matched = pairs.join(asked, ["_first", "_set"]).join(held.select("_row", "_packed"), "_row")
+    # Joins with texts are exchanges at every size, so that their cost grows with the input alone.
+    asked = _settled(firsts.join(pairs.select("_first", "_set").distinct().hint("merge"), "_first"), "line-dedup-firsts", "uncompressed")
+    matched = pairs.join(asked.hint("merge"), ["_first", "_set"]).hint("merge").join(held.select("_row", "_packed"), "_row")
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -252,4 +253,4 @@ def dedup_lines(documents: DataFrame, long_line: int = 50, least_words: int = 8)
             columns.insert(at, pa.array(texts, pa.string()))
             yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int32())], schema.names)
 
-    return held.drop("_seeds").join(gone, "_row", "left").select(*names, "_packed", "_gone").mapInArrow(apply, schema).toDF(*given, "n_removed")
+    return held.drop("_seeds").join(gone.hint("merge"), "_row", "left").select(*names, "_packed", "_gone").mapInArrow(apply, schema).toDF(*given, "n_removed")
