@@ -44,7 +44,7 @@ def expected_net_value(costs: Costs) -> Column:
 def with_value(scored: DataFrame, costs: Costs, threshold: float = 0.0) -> DataFrame:
     """Add day_index, expected_net_value and eligible (at the threshold, of positive value)."""
     if not 0 <= threshold <= 1:
-        raise ValueError("threshold must lie between 0 and 1.")
+        raise ValueError(f"A review threshold is a probability, not {threshold}.")
     return scored.withColumns(
         {"day_index": day_index(), "expected_net_value": expected_net_value(costs)}
     ).withColumn(

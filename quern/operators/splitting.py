@@ -92,7 +92,7 @@ def fit_calibration_split(
 ) -> DataFrame:
     """Add ``part``: the latest training steps are kept for probability calibration."""
     if not 0 < calibration_fraction < 1:
-        raise ValueError("calibration_fraction must lie between 0 and 1.")
+        raise ValueError("Calibration takes a true share of the training steps, more than none and less than all.")
     position = F.greatest(F.lit(0), _whole(F.col("n") * F.lit(1 - calibration_fraction)) - 1)
     marks = _step_marks(train, step, last=position, final=F.col("n") - 1)
     if marks["n"] < 2 or marks["last"] >= marks["final"]:
