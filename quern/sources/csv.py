@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import codecs
+import csv
+import io
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.scalar import nan_to_null
+from quern.sources.files import opened
 
 _CORRUPT = "_corrupt_record"
+#: Bytes of a file's beginning that are read at once.
+_HEAD = 1 << 16
 
 
 def scan_csv_typed(
@@ -30,28 +37,81 @@ def scan_csv_typed(
     wanted = [f for f in declared.fields if columns is None or f.name in columns]
     wanted.sort(key=lambda f: list(columns).index(f.name) if columns else 0)
     types = {f.name: f.dataType.simpleString() for f in wanted}
-    parts = [_typed(spark, files, types) for files in files_by_header(spark, path).values()]
+    parts = [_typed(spark, files, record, types) for _, record, files in files_by_header(spark, {0: path})]
     if not parts:
         return spark.createDataFrame([], T.StructType(wanted))
     return nan_to_null(reduce(DataFrame.unionByName, parts))
 
 
-def files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """First line to the files that begin with it; only first lines are read."""
-    found: dict[str, list[str]] = {}
-    listed = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0").collect()
-    for file in sorted(row["path"] for row in listed):
-        found.setdefault(spark.read.text(file).head()["value"], []).append(file)
-    return found
+def _first_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The first record of each listed file that is not blank; little more than it is read."""
+    for batch in batches:
+        found = []
+        for path in batch["path"]:
+            with opened(path) as stream:
+                found.append(first_record(lambda stream=stream: stream.read(_HEAD)))
+        yield batch.assign(record=found)
 
 
-def _typed(spark: SparkSession, paths: str | list[str], types: Mapping[str, str]) -> DataFrame:
-    """Files of one header as columns of these types, in this order."""
-    raw = spark.read.option("header", True).csv(paths)
-    missing = sorted(set(types) - set(raw.columns))
+def first_record(read: Callable[[], bytes]) -> str | None:
+    """The first record of a stream of blocks, None if all lines are blank.
+
+    A line break inside quotes belongs to the record.
+    """
+    held, ended = b"", False
+    while True:
+        block = read()
+        ended = ended or not block
+        held += block
+        if held.startswith(codecs.BOM_UTF8):
+            held = held[len(codecs.BOM_UTF8) :]
+        place, quotes = 0, 0
+        while (at := held.find(b"\n", place)) >= 0 or (ended and place < len(held)):
+            stop = at if at >= 0 else len(held)
+            quotes += held.count(b'"', place, stop)
+            if quotes % 2 == 0 and held[:stop].strip():
+                return held[:stop].rstrip(b"\r").decode()
+            place = stop + 1
+            if quotes == 0:  # blank so far
+                held, place = held[place:], 0
+        if ended:
+            return held.rstrip(b"\r\n").decode() if held.strip() else None
+
+
+def files_by_header(spark: SparkSession, paths: Mapping[int, str]) -> list[tuple[int, str, list[str]]]:
+    """(key, first record, files that begin with it) of all files below the paths of these keys.
+
+    One job reads the first records of all files, however many they are. Files without a record are left out.
+    """
+    listed = None
+    for key, path in paths.items():
+        files = spark.read.format("binaryFile").load(path).where("length > 0").select(F.lit(key).alias("key"), "path")
+        listed = files if listed is None else listed.unionByName(files)
+    if listed is None:
+        return []
+    found: dict[tuple[int, str], list[str]] = {}
+    heads = listed.repartition("path").mapInPandas(_first_records, "key int, path string, record string")
+    for row in heads.where("record IS NOT NULL").collect():
+        found.setdefault((row["key"], row["record"]), []).append(row["path"])
+    return [(key, record, sorted(files)) for (key, record), files in sorted(found.items())]
+
+
+def _typed(spark: SparkSession, paths: list[str], record: str, types: Mapping[str, str]) -> DataFrame:
+    """Files of one header record as columns of these types, in this order.
+
+    The record gives the places of the columns, so nothing is read to plan the scan.
+    """
+    names = next(csv.reader(io.StringIO(record, newline="")))
+    missing = sorted(set(types) - set(names))
     if missing:
         raise ValueError(f"{paths} lacks the columns {missing}")
-    return raw.select(*[F.expr(f"try_cast(`{c}` AS {t})").alias(c) for c, t in types.items()])
+    twice = sorted(c for c in types if names.count(c) > 1)
+    if twice:
+        raise ValueError(f"{paths} has the columns {twice} more than once")
+    places = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    reader = spark.read.schema(places).option("header", True).option("multiLine", "\n" in record)
+    raw = reader.csv(paths)
+    return raw.select(*[F.expr(f"try_cast(c{names.index(c)} AS {t})").alias(c) for c, t in types.items()])
 
 
 def scan_csv_inferred(spark: SparkSession, path: str, null_value: str = "") -> DataFrame:
@@ -94,10 +154,9 @@ def scan_csv_yearly_union(
     columns; nothing is inferred from the data.
     """
     union = None
-    for year, path in sorted(paths.items()):
-        for files in files_by_header(spark, path).values():
-            part = _typed(spark, files, columns).withColumn("year", F.lit(year))
-            union = part if union is None else union.unionByName(part)
+    for year, record, files in files_by_header(spark, paths):
+        part = _typed(spark, files, record, columns).withColumn("year", F.lit(year))
+        union = part if union is None else union.unionByName(part)
     if union is None:
         raise ValueError("At least one year is required.")
     return union

@@ -14,20 +14,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators.contract import LINE, accepted_rows, rejected_payload_json, rejected_rows, row_fingerprint
+from quern.sources.files import opened
 
 _BLOCK = 1 << 20
 
 
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """SHA-256 of each listed file, read block by block inside the task."""
-    from pyarrow import fs
-
     for batch in batches:
         found = []
         for path in batch["path"]:
-            system, inner = fs.FileSystem.from_uri(path)
             digest = hashlib.sha256()
-            with system.open_input_stream(inner) as stream:
+            with opened(path, packed=True) as stream:
                 while block := stream.read(_BLOCK):
                     digest.update(block)
             found.append(digest.hexdigest())

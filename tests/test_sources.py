@@ -1,9 +1,13 @@
+import gzip
 import hashlib
+import io
 import os
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quern.operators import contract
@@ -55,6 +59,40 @@ def test_years_are_matched_by_header(spark, tmp_path):
         csv.scan_csv_yearly_union(spark, paths, {"id": "int", "other": "string"})
 
 
+def test_headers_of_many_files_are_one_job(spark, tmp_path):
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    for i in range(60):
+        (folder / f"part {i}.csv").write_text("id,v\n" + f"{i},1\n" if i % 2 else "v,id\n" + f"2,{i}\n")
+    (folder / "empty.csv").write_text("")
+    (folder / "blank.csv").write_text("\n  \n")
+    with gzip.open(folder / "packed.csv.gz", "wt") as file:
+        file.write("id,v\n60,3\n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    df = csv.scan_csv_typed(spark, str(folder), "id int, v int")
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setJobGroup("after", "after")
+    assert jobs <= 4  # a shuffle map stage may run as a job of its own, a listing of many paths too
+    assert rows(df) == sorted([(i, 1 if i % 2 else 2) for i in range(60)] + [(60, 3)], key=str)
+
+
+def test_headers_with_quoted_line_breaks(spark, tmp_path):
+    path = write(tmp_path, '\ufeff\n"a\nb","c ""d""",e,e,C\n1,2,3,4,5\n')
+    df = csv.scan_csv_typed(spark, path, "`a\nb` int, C int")
+    assert rows(df) == [(1, 5)]
+    with pytest.raises(ValueError, match="more than once"):
+        csv.scan_csv_typed(spark, path, "e int")
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet='ab ,\n"', max_size=5), min_size=1, max_size=4), st.integers(1, 7))
+def test_first_record_does_not_depend_on_blocks(fields, size):
+    record = ",".join('"' + f.replace('"', '""') + '"' for f in fields)
+    stream = io.BytesIO(("\n \n" + record + '\r\nx,"y\nz"\n').encode())
+    assert csv.first_record(lambda: stream.read(size)) == record
+
+
 def test_line_numbers_over_many_splits(spark, tmp_path):
     path = write(tmp_path / "t", "id,pad\n" + "".join(f"{i},{'x' * 50}\n" for i in range(2, 5_002)))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
