@@ -19,6 +19,7 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,21 +29,26 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import partitions, prepare
 from quern.llm.word_tokens import word_tokens
+from quern.sources.files import store_of
 
 _FOOTER = "<8sqqqq16s8x"
 _MAGIC = b"quernTOK"
 #: Ids of a sample that go to the training of the dictionary as one piece.
 _PIECE = 4096
+#: Bytes of neighbouring frames that are read at once; a longer frame is read alone.
+_BLOCK = 4 << 20
 
 
-def _store(path: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path)
+def _serialized(ids: np.ndarray, end_id: int, width: int) -> bytes:
+    whole = np.append(ids.astype(np.int64), end_id)
+    if whole.max() >= 1 << 8 * width:
+        raise ValueError(f"An id of {whole.max()} does not fit into {width} bytes.")
+    return whole.astype(f"<u{width}").tobytes()
 
 
-def _serialized(ids: np.ndarray, end_id: int, width: int) -> bytes:
-    return np.append(ids, end_id).astype(f"<u{width}").tobytes()
+def _width(tokens_file: str, end_id: int) -> int:
+    """The least of 2 and 4 bytes that hold every id of the vocabulary and the end."""
+    return 2 if max(word_tokens(tokens_file).top, end_id) < 1 << 16 else 4
 
 
 def _dictionary(sample: DataFrame, tokens_file: str, end_id: int, width: int, size: int) -> bytes:
@@ -68,12 +74,20 @@ def _dictionary(sample: DataFrame, tokens_file: str, end_id: int, width: int, si
     return sample.repartition(1).mapInArrow(train, "dictionary binary").first()["dictionary"]
 
 
+def _sample(rows: DataFrame, most: int) -> DataFrame:
+    """About ``most`` texts: all whose id's hash lies below a 64-bit limit, so some at every size."""
+    below = min((most << 64) // max(1, rows.count()), 1 << 64) - (1 << 63)
+    hashed = F.xxhash64("doc_id", F.lit("sample"))
+    chosen = rows.where(hashed < F.lit(below)) if below < 1 << 63 else rows
+    return chosen.orderBy(hashed, "doc_id", "text").limit(4 * most).select("text")
+
+
 def write_token_files(
     documents: DataFrame,
     path: str,
     tokens_file: str,
     end_id: int = 1,
-    width: int = 2,
+    width: int | None = None,
     sample_rows: int = 2_000,
     dictionary_bytes: int = 64 << 10,
     level: int = 3,
@@ -81,16 +95,17 @@ def write_token_files(
 ) -> DataFrame:
     """Write ``documents`` (doc_id, text); returns the manifest, one row per shard.
 
-    ``width`` is the number of bytes of a serialized id. The dictionary is fitted on about
-    ``sample_rows`` documents chosen by a hash of their id; every document is written.
+    ``width`` is the number of bytes of a serialized id, by default what the vocabulary needs; an id
+    that does not fit is an error. The dictionary is fitted on about ``sample_rows`` documents chosen
+    by a hash of their id, at most four times as many where ids repeat; every document is written.
     A task writes its shard under a name of its own and reports it only when complete, so a
     repeated task cannot damage it.
     """
     spark = prepare(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    share = min(1.0, sample_rows / max(1, rows.count()))
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
-    blob = _dictionary(rows.where(chosen).select("text"), tokens_file, end_id, width, dictionary_bytes)
+    width = width or _width(tokens_file, end_id)
+    sample = _sample(rows, sample_rows)
+    blob = _dictionary(sample, tokens_file, end_id, width, dictionary_bytes)
     digest = hashlib.md5(blob).digest()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,7 +119,7 @@ def write_token_files(
         out = None
         for batch in batches:
             if out is None:
-                store, inner = _store(name)
+                store, inner = store_of(name)
                 out = store.open_output_stream(inner)
             for doc, ids in zip(batch.column(0).to_pylist(), word_tokens(tokens_file).encode(batch.column(1)), strict=True):
                 frame = packer.compress(_serialized(ids, end_id, width))
@@ -136,7 +151,7 @@ def write_token_files(
 
 
 def _make_folder(path: str) -> None:
-    store, inner = _store(path)
+    store, inner = store_of(path)
     store.create_dir(inner, recursive=True)
 
 
@@ -146,7 +161,7 @@ class Shard:
     def __init__(self, path: str, dictionary: bytes):
         import zstandard
 
-        store, inner = _store(path)
+        store, inner = store_of(path)
         self.file = store.open_input_file(inner)
         size = self.file.size()
         magic, count, self.tokens, index, self.width, digest = struct.unpack(
@@ -164,6 +179,18 @@ class Shard:
         frame = self.file.read_at(int(self.stop[i] - self.place[i]), int(self.place[i]))
         return np.frombuffer(self.reader.decompress(frame), f"<u{self.width}")
 
+    def all_ids(self) -> Iterator[np.ndarray]:
+        """Ids of every document in turn; neighbouring frames are read in blocks."""
+        first = 0
+        while first < len(self.place):
+            begin = int(self.place[first])
+            last = max(first + 1, int(np.searchsorted(self.stop, begin + _BLOCK, side="right")))
+            block = memoryview(self.file.read_at(int(self.stop[last - 1]) - begin, begin))
+            for i in range(first, last):
+                frame = block[int(self.place[i]) - begin : int(self.stop[i]) - begin]
+                yield np.frombuffer(self.reader.decompress(frame), f"<u{self.width}")
+            first = last
+
     def document(self, doc_id: int) -> np.ndarray:
         """Ids of one document, from its own frame alone."""
         known = int(self.missing.sum())  # null ids come first
@@ -186,12 +213,10 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for name, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 shard = Shard(name, dictionary)
+                every = shard.all_ids()
                 for a in range(0, len(shard.doc_id), 4096):
                     part = slice(a, a + 4096)
-                    sums = [
-                        zlib.crc32(shard.ids(i).astype("<u4").tobytes())
-                        for i in range(a, min(a + 4096, len(shard.doc_id)))
-                    ]
+                    sums = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in islice(every, 4096)]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(shard.doc_id[part], mask=shard.missing[part]),

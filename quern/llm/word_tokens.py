@@ -59,7 +59,7 @@ class WordTokens:
             model = json.load(file)
         vocabulary = model["model"]["vocab"]
         suffix = model["model"]["end_of_word_suffix"]
-        top = max([*vocabulary.values(), *(t["id"] for t in model["added_tokens"])])
+        self.top = top = max([*vocabulary.values(), *(t["id"] for t in model["added_tokens"])])
         self.dtype = np.dtype("<u2" if top < 1 << 16 else "<u4")
         self.ends = np.zeros(top + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
