@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
+import re
 from bisect import insort
 from collections.abc import Iterable, Iterator
 
@@ -48,6 +49,7 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {i: t for t, i in ranks.items()}
+        self.longest = max(map(len, ranks), default=1)
         #: Every prefix of a token: its own id or None, and whether a longer token begins so.
         self.prefixes: dict[bytes, tuple[int | None, bool]] = {t: (i, False) for t, i in ranks.items()}
         for t in ranks:
@@ -134,20 +136,8 @@ class Transducer:
             raise ValueError("The vocabulary lacks single bytes.")
         # Walk back from all places where a token may still begin to where they meet.
         ends = {**before, size: found}
-        kept = []
-        live.sort()
-        while len(live) > 1:
-            place = live.pop()
-            begins = ends[place][1]
-            kept.append(place)
-            if begins not in live:
-                insort(live, begins)
-        base = live[0]
-        emitted, place = [], base
-        while place > 0:
-            token, place = ends[place]
-            emitted.append(token)
-        emitted.reverse()
+        base, kept = _meeting(live, ends)
+        emitted = _walk(ends, base)
         settled = ends[base][0]
         number = self.numbers.get((settled, pending[base:]))
         if number is None:
@@ -178,15 +168,22 @@ class Transducer:
         return out + self.rest[state]
 
     def _unkept(self, state: int, more: bytes) -> list[int]:
-        """Read on from a state without keeping the states beyond it."""
+        """Read on from a state without keeping the states beyond it.
+
+        What all live places have in common is emitted whenever twice the longest token has been
+        read since, so what is held does not grow with the piece.
+        """
         pending, before = self.states[state]
-        ends, live = dict(before), list(before)
+        pending, ends, live = bytearray(pending), dict(before), list(before)
         prefixes, apart = self.prefixes.get, self.apart.get
+        out: list[int] = []
+        limit = len(pending) + 2 * self.longest
         for byte in more:
-            pending += bytes([byte])
+            pending.append(byte)
+            whole = bytes(pending)
             found, still = None, []
             for place in live:
-                entry = prefixes(pending[place:])
+                entry = prefixes(whole[place:])
                 if entry is None:
                     continue
                 token, opens = entry
@@ -202,11 +199,42 @@ class Transducer:
             ends[len(pending)] = found
             still.append(len(pending))
             live = still
-        rest, place = [], len(pending)
-        while place > 0:
-            token, place = ends[place]
-            rest.append(token)
-        return rest[::-1]
+            if len(pending) >= limit:
+                base, between = _meeting(live, ends)
+                out += _walk(ends, base)
+                after = {0: (ends[base][0], -1)}
+                for place in {*between, *live} - {base}:
+                    token, begins = ends[place]
+                    after[place - base] = (token, begins - base)
+                live = sorted(place - base for place in live)
+                ends = after
+                del pending[:base]
+                limit = len(pending) + 2 * self.longest
+        return out + _walk(ends, len(pending))
+
+
+def _meeting(live: list[int], ends: dict[int, tuple[int, int]]) -> tuple[int, list[int]]:
+    """Where the tokens before all live places meet, and the places walked over on the way."""
+    left, between = sorted(live), []
+    while len(left) > 1:
+        place = left.pop()
+        begins = ends[place][1]
+        between.append(place)
+        if begins not in left:
+            insort(left, begins)
+    return left[0], between
+
+
+def _walk(ends: dict[int, tuple[int, int]], place: int) -> list[int]:
+    """The tokens that end at a place, back to the settled one."""
+    out = []
+    while place > 0:
+        token, place = ends[place]
+        out.append(token)
+    return out[::-1]
+
+
+_ASCII_OR_NOT = re.compile(rb"[\x00-\x7f]+|[\x80-\xff]+")
 
 
 class Utf8Machine:
@@ -218,6 +246,15 @@ class Utf8Machine:
 
     def feed(self, data: bytes) -> str:
         out = []
+        for run in _ASCII_OR_NOT.findall(data):
+            if run[0] < 0x80:  # whole characters: no state is left behind
+                out.append((self.finish() if self.need else "") + run.decode("ascii"))
+            else:
+                self._feed(run, out)
+        return "".join(out)
+
+    def _feed(self, data: bytes, out: list[str]) -> None:
+        """Bytes beyond ASCII, one by one."""
         for byte in data:
             if self.need:
                 if self.low <= byte <= self.high:
@@ -229,16 +266,13 @@ class Utf8Machine:
                         self.held = b""
                     continue
                 out.append(self.finish())
-            if byte < 0x80:
-                out.append(chr(byte))
-            elif 0xC2 <= byte <= 0xF4:
+            if 0xC2 <= byte <= 0xF4:
                 self.need = 1 + (byte >= 0xE0) + (byte >= 0xF0)
                 self.held = bytes([byte])
                 self.low = {0xE0: 0xA0, 0xF0: 0x90}.get(byte, 0x80)
                 self.high = {0xED: 0x9F, 0xF4: 0x8F}.get(byte, 0xBF)
             else:
                 out.append("�")
-        return "".join(out)
 
     def finish(self) -> str:
         """What an unfinished character becomes."""
@@ -337,6 +371,13 @@ class ByteTokens:
         edges = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(place, offsets)]
         return [ids[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
+    def characters(self, ids: np.ndarray, step: int = 4096) -> Iterator[str]:
+        """The text of ids as they arrive, ``step`` at a time, through the UTF-8 machine."""
+        machine = Utf8Machine()
+        for at in range(0, len(ids), step):
+            yield machine.feed(self.decode(ids[at : at + step]))
+        yield machine.finish()
+
     def decode(self, ids: np.ndarray) -> bytes:
         length = self.length[ids]
         total = np.cumsum(length)
@@ -380,8 +421,18 @@ def encode_decode(documents: DataFrame, ranks_file: str, pattern: str) -> DataFr
     return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
 
 
+def _decoded_digest(coder: ByteTokens, ids: np.ndarray) -> str:
+    digest = hashlib.sha256()
+    for characters in coder.characters(ids):
+        digest.update(characters.encode())
+    return digest.hexdigest()
+
+
 def round_trip(documents: DataFrame, ranks_file: str, pattern: str) -> DataFrame:
-    """As ``encode_decode``, with digests in place of ids and bytes."""
+    """As ``encode_decode``, with digests in place of ids and bytes.
+
+    The ids are decoded as a stream; what is hashed are the characters that the UTF-8 machine emits.
+    """
     prepare(documents.sparkSession)
     rows = documents.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -396,7 +447,7 @@ def round_trip(documents: DataFrame, ranks_file: str, pattern: str) -> DataFrame
                     batch.column(0),
                     pa.array([len(x) for x in ids], pa.int64()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in listed]),
-                    pa.array([hashlib.sha256(coder.decode(x)).hexdigest() for x in ids]),
+                    pa.array([_decoded_digest(coder, x) for x in ids]),
                 ],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 from quern.llm import (
@@ -364,8 +365,6 @@ def test_brown_lm_without_training(docs):
 
 
 def test_byte_bpe_equals_the_library(docs, rows):
-    import tiktoken
-
     ranks = bpe_transducer.read_ranks(BYTE_RANKS)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     text = {r[0]: r[1] or "" for r in rows}
@@ -390,10 +389,31 @@ def test_transducer_equals_the_merges(monkeypatch):
             assert machine.encode(piece) == bpe_transducer.merge_by_rank(piece, ranks)
 
 
+def test_transducer_emits_while_it_reads(monkeypatch):
+    """Long runs of letters with 3 kept states: the merges' ids, time and memory in proportion."""
+    library = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe_transducer.read_ranks(BYTE_RANKS), special_tokens={}
+    )
+    monkeypatch.setattr(bpe_transducer, "MOST_STATES", 3)
+    machine = bpe_transducer.Transducer(bpe_transducer.read_ranks(BYTE_RANKS))
+    held = []
+    monkeypatch.setattr(bpe_transducer, "_meeting", lambda live, ends, old=bpe_transducer._meeting: (held.append(len(ends)), old(live, ends))[1])
+    letters = list(b"etaoinshrdlu")
+    piece = bytes(RANDOM.choice(letters, 200_000).tolist())
+    assert machine.encode(piece) == library.encode_ordinary(piece.decode())
+    assert len(held) > 500 and max(held) < 20 * machine.longest
+    assert len(machine.encode(b"ab" * 500_000)) > 0
+
+
 def test_streaming_decode():
     data = "aé日𝒳".encode() + b"\xff\xe2\x82" + b"z\xf0\x9f" + b"\xed\xa0\x80" + b"\xc3"
     token = {i: bytes([b]) for i, b in enumerate(data)}
     assert "".join(bpe_transducer.stream_decode(range(len(data)), token)) == data.decode(errors="replace")
+    for _ in range(300):
+        data = b"".join(RANDOM.choice([b"a", "é".encode(), "日".encode(), "𝒳".encode(), b"\x80", b"\xe2", b"\xf0\x9f"], 9))
+        machine, step = bpe_transducer.Utf8Machine(), int(RANDOM.integers(1, 5))
+        made = "".join(machine.feed(data[i : i + step]) for i in range(0, len(data), step)) + machine.finish()
+        assert made == data.decode(errors="replace")
 
 
 # 7 ------------------------------------------------------------------------------------------
@@ -554,6 +574,37 @@ def test_token_files_round_trip(spark, docs, rows, word_ids):
 # all ----------------------------------------------------------------------------------------
 
 
+def test_token_files_hold_wide_ids(spark, docs, rows, word_ids, monkeypatch):
+    with pytest.raises(ValueError, match="does not fit"):
+        token_files._serialized(np.array([3, 70_000]), 1, 2)
+    assert token_files._serialized(np.array([3, 70_000]), 1, 4) == np.array([3, 70_000, 1], "<u4").tobytes()
+    assert token_files._width(WORD_MODEL, 1) == 2 and token_files._width(WORD_MODEL, 70_000) == 4
+    path = scratch_path(spark, "token-files-wide")
+    token_files.write_token_files(docs, path, WORD_MODEL, end_id=70_000, shards=2)
+    found = {r.doc_id: r for r in token_files.read_token_files(spark, path).collect()}
+    for doc, ids in word_ids.items():
+        assert found[doc].ids_crc32 == crc([*ids[:-1], 70_000])
+
+
+def test_token_files_sample_is_never_empty(spark):
+    few = spark.range(20_000).selectExpr("id AS doc_id", "'a' AS text")
+    assert 1_500 < token_files._sample(few, 2_000).count() < 2_500
+    assert 0 < token_files._sample(few, 20).count() < 60
+    same = spark.range(5_000).selectExpr("7L AS doc_id", "'a' AS text")
+    assert token_files._sample(same, 10).count() <= 40 and token_files._sample(same, 6_000).count() == 5_000
+
+
+def test_token_files_are_read_in_blocks(spark, docs, word_ids, monkeypatch):
+    path = scratch_path(spark, "token-files-blocks")
+    manifest = token_files.write_token_files(docs, path, WORD_MODEL, shards=1).first()
+    dictionary = bytes(spark.read.parquet(f"{path}/dictionary").first()["dictionary"])
+    for block in (1, 500, 1 << 22):
+        monkeypatch.setattr(token_files, "_BLOCK", block)
+        shard = token_files.Shard(manifest["path"], dictionary)
+        every = list(shard.all_ids())
+        assert [x.tolist() for x in every] == [shard.ids(i).tolist() for i in range(manifest["documents"])]
+
+
 def test_empty_tables(spark, nothing):
     path = scratch_path(spark, "token-files-empty")
     token_files.write_token_files(nothing, path, WORD_MODEL)
