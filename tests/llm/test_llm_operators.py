@@ -498,6 +498,45 @@ def test_secrets_without_digits_are_candidates(spark):
     assert sum(found[1000 + i].n_model > 0 for i in range(20)) >= 15
 
 
+def ordinary():
+    digits = lambda n: "".join(str(d) for d in RANDOM.integers(0, 10, n))
+    made = [digits(16), "-".join(digits(4) for _ in range(4)), f"+1-{digits(3)}-{digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}"]
+    made += [".".join(str(d) for d in RANDOM.integers(0, 256, 4)), f"20{digits(2)}-0{1 + RANDOM.integers(0, 9)}-1{digits(1)}"]
+    return str(made[RANDOM.integers(0, len(made))])
+
+
+def test_secret_network_leaves_ordinary_numbers_alone(spark):
+    """Card numbers, phone numbers, addresses and dates stay; names that no rule knows are found."""
+    value = lambda: "".join(RANDOM.choice(list("0123456789abcdef"), RANDOM.integers(16, 40)))
+    where = ("call", "card", "host", "mail", "on", "order", "see", "is:", "number =", "id:")
+    plain = lambda: f"{prose('en', 6)} {RANDOM.choice(where)} {ordinary()} {prose('en', 4)}"
+    made = [(i, plain() if i % 10 else f"{prose('en', 6)} password={value()} {prose('de', 4)}") for i in range(4_000)]
+    made += [(10_000 + i, plain()) for i in range(500)]
+    made += [(20_000 + i, f"{prose('en', 6)} passphrase={value()} ok") for i in range(40)]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    network = secret_scan.fit(df.where("doc_id < 4000"))
+    count, above = network.report["confirmed"]
+    assert above >= 0.98 * count > 0 and network.report["number"][0] > 100 and network.report["number"][1] == 0
+    found = {r.doc_id: r for r in secret_scan.digest(secret_scan.scan(df.where("doc_id >= 10000"), network)).collect()}
+    assert sum(found[10_000 + i].n_model for i in range(500)) == 0
+    # A value of 32 digits or more is the rules' own.
+    assert sum(found[20_000 + i].n_model + found[20_000 + i].n_hex > 0 for i in range(40)) >= 38
+    assert sum(found[20_000 + i].n_model > 0 for i in range(40)) >= 20
+
+
+def test_secret_network_gradients():
+    """One step of training goes down the numeric gradient; equal windows score alike."""
+    network = secret_scan.Network(width=3, filters=4)
+    x = RANDOM.integers(0, 256, (12, secret_scan.WINDOW)).astype(np.uint8)
+    y = (np.arange(12) % 2).astype(float)
+    logits = network._forward(x)[-1]
+    assert np.allclose(network.logits(np.concatenate([x, x[:3]])), np.concatenate([logits, logits[:3]]), atol=1e-5)
+    loss = lambda: float(np.mean(np.log1p(np.exp(np.where(y > 0, -1, 1) * network._forward(x)[-1].astype(float)))))
+    first = loss()
+    network.train(x, y, epochs=200, rate=0.02)
+    assert loss() < 0.2 * first
+
+
 def test_secret_threshold_keeps_the_recall():
     network = secret_scan.Network()
     logit, y = np.array([*[-4.0] * 30, *[4.0] * 10, *[-4.5] * 400]), np.array([1] * 40 + [0] * 400, float)
