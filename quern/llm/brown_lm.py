@@ -1,10 +1,13 @@
 """Class-based bigram language model with Brown classes found by exchange.
 
-The ``words`` most frequent words are units of their own; all other words, unseen ones included,
-belong to a unit by their last three bytes. Exchange clustering moves units between ``classes`` classes
-while that raises the likelihood of class bigrams; a quarter of the units may move at a time, each judged by
-the class counts before the round, and fewer after a round that did not help, which is undone. So a round is one Spark job over the unit bigrams, whose number
-is bounded by the units' square. The counts themselves cover all training documents.
+First the ``words`` most frequent words move one by one, all others by units of their last three bytes.
+Exchange clustering moves units between ``classes`` classes while that raises the likelihood of class bigrams; a quarter
+of the units may move at a time, each judged by the class counts before the round, and fewer after a round that did not
+help, which is undone. So a round is one Spark job over the unit bigrams, whose number is bounded by the units' square.
+Then every other training word that occurs ``least`` times moves too, to the class under which its own
+neighbours are most likely, and the class pairs are counted anew over all training texts; were they less likely, the words would stay.
+That step has no bound on the vocabulary: neighbours are counted by (word, class), the classes of the ``frequent``
+words are sent to all tasks, those of all others are joined. Only words below ``least`` and unseen ones keep the class of their ending.
 
     P(word | previous) = P(class | previous class) * P(word | class)
     P(d | c)    = (N(c, d) + smooth * (N(d) + 1) / (N + classes)) / (N(c) + smooth)
@@ -22,7 +25,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.llm.common import most_frequent, prepare, text_slices, written
@@ -192,7 +196,10 @@ def best_classes(right: np.ndarray, left: np.ndarray, old: int, counts: np.ndarr
     base[:, old] -= left
     np.maximum(base, 0, out=base)
     gain = (_xlogx(base + right) - _xlogx(base)).sum(1) + (_xlogx(base + left[:, None]) - _xlogx(base)).sum(0)
-    for sums, own in ((base.sum(1), right.sum()), (base.sum(0), left.sum())):
+    # A class's own cell gets both sides at once.
+    cell = base.diagonal()
+    gain += _xlogx(cell + right + left) - _xlogx(cell + right) - _xlogx(cell + left) + _xlogx(cell)
+    for sums, own in ((base.sum(1) + left, right.sum()), (base.sum(0) + right, left.sum())):
         gain -= _xlogx(sums + own) - _xlogx(sums)
     gain[-1] = -np.inf  # the end's own class
     # Only a clear gain moves a unit, so that rounding does not.
@@ -250,6 +257,215 @@ def information(counts: np.ndarray) -> float:
     return float(_xlogx(counts).sum() - _xlogx(counts.sum(0)).sum() - _xlogx(counts.sum(1)).sum())
 
 
+def _sides(words: Words, shown: np.ndarray, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, left, right) of all neighbours in the texts, the end before and after each."""
+    text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first) + 1)
+    return text, np.insert(shown, words.first[:-1], last), np.insert(shown, words.first[1:], last)
+
+
+def neighbour_classes(rows: DataFrame, held: Broadcast, class_of: np.ndarray, classes: int) -> DataFrame:
+    """(word, code, n) of the words that have no unit of their own: how often which class follows
+    (code is the class) or precedes (code is ``classes`` + the class)."""
+    last = int(class_of[-1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = held.value
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def handed() -> pa.RecordBatch:
+            word, code, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+            parts.clear()
+            order = np.lexsort((code, word))
+            word, code, n = word[order], code[order], n[order]
+            first = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (code[1:] != code[:-1])))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(word[first]), pa.array(code[first], pa.int32()), pa.array(np.add.reduceat(n, first))], ["word", "code", "n"]
+            )
+
+        for batch in batches:
+            for a, b in text_slices(batch.column(0)):
+                words = hashed_words(batch.column(0).slice(a, b - a))
+                unit = _units(words, vocabulary)[2]
+                _, left, right = _sides(words, class_of[unit], last)
+                own = np.flatnonzero(unit >= vocabulary.units)
+                if not len(own):
+                    continue
+                place = own + np.searchsorted(words.first, own, side="right") - 1
+                found, back = np.unique(words.hashes[own].view(np.int64), return_inverse=True)
+                key = np.concatenate([back * 2 * classes + right[place + 1], back * 2 * classes + classes + left[place]])
+                key, n = np.unique(key, return_counts=True)
+                parts.append((found[key // (2 * classes)], key % (2 * classes), n))
+            if sum(len(x[0]) for x in parts) > 2 * _HELD:
+                yield handed()
+        if parts:
+            yield handed()
+
+    return rows.mapInArrow(run, "word long, code int, n long").groupBy("word", "code").agg(F.sum("n").alias("n"))
+
+
+def likeliest_classes(sides: DataFrame, step: np.ndarray, in_class: np.ndarray, least: int) -> DataFrame:
+    """(word, class): the class under which the word's neighbours are most likely, for words that occur ``least`` times."""
+    classes = len(step)
+    emit = np.log10(np.maximum(in_class, 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = np.diff(batch.column(1).offsets.to_numpy())
+            row = np.repeat(np.arange(len(batch)), size)
+            key = row * 2 * classes + batch.column(1).flatten().to_numpy()
+            counts = np.bincount(key, batch.column(2).flatten().to_numpy(), len(batch) * 2 * classes).reshape(-1, 2 * classes)
+            after, before = counts[:, :classes], counts[:, classes:]
+            n = after.sum(1)
+            gain = after @ step.T + before @ step - n[:, None] * emit
+            gain[:, -1] = -np.inf  # the end's own class
+            keep = n >= least
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).filter(pa.array(keep)), pa.array(gain.argmax(1)[keep], pa.int32())], ["word", "class"]
+            )
+
+    lists = sides.groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("x"))  # two entries a class at most
+    return lists.select("word", "x.code", "x.n").mapInArrow(run, "word long, class int")
+
+
+@dataclass
+class Model:
+    """``words``: word, ending, n and class (null: that of its ending) of all training words."""
+
+    words: DataFrame
+    held: Broadcast
+    class_of: np.ndarray
+    group: np.ndarray
+    pairs: np.ndarray
+    in_types: np.ndarray
+    tokens: int
+    types: int
+    ends: int
+
+    @property
+    def last(self) -> int:
+        return int(self.class_of[-1])
+
+
+_REST = pa.list_(pa.struct([("place", pa.int32()), ("word", pa.int64()), ("left", pa.int32()), ("right", pa.int32()), ("own", pa.int32())]))
+_REST_TYPE = "array<struct<place: int, word: long, left: int, right: int, own: int>>"
+
+
+class _Read:
+    """Classes of a slice of texts as far as a task knows them; what it does not know goes to ``rest``."""
+
+    def __init__(self, column: pa.Array, vocabulary: Vocabulary, class_of: np.ndarray, group: np.ndarray):
+        self.words = words = hashed_words(column)
+        self.at, self.known, unit = _units(words, vocabulary)
+        self.own = class_of[unit]
+        if len(group):
+            self.own = np.where(self.known & (group[self.at] >= 0), group[self.at], self.own)
+        last = int(class_of[-1])
+        self.text, self.left, self.right = _sides(words, np.where(self.known, self.own, -1), last)
+        self.whole = (self.left >= 0) & (self.right >= 0)
+        #: Place of each word as the right one of two neighbours.
+        self.place = np.arange(len(self.own)) + np.repeat(np.arange(len(column)), np.diff(words.first))
+
+    def rest(self) -> pa.Array:
+        new = np.flatnonzero(~self.known)
+        place = self.place[new]
+        fields = [place, self.words.hashes[new].view(np.int64), self.left[place], self.right[place + 1], self.own[new]]
+        first = np.concatenate([[0], np.cumsum(~self.known)])[self.words.first]
+        made = pa.StructArray.from_arrays([pa.array(f, t.type) for f, t in zip(fields, _REST.value_type, strict=True)], fields=list(_REST.value_type))
+        return pa.ListArray.from_arrays(pa.array(first, pa.int32()), made)
+
+
+def _resolved(partly: DataFrame, words: DataFrame) -> DataFrame:
+    """row, n, a, b and after of each word in ``rest``: its count, the class before it, its own, the one after (-1: in its own row)."""
+    each = partly.select("row", F.inline("rest")).join(words.select("word", "n", "class"), "word", "left")
+    each = each.withColumn("b", F.coalesce("class", "own"))
+    earlier = F.lag("b").over(Window.partitionBy("row").orderBy("place"))
+    return each.select(
+        "row", F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("left") >= 0, F.col("left")).otherwise(earlier).alias("a"), "b", F.col("right").alias("after")
+    )
+
+
+def class_pairs(rows: DataFrame, words: DataFrame, held: Broadcast, class_of: np.ndarray, group: np.ndarray, classes: int) -> np.ndarray:
+    """Counts of class pairs over all texts, every word under its own class."""
+    sent = rows.sparkSession.sparkContext.broadcast(group)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        row = TaskContext.get().partitionId() << 40
+        total = np.zeros(classes * classes, np.int64)
+        for batch in batches:
+            for a, b in text_slices(batch.column(0)):
+                seen = _Read(batch.column(0).slice(a, b - a), held.value, class_of, sent.value)
+                total += np.bincount(seen.left[seen.whole] * classes + seen.right[seen.whole], minlength=len(total))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + b - a)), seen.rest(), pa.nulls(b - a, pa.binary())], ["row", "rest", "pairs"]
+                )
+                row += b - a
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([row]), pa.array([[]], _REST), pa.array([total.tobytes()], pa.binary())], ["row", "rest", "pairs"]
+        )
+
+    partly = written(rows.mapInArrow(run, f"row long, rest {_REST_TYPE}, pairs binary").where("pairs IS NOT NULL OR size(rest) > 0"), "brown-pairs")
+    out = np.zeros(classes * classes)
+    for part in partly.where("pairs IS NOT NULL").select("pairs").collect():  # one matrix a task
+        out += np.frombuffer(part["pairs"], np.int64)
+    found = _resolved(partly, words)
+    both = found.select(F.expr(f"a * {classes} + b").alias("k")).union(found.where("after >= 0").select(F.expr(f"b * {classes} + after")))
+    for r in both.groupBy("k").count().collect():
+        out[r["k"]] += r["count"]
+    return out.reshape(classes, classes)
+
+
+def _steps(pairs: np.ndarray, smooth: float) -> tuple[np.ndarray, np.ndarray]:
+    """log10 P(class | class before) and how often each class occurs."""
+    in_class = pairs.sum(0)
+    share = (in_class + 1) / (in_class.sum() + len(pairs))
+    return np.log10((pairs + smooth * share) / (pairs.sum(1, keepdims=True) + smooth)), in_class
+
+
+def train(
+    learned: DataFrame, words: int = 4096, frequent: int = 262_144, classes: int = 96, rounds: int = 20, smooth: float = 20.0, least: int = 3
+) -> Model:
+    """Classes and counts from ``learned`` (text)."""
+    spark = prepare(learned.sparkSession)
+    counts = _word_counts(learned)
+    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    ends = learned.count()
+    top, top_count = most_frequent(counts, frequent)
+    chosen = np.lexsort((top, -top_count))[:words]
+    unit = np.full(len(top), -1)
+    unit[chosen] = np.arange(len(chosen))
+    vocabulary = Vocabulary(top.view(np.uint64), top_count, unit, len(chosen))
+    held = spark.sparkContext.broadcast(vocabulary)
+    group = np.full(len(top), -1, np.int16)
+    if not ends:
+        none = np.zeros(vocabulary.end + 1, int)
+        empty = counts.withColumn("class", F.lit(None).cast("int"))
+        return Model(empty, held, none, group, np.zeros((1, 1)), np.zeros(1), 0, 0, 0)
+    class_of, pairs = exchange(_unit_bigrams(learned, held), vocabulary, classes, rounds)
+    group[chosen] = class_of[: len(chosen)]
+    step, in_class = _steps(pairs, smooth)
+    moved = likeliest_classes(neighbour_classes(learned, held, class_of, classes), step, in_class, least)
+    own = spark.createDataFrame([(int(w), int(c)) for w, c in zip(top[chosen], group[chosen], strict=True)], "word long, class int")
+    known = written(counts.join(moved.union(own), "word", "left"), "brown-words")
+    bound = F.col("n") >= int(top_count.min()) if len(top) else F.lit(False)
+    sent = known.where(bound & F.col("class").isNotNull()).select("word", "class").toPandas()  # ``frequent`` at most
+    place, held_here = vocabulary.find(sent["word"].to_numpy().view(np.uint64))
+    after = group.copy()
+    after[place[held_here]] = sent["class"].to_numpy()[held_here]
+    made = class_pairs(learned, known, held, class_of, after, classes)
+    if information(made) >= information(pairs):
+        group, pairs = after, made
+    else:
+        known = counts.join(own, "word", "left")
+    types = known.groupBy("class", F.when(F.col("class").isNull(), F.col("ending")).alias("ending")).count().collect()
+    in_types = np.zeros(classes)
+    in_types[class_of[-1]] = 1
+    for r in types:
+        in_types[r["class"] if r["class"] is not None else class_of[vocabulary.units + r["ending"]]] += r["count"]
+    return Model(known, held, class_of, group, pairs, in_types, totals[0] + ends, totals[1] + 1, ends)
+
+
 def score(
     documents: DataFrame,
     training: str,
@@ -259,96 +475,75 @@ def score(
     rounds: int = 20,
     smooth: float = 20.0,
     delta: float = 0.5,
+    least: int = 3,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of ``documents`` (doc_id, text).
 
-    ``training`` is an SQL condition on doc_id. ``words`` and ``frequent`` (the words whose counts every task holds)
-    bound what is sent to all tasks; counts of all other words are joined.
+    ``training`` is an SQL condition on doc_id; a row for which it is null is held out. Repeated rows count and are
+    scored one by one. ``words`` bounds the units of the first exchange, ``frequent`` the words whose counts and classes
+    every task holds; both of all other words are joined.
     """
-    spark = prepare(documents.sparkSession)
     rows = documents.select("doc_id", F.col("text").cast("string").alias("text"))
-    learned = rows.where(training).select("text")
-    counts = _word_counts(learned)
-    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    ends = learned.count()
-    tokens, known_types = totals[0] + ends, totals[1] + (ends > 0)
-    top, top_count = most_frequent(counts, frequent)
-    chosen = np.lexsort((top, -top_count))[:words]
-    unit = np.full(len(top), -1)
-    unit[chosen] = np.arange(len(chosen))
-    vocabulary = Vocabulary(top.view(np.uint64), top_count, unit, len(chosen))
-    held = spark.sparkContext.broadcast(vocabulary)
+    return scored(rows, training, train(rows.where(training).select("text"), words, frequent, classes, rounds, smooth, least), smooth, delta)
+
+
+def scored(rows: DataFrame, training: str, model: Model, smooth: float = 20.0, delta: float = 0.5) -> DataFrame:
+    """``rows`` (doc_id, text) under a trained model."""
+    spark = rows.sparkSession
+    ends, tokens, last, held = model.ends, model.tokens, model.last, model.held
     if ends:
-        class_of, pairs = exchange(_unit_bigrams(learned, held), vocabulary, classes, rounds)
-        in_class = pairs.sum(0)
-        share = (in_class + 1) / (in_class.sum() + classes)
-        step = np.log10((pairs + smooth * share) / (pairs.sum(1, keepdims=True) + smooth))
-        own = spark.createDataFrame([(int(w),) for w in top[chosen]], "word long")
-        rest = counts.join(F.broadcast(own), "word", "left_anti").groupBy("ending").count().collect()  # own: at most ``words``
-        types = np.zeros(vocabulary.end + 1)
-        types[: len(chosen)] = 1
-        types[vocabulary.end] = 1
-        for r in rest:
-            types[vocabulary.units + r["ending"]] = r["count"]
-        in_types = np.bincount(class_of, types, classes)
-        room = np.log10(in_class + delta * (in_types + 1))
+        step, in_class = _steps(model.pairs, smooth)
+        value = step - np.log10(in_class + delta * (model.in_types + 1))
     else:
-        class_of, step, room = np.zeros(vocabulary.end + 1, int), np.zeros((1, 1)), np.zeros(1)
-        delta = 1.0
-    model = spark.sparkContext.broadcast((class_of, step, room))
-    layout = "row long, doc_id {}, n_tokens long, known long, plus_one double, model double, rest array<long>"
+        value, delta = np.zeros((1, 1)), 1.0
+    sent = spark.sparkContext.broadcast((model.class_of, model.group, value))
+    layout = f"row long, doc_id {{}}, n_tokens long, known long, plus_one double, model double, rest {_REST_TYPE}"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        vocabulary, (class_of, step, room) = held.value, model.value
+        vocabulary, (class_of, group, value) = held.value, sent.value
         row = TaskContext.get().partitionId() << 40
-        last = int(class_of[vocabulary.end])
         plus_one, plus_delta = np.log10(vocabulary.count + 1.0), np.log10(vocabulary.count + delta)
         for batch in batches:
             for a, b in text_slices(batch.column(1)):
-                words = hashed_words(batch.column(1).slice(a, b - a))
                 n = b - a
-                at, known, unit = _units(words, vocabulary)
-                text = np.repeat(np.arange(n), np.diff(words.first))
-                group = class_of[unit]
-                before = np.empty(len(group), np.int64)
-                before[1:] = group[:-1]
-                before[words.first[:-1][np.diff(words.first) > 0]] = last
-                local = step[before, group] - room[group]
-                base = np.zeros(len(group))
+                seen = _Read(batch.column(1).slice(a, n), vocabulary, class_of, group)
+                size = np.diff(seen.words.first)
+                text = np.repeat(np.arange(n), size)
+                known = seen.known
+                base, own = np.zeros(len(known)), np.zeros(len(known))
                 if len(vocabulary.words):
-                    local[known] += plus_delta[at[known]]
-                    base[known] = plus_one[at[known]]
-                final = np.full(n, last)
-                some = np.diff(words.first) > 0
-                final[some] = group[words.first[1:][some] - 1]
-                ending = step[final, last] - room[last] + np.log10(ends + delta)
-                left = words.hashes[~known].view(np.int64)
-                first = np.concatenate([[0], np.cumsum(np.bincount(text[~known], minlength=n))])
+                    own[known] = plus_delta[seen.at[known]]
+                    base[known] = plus_one[seen.at[known]]
+                pairs = np.bincount(seen.text[seen.whole], value[seen.left[seen.whole], seen.right[seen.whole]], n)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(row, row + n)),
                         batch.column(0).slice(a, n),
-                        pa.array(np.diff(words.first) + 1),
+                        pa.array(size + 1),
                         pa.array(np.bincount(text, known, n).astype(np.int64) + (ends > 0)),
                         pa.array(np.bincount(text, base, n) + np.log10(ends + 1)),
-                        pa.array(np.bincount(text, local, n) + ending),
-                        pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(left)),
+                        pa.array(np.bincount(text, own, n) + pairs + np.log10(ends + delta)),
+                        seen.rest(),
                     ],
                     ["row", "doc_id", "n_tokens", "known", "plus_one", "model", "rest"],
                 )
                 row += n
 
     partly = written(rows.mapInArrow(read, layout.format(rows.schema["doc_id"].dataType.simpleString())), "brown-scores")
-    rare = partly.select("row", F.explode("rest").alias("word")).join(counts.select("word", "n"), "word", "left")
-    n = F.coalesce("n", F.lit(0))
-    rare = rare.groupBy("row").agg(
+    values = spark.createDataFrame([(i, j, float(v)) for (i, j), v in np.ndenumerate(value)], "a int, b int, v double")
+    found = _resolved(partly, model.words)
+    # The values have one row per pair of classes.
+    found = found.join(F.broadcast(values), ["a", "b"], "left").join(
+        F.broadcast(values.toDF("b", "after", "w")), ["b", "after"], "left"
+    )
+    zero, n = F.lit(0), F.col("n")
+    rare = found.groupBy("row").agg(
         F.sum((n > 0).cast("long")).alias("known_rare"),
         F.sum(F.log10(n + 1)).alias("plus_one_rare"),
-        F.sum(F.log10(n + F.lit(float(delta)))).alias("model_rare"),
+        F.sum(F.log10(n + F.lit(float(delta))) + F.col("v") + F.coalesce("w", F.lit(0.0))).alias("model_rare"),
     )
-    zero = F.lit(0)
     return (
         partly.drop("rest")
         .join(rare, "row", "left")
@@ -360,7 +555,7 @@ def score(
             F.lit(int(tokens)).cast("long").alias("train_tokens"),
             (
                 F.col("plus_one") + F.coalesce("plus_one_rare", zero)
-                - F.col("n_tokens") * float(np.log10(tokens + known_types + 1))
+                - F.col("n_tokens") * float(np.log10(tokens + model.types + 1))
             ).alias("base_score"),
             (F.col("model") + F.coalesce("model_rare", zero)).alias("score"),
         )

@@ -347,6 +347,84 @@ def test_brown_lm_base_and_model(docs, rows):
     assert sum(r.score for r in found) > sum(r.base_score for r in found)
 
 
+@pytest.mark.parametrize("frequent", [60, 100_000])
+def test_brown_lm_equals_a_plain_model(docs, rows, frequent):
+    """Class pairs, emissions and scores from the classes of the words, word by word."""
+    condition, classes, smooth, delta = "doc_id % 7 <> 2", 8, 20.0, 0.5
+    some = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    model = brown_lm.train(some.where(condition).select("text"), 40, frequent, classes, 6, smooth, 3)
+    spelled = sorted({w for r in rows for w in WORDS.findall((r[1] or "").translate(LOWER))})
+    column = pa.array(spelled)
+    seen = brown_lm.hashed_words(column)
+    hashes, ending = seen.hashes.view(np.int64).tolist(), brown_lm.endings(seen).tolist()
+    stored = {r["word"]: (r["class"], r["n"]) for r in model.words.collect()}
+    units = model.held.value.units
+    group, count = {}, {}
+    for word, h, e in zip(spelled, hashes, ending, strict=True):
+        known, n = stored.get(h, (None, 0))
+        group[word] = int(model.class_of[units + e]) if known is None else known
+        count[word] = n
+    assert sum(n >= 3 and stored[h][0] is None for h, n in zip(hashes, count.values(), strict=True)) == 0 or frequent == 0
+    last = model.last
+    trained = [WORDS.findall((r[1] or "").translate(LOWER)) for r in rows if r[0] % 7 != 2]
+    pairs, types, total = Counter(), Counter({last: 1}), Counter()
+    for words in trained:
+        chain = [last, *[group[w] for w in words], last]
+        pairs.update(zip(chain, chain[1:], strict=False))
+    for w in spelled:
+        types[group[w]] += count[w] > 0
+    assert {(i, j): n for (i, j), n in np.ndenumerate(model.pairs) if n} == pairs
+    before, inside = Counter(), Counter()
+    for (i, j), n in pairs.items():
+        before[i] += n
+        inside[j] += n
+    every = sum(inside.values())
+
+    def token(i, j, n):
+        share = (inside[j] + 1) / (every + classes)
+        move = (pairs[i, j] + smooth * share) / (before[i] + smooth)
+        return math.log10(move * (n + delta) / (inside[j] + delta * (types[j] + 1)))
+
+    text = {r[0]: WORDS.findall((r[1] or "").translate(LOWER)) for r in rows}
+    for r in brown_lm.scored(some, condition, model, smooth, delta).collect():
+        chain = [last, *[group[w] for w in text[r.doc_id]], last]
+        n = [*[count[w] for w in text[r.doc_id]], len(trained)]
+        assert r.score == pytest.approx(sum(token(i, j, k) for i, j, k in zip(chain[:-1], chain[1:], n, strict=True)), rel=1e-9)
+
+
+def test_brown_lm_moves_a_unit_as_brute_force_would():
+    """The exchange's gain against the information of the whole matrix, class by class."""
+    classes, units = 5, 12
+    bigram = RANDOM.integers(0, 30, (units, units)).astype(float)
+    np.fill_diagonal(bigram, 0)
+    class_of = np.append(np.arange(units - 1) % (classes - 1), classes - 1)
+
+    def matrix(of):
+        out = np.zeros((classes, classes))
+        np.add.at(out, (of[:, None], of[None, :]), bigram)
+        return out
+
+    for u in range(units - 1):
+        right = np.bincount(class_of, bigram[u], classes)
+        left = np.bincount(class_of, bigram[:, u], classes)
+        told = [brown_lm.information(matrix(np.where(np.arange(units) == u, c, class_of))) for c in range(classes - 1)]
+        assert brown_lm.best_classes(right, left, int(class_of[u]), matrix(class_of)) == int(np.argmax(told))
+
+
+def test_brown_lm_gives_words_the_class_of_their_neighbours(spark):
+    """Words that stand where names stand join the names' class, however rare their ending is."""
+    names, verbs = [f"n{i}a" for i in range(6)], [f"v{i}b" for i in range(6)]
+    text = [(i, " ".join(f"{RANDOM.choice(names)} {RANDOM.choice(verbs)}" for _ in range(60))) for i in range(60)]
+    text += [(100 + i, f"zq{i % 5}x {verbs[0]} zq{i % 5}x {verbs[1]} {names[0]} wk{i % 5}y {names[1]} wk{i % 5}y") for i in range(60)]
+    df = spark.createDataFrame(text, "doc_id long, text string").select("text")
+    model = brown_lm.train(df, words=12, frequent=14, classes=3, rounds=12)
+    seen = brown_lm.hashed_words(pa.array([*names, *verbs, "zq0x", "zq4x", "wk1y", "wk3y"])).hashes.view(np.int64).tolist()
+    stored = {r["word"]: r["class"] for r in model.words.collect()}
+    of = [stored[h] for h in seen]
+    assert len(set(of[:6])) == len(set(of[6:12])) == 1 and of[0] != of[6]
+    assert set(of[12:14]) == {of[0]} and set(of[14:]) == {of[6]}
+
+
 def test_brown_lm_shares_sum_to_one(spark):
     """Every word of a tiny vocabulary after a given one, and one unseen word of each class."""
     text = " ".join(RANDOM.choice(list("abcdefg"), 400))
