@@ -263,13 +263,19 @@ def _sides(words: Words, shown: np.ndarray, last: int) -> tuple[np.ndarray, np.n
     return text, np.insert(shown, words.first[:-1], last), np.insert(shown, words.first[1:], last)
 
 
-def neighbour_classes(rows: DataFrame, held: Broadcast, class_of: np.ndarray, classes: int) -> DataFrame:
+def neighbour_classes(rows: DataFrame, held: Broadcast, class_of: np.ndarray, classes: int, least: int) -> DataFrame:
     """(word, code, n) of the words that have no unit of their own: how often which class follows
-    (code is the class) or precedes (code is ``classes`` + the class)."""
+    (code is the class) or precedes (code is ``classes`` + the class).
+
+    Words of which a task knows that they occur less than ``least`` times are left out: those sent to it, and all
+    others where the rarest sent word occurs so often at most.
+    """
     last = int(class_of[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = held.value
+        enough = vocabulary.count >= least
+        others = not len(enough) or vocabulary.count.min() > least
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def handed() -> pa.RecordBatch:
@@ -285,9 +291,10 @@ def neighbour_classes(rows: DataFrame, held: Broadcast, class_of: np.ndarray, cl
         for batch in batches:
             for a, b in text_slices(batch.column(0)):
                 words = hashed_words(batch.column(0).slice(a, b - a))
-                unit = _units(words, vocabulary)[2]
+                at, known, unit = _units(words, vocabulary)
                 _, left, right = _sides(words, class_of[unit], last)
-                own = np.flatnonzero(unit >= vocabulary.units)
+                wanted = np.where(known, enough[at], others) if len(enough) else np.full(len(unit), others)
+                own = np.flatnonzero((unit >= vocabulary.units) & wanted)
                 if not len(own):
                     continue
                 place = own + np.searchsorted(words.first, own, side="right") - 1
@@ -295,12 +302,14 @@ def neighbour_classes(rows: DataFrame, held: Broadcast, class_of: np.ndarray, cl
                 key = np.concatenate([back * 2 * classes + right[place + 1], back * 2 * classes + classes + left[place]])
                 key, n = np.unique(key, return_counts=True)
                 parts.append((found[key // (2 * classes)], key % (2 * classes), n))
-            if sum(len(x[0]) for x in parts) > 2 * _HELD:
+            if sum(len(x[0]) for x in parts) > 4 * _HELD:
                 yield handed()
         if parts:
             yield handed()
 
-    return rows.mapInArrow(run, "word long, code int, n long").groupBy("word", "code").agg(F.sum("n").alias("n"))
+    # One exchange by word serves this sum and the lists made of it; words that are frequent have units of their own.
+    dealt = rows.mapInArrow(run, "word long, code int, n long").repartition("word")
+    return dealt.groupBy("word", "code").agg(F.sum("n").alias("n"))
 
 
 def likeliest_classes(sides: DataFrame, step: np.ndarray, in_class: np.ndarray, least: int) -> DataFrame:
@@ -445,7 +454,7 @@ def train(
     class_of, pairs = exchange(_unit_bigrams(learned, held), vocabulary, classes, rounds)
     group[chosen] = class_of[: len(chosen)]
     step, in_class = _steps(pairs, smooth)
-    moved = likeliest_classes(neighbour_classes(learned, held, class_of, classes), step, in_class, least)
+    moved = likeliest_classes(neighbour_classes(learned, held, class_of, classes, least), step, in_class, least)
     own = spark.createDataFrame([(int(w), int(c)) for w, c in zip(top[chosen], group[chosen], strict=True)], "word long, class int")
     known = written(counts.join(moved.union(own), "word", "left"), "brown-words")
     bound = F.col("n") >= int(top_count.min()) if len(top) else F.lit(False)
