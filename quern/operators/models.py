@@ -1,4 +1,4 @@
-"""MLlib candidates, later-period calibration, the model bundle and importances."""
+"""The candidates, later-period calibration, the model bundle and importances."""
 
 from __future__ import annotations
 
@@ -8,12 +8,13 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions import logistic
 from quern.functions.ordered import row_index
 from quern.operators.features import CATEGORICAL_FEATURES, MODEL_FEATURES, NUMERIC_FEATURES
 from quern.operators.policy import Costs, with_value
@@ -63,14 +64,21 @@ _OUTPUT = {"rawPredictionCol": "_margin", "probabilityCol": "_likelihood", "pred
 
 
 def fit_logistic(train: DataFrame, label: str = "label", max_iter: int = 1_000) -> PipelineModel:
-    """Class-balanced ridge logistic regression on standardised features."""
-    weighted = class_balance_weights(train, label)
-    total = train.count()  # balanced weights sum to the number of rows
-    estimator = LogisticRegression(
-        featuresCol="model_input", labelCol=label, weightCol="weight", maxIter=max_iter,
-        regParam=1.0 / total, standardization=False, **_OUTPUT,
+    """Class-balanced ridge logistic regression on standardised features.
+
+    The penalty is half the squared slopes against the summed loss; the intercept is free.
+    """
+    encoder = Pipeline(stages=encode_features(scale=True)).fit(train)
+    encoded = encoder.transform(class_balance_weights(train, label)).select(
+        vector_to_array("model_input").alias("x"), F.col(label).cast("double").alias("y"), F.col("weight").alias("w")
     )
-    return Pipeline(stages=[*encode_features(scale=True), estimator]).fit(weighted)
+    width = len(encoder.stages[0].labelsArray[0]) + len(NUMERIC_FEATURES)
+    fit = logistic.fit(written(encoded, "encoded"), width, penalty=1.0, max_iter=max_iter)
+    score = logistic.LinearScore(
+        inputCol="model_input", outputCol=_OUTPUT["rawPredictionCol"],
+        slopes=fit.terms[1:].tolist(), offset=float(fit.terms[0]),
+    )
+    return PipelineModel([*encoder.stages, score])
 
 
 def fit_boosted_trees(
@@ -95,32 +103,26 @@ def fit_boosted_trees(
 def raw_score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add ``score``: the margin of a linear model, the raw probability of trees."""
     linear = hasattr(model.stages[-1], "coefficients")
-    source = "_margin" if linear else "_likelihood"
-    scored = model.transform(df).withColumn("score", vector_to_array(F.col(source))[1])
+    source = F.col("_margin") if linear else vector_to_array("_likelihood")[1]
+    scored = model.transform(df).withColumn("score", source)
     return scored.select(*df.columns, "score")
 
 
 def sigmoid_calibration(scored: DataFrame, label: str = "label") -> tuple[float, float]:
     """(A, B) of 1 / (1 + exp(A * score + B)) with Platt's smoothed targets.
 
-    Every row counts as a positive with its target and as a negative with the rest,
-    which turns the fit into a weighted logistic regression on one feature.
+    Rows without a score or a label take no part.
     """
-    counts = scored.agg(
+    known = scored.where(F.col("score").isNotNull() & F.col(label).isNotNull())
+    counts = known.agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     ).first()
     high = (counts["pos"] + 1.0) / (counts["pos"] + 2.0)
     low = 1.0 / (counts["neg"] + 2.0)
     target = F.when(F.col(label) == 1, F.lit(high)).otherwise(F.lit(low))
-    sides = F.array(
-        F.struct(F.lit(1.0).alias("side"), target.alias("mass")),
-        F.struct(F.lit(0.0).alias("side"), (1 - target).alias("mass")),
-    )
-    doubled = scored.select("score", F.explode(sides).alias("s")).select("score", "s.*")
-    model = LogisticRegression(
-        featuresCol="x", labelCol="side", weightCol="mass", maxIter=200, tol=1e-12, regParam=0.0
-    ).fit(VectorAssembler(inputCols=["score"], outputCol="x").transform(doubled))
-    return -float(model.coefficients[0]), -float(model.intercept)
+    rows = known.select(F.array(F.col("score").cast("double")).alias("x"), target.alias("y"), F.lit(1.0).alias("w"))
+    fit = logistic.fit(written(rows, "scores"), 1)
+    return -float(fit.terms[1]), -float(fit.terms[0])
 
 
 def calibrated(scored: DataFrame, a: float, b: float) -> DataFrame:

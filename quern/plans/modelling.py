@@ -1,7 +1,6 @@
 """Model fitting, calibration, scoring and importance queries.
 
-Fitted trees and ridge coefficients depend on the solver, so those have no SQL twin;
-tests check their properties. Boosting runs few rounds here, the declared candidates remain the default.
+Fitted trees depend on the solver, so those have no SQL twin; tests check their properties. Boosting runs few rounds here, the declared candidates remain the default.
 """
 
 from __future__ import annotations
@@ -84,11 +83,58 @@ def _(b):
     )
 
 
-@register("fit_logistic")
+def _margin(width: int, b: str = "b") -> str:
+    return " + ".join([f"{b}[1]", *[f"{b}[{i + 1}] * x{i}" for i in range(1, width + 1)]])
+
+
+def _solved(name: str, rows: str, width: int, penalty: float, rounds: int) -> dict[str, str]:
+    """Newton steps over rows (x1.., y, w): sums per step, then the system by Gauss-Jordan."""
+    terms = range(width + 1)
+    x = lambda i: f" * x{i}" if i else ""
+    sums = ", ".join(
+        "[" + ", ".join([*[f"sum(w * p * (1 - p){x(i)}{x(j)}) + {penalty if i == j and i else 0:.1e}" for j in terms],
+                         f"sum(w * (y - p){x(i)}) - {penalty if i else 0:.1e} * any_value(b)[{i + 1}]"]) + "]"
+        for i in terms
+    )
+    size, wide = width + 2, width + 3
+    pivots = ", ".join(f"[[{i + 1}e0]]" for i in terms)
+    at = "CAST(k[1][1] AS BIGINT)"
+    cell = f"CASE WHEN r = {at} THEN a[r][c] / a[{at}][{at}] ELSE a[r][c] - a[r][{at}] * a[{at}][c] / a[{at}][{at}] END"
+    solved = (
+        f"list_reduce(list_prepend(m, [{pivots}]), lambda a, k: list_transform(range(1, {size}), "
+        f"lambda r: list_transform(range(1, {wide}), lambda c: {cell})))"
+    )
+    return {
+        name: f"SELECT 0 AS i, [{', '.join(['0e0'] * len(terms))}] AS b UNION ALL "
+        f"SELECT i + 1, list_transform(range(1, {size}), lambda q: b[q] + solved[q][{size}]) FROM (SELECT i, b, {solved} AS solved FROM ("
+        f"SELECT any_value(i) AS i, any_value(b) AS b, [{sums}] AS m FROM (SELECT {name}.i, {name}.b, d.*, "
+        f"1 / (1 + exp(-({_margin(width)}))) AS p FROM {rows} d, {name} WHERE {name}.i < {rounds}) HAVING count(*) > 0))",
+    }
+
+
+_WIDTH = len(contract.TRANSACTION_TYPES) + len(features.NUMERIC_FEATURES)
+_ROUNDS = 16
+_CODED = ", ".join(
+    [f"CAST(type = '{t}' AS DOUBLE) AS x{i + 1}" for i, t in enumerate(contract.TRANSACTION_TYPES)]
+    + [f"coalesce(({c} - {c}_m) / nullif({c}_s, 0), 0) AS x{len(contract.TRANSACTION_TYPES) + i + 1}"
+       for i, c in enumerate(features.NUMERIC_FEATURES)]
+)
+_LOGISTIC = {
+    **_FIT,
+    "balance": "SELECT count(*) AS n, count_if(label = 1) AS n1 FROM fit",
+    "coded": f"SELECT label AS y, n / (2e0 * CASE WHEN label = 1 THEN n1 ELSE n - n1 END) AS w, {_CODED} FROM fit, moments, balance",
+    **_solved("slopes", "coded", _WIDTH, 1.0, _ROUNDS),
+    "marked": f"SELECT m.*, {_CODED} FROM matrix m, moments",
+    "margins": f"SELECT source_row_number, step, amount, label, {_margin(_WIDTH)} AS score FROM marked, slopes WHERE i = {_ROUNDS}",
+    "later": "SELECT * FROM margins WHERE step > (SELECT a FROM ends) AND step <= (SELECT z FROM ends)",
+}
+
+
+@register("fit_logistic", oracle("txn", steps=_LOGISTIC, select="SELECT source_row_number, label, round(score, 6) AS score FROM later", recursive=True))
 def _(b):
     _, fit, _, later = _parts(b)
     model = models.fit_logistic(fit)
-    return models.raw_score(model, later).select("source_row_number", "label", "score")
+    return rounded(models.raw_score(model, later).select("source_row_number", "label", "score"))
 
 
 @register("fit_boosted_trees")
@@ -130,21 +176,42 @@ def _(b):
     return rounded(fitted.select("source_row_number", "probability"), 4)
 
 
-@register("batch_score")
+_SCORED = {
+    **_LOGISTIC,
+    "held": "SELECT m.* FROM margins m, last WHERE step > last AND step <= (SELECT a FROM ends)",
+    "masses": "SELECT count_if(label = 1) AS pos, count_if(label = 0) AS neg FROM held",
+    "targets": "SELECT score AS x1, 1e0 AS w, CASE WHEN label = 1 THEN (pos + 1e0) / (pos + 2e0) ELSE 1 / (neg + 2e0) END AS y FROM held, masses",
+    **_solved("curve", "targets", 1, 0.0, _ROUNDS),
+    "chances": f"SELECT l.*, 1 / (1 + exp(-(b[1] + b[2] * score))) AS probability FROM later l, curve WHERE i = {_ROUNDS}",
+    "valued": f"SELECT *, probability * amount * {COSTS.loss_rate} * {COSTS.recovery_rate} - {COSTS.review_cost} "
+              f"- (1 - probability) * {COSTS.friction_cost} AS expected_net_value FROM chances",
+}
+
+
+@register(
+    "batch_score",
+    oracle("txn", steps=_SCORED, recursive=True,
+           select="SELECT source_row_number, round(amount, 6) AS amount, round(probability, 6) AS probability, "
+                  "round(expected_net_value, 4) AS expected_net_value, probability >= 1e-2 AND expected_net_value > 0 AS eligible FROM valued"),
+)
 def _(b):
     bundle, later = _bundle(b)
-    return models.batch_score(later, bundle).select(
-        "source_row_number", "amount", "probability", "expected_net_value", "eligible"
+    scored = models.batch_score(later, bundle)
+    return rounded(
+        scored.select("source_row_number", "amount", "probability", "expected_net_value", "eligible"), special={"expected_net_value": 4}
     )
 
 
-@register("save_load_bundle")
+@register(
+    "save_load_bundle",
+    oracle("txn", steps=_SCORED, recursive=True, select="SELECT source_row_number, round(probability, 6) AS probability FROM chances"),
+)
 def _(b):
     bundle, later = _bundle(b)
     folder = scratch_path(b.spark, "bundle")
     models.save_bundle(bundle, folder)
     loaded = models.load_bundle(b.spark, folder)
-    return models.batch_score(later, loaded).select("source_row_number", "probability")
+    return rounded(models.batch_score(later, loaded).select("source_row_number", "probability"))
 
 
 @register("model_run_record")
