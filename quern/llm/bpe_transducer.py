@@ -174,16 +174,14 @@ class Transducer:
         read since, so what is held does not grow with the piece.
         """
         pending, before = self.states[state]
-        pending, ends, live = bytearray(pending), dict(before), list(before)
+        text, ends, live = pending + more, dict(before), list(before)
         prefixes, apart = self.prefixes.get, self.apart.get
         out: list[int] = []
-        limit = len(pending) + 2 * self.longest
-        for byte in more:
-            pending.append(byte)
-            whole = bytes(pending)
+        start, limit = 0, len(pending) + 2 * self.longest
+        for size in range(len(pending) + 1, len(text) + 1):
             found, still = None, []
             for place in live:
-                entry = prefixes(whole[place:])
+                entry = prefixes(text[place:size])
                 if entry is None:
                     continue
                 token, opens = entry
@@ -196,21 +194,15 @@ class Transducer:
                         found = (token, place)
             if found is None:
                 raise ValueError("The vocabulary lacks single bytes.")
-            ends[len(pending)] = found
-            still.append(len(pending))
+            ends[size] = found
+            still.append(size)
             live = still
-            if len(pending) >= limit:
+            if size >= limit:
                 base, between = _meeting(live, ends)
-                out += _walk(ends, base)
-                after = {0: (ends[base][0], -1)}
-                for place in {*between, *live} - {base}:
-                    token, begins = ends[place]
-                    after[place - base] = (token, begins - base)
-                live = sorted(place - base for place in live)
-                ends = after
-                del pending[:base]
-                limit = len(pending) + 2 * self.longest
-        return out + _walk(ends, len(pending))
+                out += _walk(ends, base, start)
+                ends = {place: ends[place] for place in {base, *between, *live}}
+                start, limit = base, size + 2 * self.longest
+        return out + _walk(ends, len(text), start)
 
 
 def _meeting(live: list[int], ends: dict[int, tuple[int, int]]) -> tuple[int, list[int]]:
@@ -225,16 +217,20 @@ def _meeting(live: list[int], ends: dict[int, tuple[int, int]]) -> tuple[int, li
     return left[0], between
 
 
-def _walk(ends: dict[int, tuple[int, int]], place: int) -> list[int]:
-    """The tokens that end at a place, back to the settled one."""
+def _walk(ends: dict[int, tuple[int, int]], place: int, start: int = 0) -> list[int]:
+    """The tokens that end at a place, back to the settled one that ends at ``start``."""
     out = []
-    while place > 0:
+    while place > start:
         token, place = ends[place]
         out.append(token)
     return out[::-1]
 
 
-_ASCII_OR_NOT = re.compile(rb"[\x00-\x7f]+|[\x80-\xff]+")
+#: All paths of the machine through whole characters, back to its first state.
+_WHOLE = re.compile(
+    rb"(?:[\x00-\x7f]+|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]"
+    rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2})++"
+)
 
 
 class Utf8Machine:
@@ -245,34 +241,32 @@ class Utf8Machine:
         self.low, self.high = 0x80, 0xBF
 
     def feed(self, data: bytes) -> str:
-        out = []
-        for run in _ASCII_OR_NOT.findall(data):
-            if run[0] < 0x80:  # whole characters: no state is left behind
-                out.append((self.finish() if self.need else "") + run.decode("ascii"))
-            else:
-                self._feed(run, out)
-        return "".join(out)
-
-    def _feed(self, data: bytes, out: list[str]) -> None:
-        """Bytes beyond ASCII, one by one."""
-        for byte in data:
+        out, at = [], 0
+        while at < len(data):
+            byte = data[at]
             if self.need:
-                if self.low <= byte <= self.high:
-                    self.low, self.high = 0x80, 0xBF
-                    self.held += bytes([byte])
-                    self.need -= 1
-                    if not self.need:
-                        out.append(self.held.decode())
-                        self.held = b""
+                if not self.low <= byte <= self.high:
+                    out.append(self.finish())  # and the byte is read again
                     continue
-                out.append(self.finish())
-            if 0xC2 <= byte <= 0xF4:
+                self.low, self.high = 0x80, 0xBF
+                self.held += data[at : at + 1]
+                self.need -= 1
+                if not self.need:
+                    out.append(self.held.decode())
+                    self.held = b""
+            elif whole := _WHOLE.match(data, at):
+                out.append(whole[0].decode())
+                at = whole.end()
+                continue
+            elif 0xC2 <= byte <= 0xF4:
                 self.need = 1 + (byte >= 0xE0) + (byte >= 0xF0)
-                self.held = bytes([byte])
+                self.held = data[at : at + 1]
                 self.low = {0xE0: 0xA0, 0xF0: 0x90}.get(byte, 0x80)
                 self.high = {0xED: 0x9F, 0xF4: 0x8F}.get(byte, 0xBF)
             else:
-                out.append("�")
+                out.append("\ufffd")
+            at += 1
+        return "".join(out)
 
     def finish(self) -> str:
         """What an unfinished character becomes."""
