@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import scalar
 from quern.functions.ordered import join_null_safe, ordered_cumsum
+from quern.session import written
 
 
 def sort_limit(df: DataFrame, column: str, n: int, tie_break: str) -> DataFrame:
@@ -91,10 +92,11 @@ def category_counts(df: DataFrame, column: str) -> DataFrame:
 def duplicate_rows(df: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
     """Second and later rows of each business key with their number, by id.
 
-    Only the rows of keys that repeat are numbered; the numbering splits a hot key by id ranges.
+    Only the rows of keys that repeat are numbered; they are written once, and the numbering
+    splits a hot key by id ranges.
     """
     repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys)
-    suspects = join_null_safe(df, repeated, keys, "left_semi")
+    suspects = written(join_null_safe(df, repeated, keys, "left_semi"), "suspects")
     numbered = ordered_cumsum(suspects, row_id, {"row_num": F.lit(1)}, by=keys)
     return numbered.where(F.col("row_num") > 1)
 

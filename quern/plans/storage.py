@@ -47,8 +47,8 @@ def _(b):
 
 @register(
     "scan_csv_tolerant",
-    oracle("txn", select="SELECT count(*) FILTER (WHERE source_row_number % 17 <> 0) AS readable, "
-           "count(*) FILTER (WHERE source_row_number % 17 = 0) AS broken FROM txn"),
+    oracle("txn", select="SELECT source_row_number, CASE WHEN source_row_number % 17 <> 0 THEN round(amount, 6) END AS amount, type, "
+           "CASE WHEN source_row_number % 17 = 0 THEN source_row_number || ',n/a,' || type END AS line FROM txn"),
 )
 def _(b):
     path = scratch_path(b.spark, "tolerant")
@@ -60,9 +60,11 @@ def _(b):
     ).csv(path)
     schema = b.spark.createDataFrame([], "source_row_number long, amount double, type string").schema
     good, bad = csv.scan_csv_tolerant(b.spark, path, schema)
-    return good.select(F.lit(1).alias("readable"), F.lit(0).alias("broken")).unionByName(
-        bad.select(F.lit(0).alias("readable"), F.lit(1).alias("broken"))
-    ).agg(F.sum("readable").alias("readable"), F.sum("broken").alias("broken"))
+    cell = lambda i: F.split("line", ",")[i]
+    broken = bad.select(
+        cell(0).cast("long").alias("source_row_number"), F.lit(None).cast("double").alias("amount"), cell(2).alias("type"), "line"
+    )
+    return rounded(good.withColumn("line", F.lit(None).cast("string")).unionByName(broken))
 
 
 _SHARED = {"prvdr_id": "bigint", "state": "string", "smry_ctgry": "string", "pymt": "double"}

@@ -100,17 +100,15 @@ def _(b):
 @register(
     "rejected_payload_json",
     oracle("txn_source", steps=_FLAGGED, select="SELECT CAST(7 AS BIGINT) AS ingestion_id, source_row_number, rejection_reason, "
-           "CAST(step AS VARCHAR) AS step, type, round(amount, 6) AS amount, nameOrig FROM flagged WHERE rejection_reason <> ''"),
+           f"{_ALL} FROM flagged WHERE rejection_reason <> ''"),
 )
 def _(b):
     rejected = contract.validate_transactions(b["txn_source"]).rejected
-    payload = lambda c: F.get_json_object("source_payload", f"$.{c}")
-    return rounded(
-        contract.rejected_payload_json(rejected, 7).select(
-            "ingestion_id", "source_row_number", "rejection_reason",
-            payload("step").alias("step"), payload("type").alias("type"),
-            payload("amount").cast("double").alias("amount"), payload("nameOrig").alias("nameOrig"),
-        )
+    types = ", ".join(f"{name} {kind}" for name, kind in rejected.select(*contract.SOURCE_COLUMNS).dtypes)
+    payload = F.from_json("source_payload", types).alias("payload")
+    audit = contract.rejected_payload_json(rejected, 7)
+    return audit.select("ingestion_id", "source_row_number", "rejection_reason", payload).select(
+        "ingestion_id", "source_row_number", "rejection_reason", "payload.*"
     )
 
 
