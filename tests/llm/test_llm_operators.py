@@ -622,6 +622,29 @@ def test_secret_threshold_keeps_the_recall():
     assert network.threshold < 0.5 and (network.chance(logit[:40]) >= network.threshold).mean() >= 0.98
 
 
+def test_secret_fit_takes_every_window(spark, monkeypatch):
+    """All windows kept back are counted, in several rounds too; training meets every other one."""
+    made = [(i, f"{prose('en', 4)} longish{i:06d}word 4111-{i:07d} " + (f"password={i:05d}fedcba9876543" if i % 9 == 0 else "")) for i in range(9_000)]
+    df = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    found = secret_scan.Candidates(pa.array([t for _, t in made]))
+    windows, owner = found.windows()
+    back = secret_scan.kept_back(secret_scan.keys(windows))
+    number = np.bincount(found.sorts()[owner][back], minlength=3).tolist()
+    assert min(number[:2]) > 2_000
+    dealt, trained = [], secret_scan._trained
+    monkeypatch.setattr(secret_scan, "FIRST", 2_000)
+    monkeypatch.setattr(secret_scan, "_trained", lambda rows, *rest: dealt.append(rows) or trained(rows, *rest))
+    report = secret_scan.fit(df).report
+    assert [report[k][0] for k in ("number", "other", "confirmed")] == number
+    assert len(dealt) > 1 and Counter(r.text for rows in dealt for r in rows.collect()) == Counter(t for _, t in made)
+
+    network, met = secret_scan.Network(), set()
+    monkeypatch.setattr(secret_scan.Network, "_descend", lambda self, parts, *_: met.update(map(bytes, parts[0][0])))
+    new = {s: windows[found.sorts()[owner] == s][: 700 * (s + 1)] for s in secret_scan.STEP}
+    network.learn(new, {s: windows[:0] for s in new}, {}, RANDOM, 0.01)
+    assert met == {bytes(w) for x in new.values() for w in x}
+
+
 # 9 and 10 -----------------------------------------------------------------------------------
 
 
