@@ -119,6 +119,32 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     return written(made.groupBy("word").agg(F.max("ending").alias("ending"), F.sum("n").alias("n")), "brown-counts")
 
 
+def _lists(key: np.ndarray, n: np.ndarray, owners: int, width: int) -> list[pa.Array]:
+    """What each owner meets and how often, from ascending keys owner * ``width`` + other."""
+    ends = pa.array(np.append(0, np.cumsum(np.bincount(key // width, minlength=owners))), pa.int32())
+    return [pa.ListArray.from_arrays(ends, pa.array(v, t)) for v, t in ((key % width, pa.int32()), (n, pa.int64()))]
+
+
+def _summed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Owners and their counts by other, from rows (owner, others, n) in the order of the owners."""
+    # The last owner of a batch may go on in the next one.
+    owner, counts = np.zeros(0, np.int64), np.zeros((0, width))
+    for batch in batches:
+        if not len(batch):
+            continue
+        new, at = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+        key = np.repeat(at * width, np.diff(batch.column(1).offsets.to_numpy())) + batch.column(1).flatten().to_numpy()
+        more = np.bincount(key, batch.column(2).flatten().to_numpy(), len(new) * width).reshape(-1, width)
+        if len(owner) and new[0] == owner[-1]:
+            more[0] += counts[-1]
+        elif len(owner):
+            yield owner, counts
+        yield new[:-1], more[:-1]
+        owner, counts = new[-1:], more[-1:]
+    if len(owner):
+        yield owner, counts
+
+
 def _units(words: Words, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at, known = vocabulary.find(words.hashes)
     unit = np.where(known, vocabulary.unit[at] if len(vocabulary.unit) else -1, -1)
@@ -134,7 +160,9 @@ def _unit_bigrams(rows: DataFrame, held) -> DataFrame:
 
         def handed() -> pa.RecordBatch:
             keys, counts = tally.taken()
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["pair", "n"])
+            units = np.unique(keys // width)
+            keys = np.searchsorted(units, keys // width) * width + keys % width
+            return pa.RecordBatch.from_arrays([pa.array(units), *_lists(keys, counts, len(units), width)], ["unit", "other", "n"])
 
         for batch in batches:
             for a, b in text_slices(batch.column(0)):
@@ -150,15 +178,22 @@ def _unit_bigrams(rows: DataFrame, held) -> DataFrame:
             yield handed()
 
     width = held.value.end + 1
-    pairs = rows.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    pairs = pairs.select(F.expr(f"int(pair div {width})").alias("a"), F.expr(f"int(pair % {width})").alias("b"), "n")
-    both = pairs.select("a", F.lit(0).alias("side"), "b", "n").union(pairs.select("b", F.lit(1), "a", "n"))
-    return written(
-        both.groupBy("a", "side")
-        .agg(F.collect_list(F.struct("b", "n")).alias("x"))
-        .select(F.col("a").alias("unit"), "side", F.col("x.b").alias("other"), F.col("x.n").alias("n")),
-        "brown-bigrams",
-    )
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for units, counts in _summed(batches, width):
+            if len(units):
+                key = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(units, pa.int32()), *_lists(key, counts.ravel()[key].astype(np.int64), len(units), width)], ["unit", "other", "n"]
+                )
+
+    layout = "unit {}, other array<int>, n array<long>"
+    dealt = rows.mapInArrow(run, layout.format("long")).repartition("unit").sortWithinPartitions("unit")
+    right = written(dealt.mapInArrow(sums, layout.format("int")), "brown-pairs-right")
+    pairs = right.select("unit", F.explode(F.arrays_zip("other", "n")).alias("x"))
+    left = pairs.groupBy(F.col("x.other").alias("a")).agg(F.collect_list(F.struct("unit", "x.n")).alias("x"))
+    left = left.select(F.col("a").alias("unit"), F.lit(1).alias("side"), F.col("x.unit").alias("other"), F.col("x.n").alias("n"))
+    return written(right.select("unit", F.lit(0).alias("side"), "other", "n").unionByName(left), "brown-bigrams")
 
 
 def _by_class(batch: pa.RecordBatch, class_of: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -265,7 +300,8 @@ def _sides(words: Words, shown: np.ndarray, last: int) -> tuple[np.ndarray, np.n
 
 def neighbour_classes(rows: DataFrame, held: Broadcast, class_of: np.ndarray, classes: int, least: int) -> DataFrame:
     """(word, code, n) of the words that have no unit of their own: how often which class follows
-    (code is the class) or precedes (code is ``classes`` + the class).
+    (code is the class) or precedes (code is ``classes`` + the class). Both are lists; a word's rows, one for each time
+    a task hands it on, follow each other in one partition.
 
     Words of which a task knows that they occur less than ``least`` times are left out: those sent to it, and all
     others where the rarest sent word occurs so often at most.
@@ -279,14 +315,15 @@ def neighbour_classes(rows: DataFrame, held: Broadcast, class_of: np.ndarray, cl
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def handed() -> pa.RecordBatch:
-            word, code, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+            every = np.unique(np.concatenate([found for found, _, _ in parts]))
+            # Each part ascends, so a sort that keeps runs only merges them.
+            key = np.concatenate([np.searchsorted(every, found)[k // (2 * classes)] * (2 * classes) + k % (2 * classes) for found, k, _ in parts])
+            order = np.argsort(key, kind="stable")
+            n, key = np.concatenate([n for _, _, n in parts])[order], key[order]
             parts.clear()
-            order = np.lexsort((code, word))
-            word, code, n = word[order], code[order], n[order]
-            first = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (code[1:] != code[:-1])))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(word[first]), pa.array(code[first], pa.int32()), pa.array(np.add.reduceat(n, first))], ["word", "code", "n"]
-            )
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            n, key = np.add.reduceat(n, first), key[first]
+            return pa.RecordBatch.from_arrays([pa.array(every), *_lists(key, n, len(every), 2 * classes)], ["word", "code", "n"])
 
         for batch in batches:
             for a, b in text_slices(batch.column(0)):
@@ -301,15 +338,15 @@ def neighbour_classes(rows: DataFrame, held: Broadcast, class_of: np.ndarray, cl
                 found, back = np.unique(words.hashes[own].view(np.int64), return_inverse=True)
                 key = np.concatenate([back * 2 * classes + right[place + 1], back * 2 * classes + classes + left[place]])
                 key, n = np.unique(key, return_counts=True)
-                parts.append((found[key // (2 * classes)], key % (2 * classes), n))
-            if sum(len(x[0]) for x in parts) > 4 * _HELD:
+                parts.append((found, key, n))
+            if sum(len(x[1]) for x in parts) > 4 * _HELD:
                 yield handed()
         if parts:
             yield handed()
 
-    # One exchange by word serves this sum and the lists made of it; words that are frequent have units of their own.
-    dealt = rows.mapInArrow(run, "word long, code int, n long").repartition("word")
-    return dealt.groupBy("word", "code").agg(F.sum("n").alias("n"))
+    # Words that are frequent have units of their own.
+    dealt = rows.mapInArrow(run, "word long, code array<int>, n array<long>").repartition("word")
+    return dealt.sortWithinPartitions("word")
 
 
 def likeliest_classes(sides: DataFrame, step: np.ndarray, in_class: np.ndarray, least: int) -> DataFrame:
@@ -317,23 +354,18 @@ def likeliest_classes(sides: DataFrame, step: np.ndarray, in_class: np.ndarray,
     classes = len(step)
     emit = np.log10(np.maximum(in_class, 1))
 
+    def judged(word: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        after, before = counts[:, :classes], counts[:, classes:]
+        n = after.sum(1)
+        gain = after @ step.T + before @ step - n[:, None] * emit
+        gain[:, -1] = -np.inf  # the end's own class
+        keep = n >= least
+        return pa.RecordBatch.from_arrays([pa.array(word[keep]), pa.array(gain.argmax(1)[keep], pa.int32())], ["word", "class"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size = np.diff(batch.column(1).offsets.to_numpy())
-            row = np.repeat(np.arange(len(batch)), size)
-            key = row * 2 * classes + batch.column(1).flatten().to_numpy()
-            counts = np.bincount(key, batch.column(2).flatten().to_numpy(), len(batch) * 2 * classes).reshape(-1, 2 * classes)
-            after, before = counts[:, :classes], counts[:, classes:]
-            n = after.sum(1)
-            gain = after @ step.T + before @ step - n[:, None] * emit
-            gain[:, -1] = -np.inf  # the end's own class
-            keep = n >= least
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(pa.array(keep)), pa.array(gain.argmax(1)[keep], pa.int32())], ["word", "class"]
-            )
+        yield from (judged(word, counts) for word, counts in _summed(batches, 2 * classes))
 
-    lists = sides.groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("x"))  # two entries a class at most
-    return lists.select("word", "x.code", "x.n").mapInArrow(run, "word long, class int")
+    return sides.mapInArrow(run, "word long, class int")
 
 
 @dataclass

@@ -439,6 +439,21 @@ def test_brown_lm_without_training(docs):
     assert {(r.train_tokens, r.n_known, r.base_score) for r in found} == {(0, 0, 0.0)}
 
 
+def test_brown_counts_travel_as_lists(spark):
+    """A task hands on a word once, with all its neighbours; sums hold across batches."""
+    df = spark.createDataFrame([(" ".join(RANDOM.choice(list("abcdefgh"), 40)),) for _ in range(20)], "text string").coalesce(1)
+    none = brown_lm.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0)
+    class_of = np.append(np.arange(brown_lm.ENDINGS) % 3, 3)
+    rows = brown_lm.neighbour_classes(df, spark.sparkContext.broadcast(none), class_of, 4, 1).collect()
+    assert len(rows) == len({r.word for r in rows}) == 8
+    assert sum(sum(r.n) for r in rows) == 2 * 20 * 40 and all(len(set(r.code)) == len(r.code) > 1 for r in rows)
+
+    batch = lambda owners, others, n: pa.RecordBatch.from_arrays([pa.array(owners), pa.array(others), pa.array(n)], ["o", "x", "n"])
+    batches = [batch([1, 1, 2], [[0, 2], [2], [1]], [[1, 1], [4], [7]]), batch([2], [[1]], [[1]]), batch([2, 5], [[0], [2]], [[3], [9]])]
+    summed = {o: c.tolist() for owners, counts in brown_lm._summed(iter(batches), 3) for o, c in zip(owners.tolist(), counts, strict=True)}
+    assert summed == {1: [1, 0, 5], 2: [3, 8, 0], 5: [0, 0, 9]}
+
+
 # 6 ------------------------------------------------------------------------------------------
 
 
