@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from quern.operators import contract
@@ -10,19 +12,29 @@ from quern.plans.transactions import _FLAGGED, _PSI, COSTS, _quantiles
 from quern.session import scratch_path, written
 from quern.streaming.validation import append_to, end_marker, split_sink, stream_daily_monitoring, stream_validate
 
-_FILES = 2  # files of one arrival, and so of one micro-batch
+#: An arrival, and so a micro-batch, is two files at least and one more for so many rows.
+_FILES, _FILE_ROWS = 2, 100_000
 
 
 def _replayed(b, frame, event_time, label):
-    """A static frame as a stream that arrives in order of its column ``arrival``, closed by an end marker."""
+    """A static frame as a stream that arrives in order of its column ``arrival``, closed by an end marker.
+
+    A micro-batch is a number of files, so every arrival has as many as the largest one needs; where
+    rows are too few to fill them, empty files make up the number.
+    """
     path = scratch_path(b.spark, label)
     frame = written(frame, f"{label}-rows")
-    for part in sorted(r[0] for r in frame.select("arrival").distinct().collect()):
-        rows = frame.where(F.col("arrival") == part).drop("arrival")
-        rows.repartition(_FILES).write.mode("append").parquet(path)
     schema = frame.drop("arrival").schema
+    sizes = {r["arrival"]: r["count"] for r in frame.groupBy("arrival").count().collect()}
+    files = max([_FILES, *[math.ceil(n / _FILE_ROWS) for n in sizes.values()]])
+    for done, part in enumerate(sorted(sizes), 1):
+        rows = frame.where(F.col("arrival") == part).drop("arrival")
+        rows.repartition(files).write.mode("append").parquet(path)
+        there = b.spark.read.schema(schema).parquet(path).inputFiles()
+        for _ in range(done * files - len(there)):
+            rows.limit(0).write.mode("append").parquet(path)
     end_marker(b.spark, schema, event_time).write.mode("append").parquet(path)
-    return b.spark.readStream.schema(schema).option("maxFilesPerTrigger", _FILES).parquet(path)
+    return b.spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _drained(b, frame, label):

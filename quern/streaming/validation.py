@@ -40,6 +40,13 @@ def _millis(spark: SparkSession, interval: str) -> int:
     return spark.sql(f"SELECT unix_millis(timestamp_millis(0) + INTERVAL {interval})").first()[0]
 
 
+def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which values a sorted array holds."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
 def _marked_rows(
     rows: DataFrame, event_time: str, delay: str, closes: Column, kept_for: int | None, buckets: int
 ) -> DataFrame:
@@ -49,11 +56,14 @@ def _marked_rows(
     state, one array per bucket of contents, so a batch costs one Python call per bucket and not
     one per row, and a content that repeats without end is only looked up. An entry is forgotten
     once the watermark has passed its event time by ``kept_for`` ms. Rows travel as one JSON
-    text, which keeps every type exact.
+    text, which keeps every type exact; short names and times as numbers make it quick to read.
     """
-    schema = T.StructType(rows.drop("_print").schema.fields)
+    fields = rows.drop("_print").schema.fields
+    is_time = [isinstance(f.dataType, T.TimestampType) for f in fields]
+    schema = T.StructType([T.StructField(f"c{i}", T.LongType() if t else f.dataType) for i, (f, t) in enumerate(zip(fields, is_time, strict=True))])
     printed = rows if "_print" in rows.columns else rows.withColumn("_print", F.lit(""))
-    names = [c for c in rows.columns if c != "_print"]
+    names = [f.name for f in fields]
+    sent = [(F.unix_micros(n) if t else F.col(n)).alias(f"c{i}") for i, (n, t) in enumerate(zip(names, is_time, strict=True))]
     line = F.col(contract.LINE) if contract.LINE in names else F.lit(0)
     # The marker passes the watermark's node and moves it; behind it the marker is dropped.
     timed = printed.withWatermark(event_time, delay).where(F.coalesce(F.col(event_time) < F.lit(END), F.lit(True)))
@@ -63,43 +73,42 @@ def _marked_rows(
         F.coalesce(F.unix_millis(event_time), F.lit(-(2**62))).alias("_at"),
         F.coalesce(closes, F.lit(-(2**62))).alias("_closes"),
         F.coalesce(line.cast("long"), F.lit(0)).alias("_line"),
-        F.to_json(F.struct(*names), _JSON).alias("_row"),
+        F.to_json(F.struct(*sent), _JSON).alias("_row"),
     )
 
-    def made(rows: pd.Series, late: bool, repeat: bool) -> pd.DataFrame:
-        return pd.DataFrame({"_row": rows, "_late": late, "_repeat": repeat})
-
     def mark(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         watermark = state.getCurrentWatermarkMs()
         held = np.frombuffer(state.get[0], _SEEN) if state.exists else np.zeros(0, _SEEN)
         held = held[held["until"] > watermark]
+        seen = np.sort(held["print"])  # sorted once, then searched by every chunk
         first: dict[bytes, tuple[int, int, str]] = {}
         for chunk in chunks:
+            rows, closes = chunk["_row"].to_numpy(), chunk["_closes"].to_numpy()
             # A row without an event time has no place in the stream: it is late.
-            late = (chunk["_closes"] <= watermark) | (chunk["_closes"] == -(2**62))
-            yield made(chunk["_row"][late], True, False)
-            chunk = chunk[~late]
-            if kept_for is None:
-                yield made(chunk["_row"], False, False)
-                continue
-            prints = chunk["_print"].to_numpy().astype("S32")
-            known = np.isin(prints, held["print"])
-            yield made(chunk["_row"][known], False, True)
-            chunk, prints = chunk[~known], prints[~known]
-            # Of contents new in this batch the lowest line is the first, wherever it comes.
-            order = np.lexsort((chunk["_line"].to_numpy(), prints))
-            leads = np.ones(len(order), bool)
-            leads[1:] = prints[order][1:] != prints[order][:-1]
-            repeats = [chunk["_row"].iloc[order[~leads]]]
-            for i in order[leads].tolist():
-                offered = (int(chunk["_line"].iat[i]), int(chunk["_at"].iat[i]), chunk["_row"].iat[i])
-                kept = first.setdefault(prints[i], offered)
-                if kept is not offered:
-                    first[prints[i]], other = min(kept, offered), max(kept, offered)
-                    repeats.append(pd.Series([other[2]]))
-            yield made(pd.concat(repeats), False, True)
+            late = (closes <= watermark) | (closes == -(2**62))
+            leads, beaten = np.zeros(len(rows), bool), []
+            if kept_for is not None:
+                on_time = np.flatnonzero(~late)
+                prints = chunk["_print"].to_numpy()[on_time].astype("S32")
+                lines, times = (chunk[c].to_numpy()[on_time] for c in ("_line", "_at"))
+                # Of contents new in this batch the lowest line is the first, wherever it comes.
+                order = np.lexsort((lines, prints))
+                ahead = np.ones(len(order), bool)
+                ahead[1:] = prints[order][1:] != prints[order][:-1]
+                order = order[ahead]
+                order = order[~_among(prints[order], seen)]
+                leads[on_time[order]] = True
+                offers = zip(lines[order].tolist(), times[order].tolist(), rows[on_time[order]], strict=True)
+                for content, offered in zip(prints[order].tolist(), offers, strict=True):
+                    kept = first.setdefault(content, offered)
+                    if kept is not offered:
+                        first[content], other = min(kept, offered), max(kept, offered)
+                        beaten.append(other[2])
+            late = np.append(late[~leads], np.zeros(len(beaten), bool))
+            repeat = np.zeros(len(late), bool) if kept_for is None else ~late
+            yield pd.DataFrame({"_row": [*rows[~leads], *beaten], "_late": late, "_repeat": repeat})
         if first:
-            yield made(pd.Series([row for _, _, row in first.values()]), False, False)
+            yield pd.DataFrame({"_row": [row for _, _, row in first.values()], "_late": False, "_repeat": False})
             added = np.array([(p, at + kept_for) for p, (_, at, _) in first.items()], _SEEN)
             held = np.concatenate([held, added])
         if len(held):
@@ -110,7 +119,8 @@ def _marked_rows(
     marked = packed.groupBy("_bucket").applyInPandasWithState(
         mark, "_row string, _late boolean, _repeat boolean", "seen binary", "append", "NoTimeout"
     )
-    return marked.select(F.from_json("_row", schema, _JSON).alias("r"), "_late", "_repeat").select("r.*", "_late", "_repeat")
+    found = [(F.timestamp_micros(f"r.c{i}") if t else F.col(f"r.c{i}")).alias(n) for i, (n, t) in enumerate(zip(names, is_time, strict=True))]
+    return marked.select(F.from_json("_row", schema, _JSON).alias("r"), "_late", "_repeat").select(*found, "_late", "_repeat")
 
 
 def stream_validate(

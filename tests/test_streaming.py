@@ -2,11 +2,14 @@
 
 import datetime as dt
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from quern.operators import contract
 from quern.operators.policy import Costs
+from quern.plans import streams
 from quern.session import scratch_path
 from quern.streaming.validation import (
     append_to,
@@ -98,6 +101,38 @@ def test_sink_writes_three_layers(spark):
     assert contract.REASON in written["rejected"][0].asDict()
 
 
+def test_contents_in_many_pieces(spark):
+    """The lowest line leads though it comes in a later piece of its bucket, and points in time stay exact."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    at = dt.datetime(2031, 5, 6, 7, 8, 9, 123457)
+    rows = [(*row(30 - i, 1, f"C{i % 5}")[:-1], at) for i in range(20)]
+    try:
+        found = drained(spark, stream_validate(replay(spark, [rows]), "ts", buckets=1)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(found) == 20 and {r.ts for r in found} == {at}
+    assert sorted(r.source_row_number for r in found if r.layer == "accepted") == [11, 12, 13, 14, 15]
+
+
+def test_an_arrival_is_a_batch_of_as_many_files_as_it_needs(spark, monkeypatch):
+    """Arrivals with fewer rows than files, too: their batch takes nothing from the next one."""
+    monkeypatch.setattr(streams, "_FILE_ROWS", 100)
+    arrivals = {0: 1, 1: 470, 2: 2, 3: 30}
+    rows = [(i, a, START) for a, n in arrivals.items() for i in range(n)]
+    frame = spark.createDataFrame(rows, "i int, arrival int, ts timestamp").withColumn("part", F.col("arrival") + 0)
+    stream = streams._replayed(SimpleNamespace(spark=spark), frame, "ts", "replay-test")
+    seen, files = [], []
+
+    def look(batch, _):
+        seen.append({r[0]: r[1] for r in batch.groupBy("part").count().collect()})
+        files.append(batch.where("part = 1").select(F.input_file_name()).distinct().count())
+
+    root = scratch_path(spark, "stream-test")
+    stream.writeStream.foreachBatch(look).option("checkpointLocation", root).trigger(availableNow=True).start().awaitTermination()
+    assert seen == [{0: 1}, {1: 470}, {2: 2}, {3: 30}, {None: 1}]
+    assert files == [0, 5, 0, 0, 0]
+
+
 SCORED = "ts timestamp, amount double, probability double, actual int, review boolean"
 
 
