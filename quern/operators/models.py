@@ -223,15 +223,22 @@ def permutation_importance(
     ``score`` adds a column ``score``. All rows take part, and all shuffled copies are scored
     in one pass. The spread is NULL for a single seed.
     """
-    paired = written(_shuffled(df.select(row_id, label, *features), features, row_id, seeds), "paired")
-    copies = paired.withColumn("_shuffled", F.explode(F.array(*[F.lit(c) for c in ("", *features)])))
+    rows = written(df.select(row_id, label, *features), "rows")
+    paired = written(_shuffled(rows, features, row_id, seeds), "paired")
+    names, draws = F.array(*[F.lit(c) for c in ("", *features)]), F.array(*[F.lit(s) for s in seeds])
+    copies = paired.withColumn("_shuffled", F.explode(names))
     mixed = copies.select(
         "_seed", "_shuffled", label,
         *[F.when(F.col("_shuffled") == c, F.col(f"_other_{c}")).otherwise(F.col(c)).alias(c) for c in features],
     )
-    scored = score(mixed).select("_seed", "_shuffled", F.col("score").alias("probability"), F.col(label).alias("actual"))
+    # Every copy of a row is grouped and sorted by its score: one number names its seed and feature there.
+    width = len(features) + 1
+    round_of = (F.array_position(draws, F.col("_seed")) - 1) * width + F.array_position(names, F.col("_shuffled")) - 1
+    scored = score(mixed).select(round_of.cast("int").alias("_round"), F.col("score").alias("probability"), F.col(label).alias("actual"))
     # One row per seed and feature.
-    table = written(average_precision(scored, by=["_seed", "_shuffled"]), "precision")
+    table = written(average_precision(scored, by=["_round"]), "precision").select(
+        draws[F.floor(F.col("_round") / width).cast("int")].alias("_seed"), names[F.col("_round") % width].alias("_shuffled"), "average_precision"
+    )
     whole = table.where(F.col("_shuffled") == "").select("_seed", F.col("average_precision").alias("_whole"))
     lost = table.where(F.col("_shuffled") != "").join(whole, "_seed").withColumn("_lost", F.col("_whole") - F.col("average_precision"))
     return (

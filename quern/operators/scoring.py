@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.ordered import cut_points, even_probabilities, exact_quantiles, ordered_cumsum
+from quern.functions.ordered import even_probabilities, exact_quantiles, ordered_cumsum
 from quern.functions.scalar import safe_share
 from quern.operators.policy import Costs, best_threshold, threshold_search
 from quern.session import written
@@ -17,7 +17,8 @@ from quern.session import written
 def score_curve(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score: rows, positives, and both summed from the top score down.
 
-    The distinct scores are counted once and written; ranges are cut by the raw scores.
+    The distinct scores are counted once and written, and ranges are cut by that copy: what made
+    the scores runs once.
     """
     per_score = scored.groupBy(*by, "probability").agg(
         F.count("*").alias("n"), F.sum(F.col("actual").cast("long")).alias("positives")
@@ -28,7 +29,6 @@ def score_curve(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         {"n_upto": "n", "tp_upto": "positives"},
         by=by,
         descending=True,
-        cuts=cut_points(scored, "probability"),
     )
 
 

@@ -91,3 +91,19 @@ def test_importance_of_a_known_score(spark):
         assert counts[0] == counts[1]
     moved = copies.where("_shuffled = 'noise'").groupBy("_seed").agg(F.sum(F.col("noise") * F.col("key")).alias("s")).collect()
     assert moved[0]["s"] != moved[1]["s"]
+
+
+def test_every_copy_is_scored_once(spark):
+    """The score of a row and copy is asked for once, whatever follows."""
+    asked = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def key_of(key):
+        asked.add(1)
+        return float(key)
+
+    df = spark.createDataFrame([(i, i % 2, i % 2, i % 3) for i in range(200)], "source_row_number long, label int, key int, other int")
+    score = lambda frame: frame.withColumn("score", key_of("key"))
+    found = {r["feature"]: r["importance"] for r in models.permutation_importance(df, score, ("key", "other"), seeds=(7, 7_000_000)).collect()}
+    assert found["key"] > 0.3 and found["other"] == 0
+    assert asked.value == 2 * 3 * 200
