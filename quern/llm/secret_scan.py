@@ -27,6 +27,7 @@ nothing added. Offsets count code points, ends are exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -39,13 +40,11 @@ from quern.llm.common import partitions, plain, prepare, text_slices
 from quern.llm.words import mixed, raw
 
 KINDS = ("assign", "access", "hex", "model")
-# The rules.
-_ASSIGN = re.compile(
-    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
-)
-_NAMES = ("passw", "secret", "token", "api")
-_ACCESS = re.compile("AKIA[A-Z0-9]+")
-_HEX = re.compile("[0-9a-f]{32,}")
+# The rules, over UTF-8; all they take is ASCII.
+_ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
+_NAMES = (b"passw", b"secret", b"token", b"api")
+_ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
+_HEX = re.compile(rb"[0-9a-f]{32,}")
 
 #: Sorts of labelled findings.
 NUMBER, OTHER, CONFIRMED = 0, 1, 2
@@ -63,41 +62,45 @@ SHORT = 16
 HELD, REMEMBERED, STAND_INS = 1 << 18, 8_192, 64
 #: Logits are counted in steps of 1 / FINE.
 FINE = 1024
+#: Places of windows that pass the convolution at once in training: what they need stays in the caches.
+TOGETHER = 1 << 14
 
 
-def _table(characters: str) -> np.ndarray:
-    out = np.zeros(256, bool)
-    out[list(characters.encode())] = True
-    return out
+def _table(characters: str) -> bytes:
+    """1 for these bytes, 0 for others."""
+    return bytes(i in characters.encode() for i in range(256))
 
 
-_HEXADECIMAL = _table("0123456789abcdef")
 _LETTER = _table("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
 _RUN = _table("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
 
 
-def rule_spans(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of what the rules find, by start, then kind."""
+def _places(whole: bytes, names: Sequence[bytes]) -> list[int]:
+    """Where the names begin, ascending."""
     out = []
-    low = text.lower()
-    if any(name in low for name in _NAMES):
-        out += [(m.start(), m.end(), "assign") for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
-    if "AKIA" in text:
-        out += [(m.start(), m.end(), "access") for m in _ACCESS.finditer(text) if len(m[0]) >= 16]
-    out += [(m.start(), m.end(), "hex") for m in _HEX.finditer(text)]
-    return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
+    for name in names:
+        at = whole.find(name)
+        while at >= 0:
+            out.append(at)
+            at = whole.find(name, at + 1)
+    return sorted(out)
 
 
-def _runs(data: np.ndarray, offsets: np.ndarray, member: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+def _runs(member: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Byte ranges of the runs of at least ``least`` member bytes; none crosses texts."""
-    inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = member[data]
+    inside = np.zeros(len(member) + 2, bool)
+    inside[1:-1] = member
     change = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = change[::2], change[1::2]
+    keep = end - start >= least
+    start, end = start[keep], end[keep]
+    if not len(start):
+        return start, end
     inner = offsets[1:-1]
     k = np.searchsorted(start, inner, side="right") - 1
-    cut = inner[(k >= 0) & (start[np.maximum(k, 0)] < inner) & (inner < end[np.maximum(k, 0)])] if len(start) else inner[:0]
-    start, end = np.sort(np.append(start, cut)), np.sort(np.append(end, cut))
+    crossed = (k >= 0) & (start[np.maximum(k, 0)] < inner) & (inner < end[np.maximum(k, 0)])
+    k, cut = k[crossed], inner[crossed]
+    start, end = np.insert(start, k + 1, cut), np.insert(end, k, cut)
     keep = end - start >= least
     return start[keep], end[keep]
 
@@ -107,39 +110,53 @@ class Candidates:
 
     def __init__(self, column: pa.Array):
         self.data, self.offsets = raw(column)
-        self.start, self.end = _runs(self.data, self.offsets, _RUN, 8)
+        self.whole = self.data.tobytes()
+        self.start, self.end = _runs(np.frombuffer(self.whole.translate(_RUN), bool), self.offsets, 8)
         self.text = np.searchsorted(self.offsets, self.start, side="right") - 1
-        hexadecimal, _ = _runs(self.data, self.offsets, _HEXADECIMAL, 32)
-        self.spans: list[list[tuple[int, int, str]]] = [[] for _ in range(len(column))]
-        look = set((np.searchsorted(self.offsets, hexadecimal, side="right") - 1).tolist())
-        whole = self.data.tobytes()
-        self.plain: dict[int, str] = {}
-        low = whole.lower()
-        for name in (*(n.encode() for n in _NAMES), b"akia"):
-            at = low.find(name)
-            while at >= 0:
-                row = int(np.searchsorted(self.offsets, at, side="right")) - 1
-                look.add(row)
-                at = low.find(name, int(self.offsets[row + 1]))
-        taken = []
-        for row in sorted(look):
-            text = whole[self.offsets[row] : self.offsets[row + 1]].decode()
-            self.plain[row] = text
-            self.spans[row] = rule_spans(text)
-            for a, b, _ in self.spans[row]:
-                first = int(self.offsets[row]) + len(text[:a].encode())
-                taken.append((first, first + len(text[a:b].encode())))
-        self.confirmed = np.zeros(len(self.start), bool)
-        if taken:
-            reached = np.zeros(len(self.data) + 1, np.int32)
-            np.add.at(reached, [a for a, _ in taken], 1)
-            np.add.at(reached, [b for _, b in taken], -1)
-            covered = np.concatenate([[0], np.cumsum(np.cumsum(reached)[:-1] > 0)])
-            self.confirmed = covered[self.end] > covered[self.start]
+        #: (text, start, end, kind) of what the rules find.
+        self.found = self._rules()
+        reached = np.zeros(len(self.start) + 1, np.int64)
+        if self.found:
+            first, last = np.array([f[1:3] for f in self.found]).T
+            np.add.at(reached, np.searchsorted(self.end, first, side="right"), 1)
+            np.add.at(reached, np.searchsorted(self.start, last, side="left"), -1)
+        self.confirmed = np.cumsum(reached)[:-1] > 0
+
+    def _rules(self) -> list[tuple[int, int, int, str]]:
+        # A rule is tried only where its first letters stand, and hexadecimal strings only in candidates of their length.
+        whole, ends, out = self.whole, self.offsets.tolist(), []
+        for kind, rule, places in (("assign", _ASSIGN, _places(whole.lower(), _NAMES)), ("access", _ACCESS, _places(whole, [b"AKIA"]))):
+            done = 0
+            for at in places:
+                if at < done:
+                    continue
+                row = bisect_right(ends, at) - 1
+                match = rule.match(whole, at, ends[row + 1])
+                if match:
+                    done = match.end()
+                    if len(match[2]) >= 8 if kind == "assign" else done - at >= 16:
+                        out.append((row, at, done, kind))
+        for i in np.flatnonzero(self.end - self.start >= 32).tolist():
+            row = int(self.text[i])
+            out += [(row, m.start(), m.end(), "hex") for m in _HEX.finditer(whole, int(self.start[i]), int(self.end[i]))]
+        return out
+
+    def spans(self, added: np.ndarray) -> list[list[tuple[int, int, str]]]:
+        """(start, end, kind) in code points of what the rules find and of the candidates ``added``, by start, then kind."""
+        out: list[list[tuple[int, int, str]]] = [[] for _ in range(len(self.offsets) - 1)]
+        found = self.found + [(int(self.text[i]), int(self.start[i]), int(self.end[i]), "model") for i in added.tolist()]
+        if found:
+            before = np.zeros(len(self.data) + 1, np.int64)
+            np.cumsum((self.data & 0xC0) != 0x80, out=before[1:])
+            for row, a, b, kind in found:
+                start = int(before[a] - before[self.offsets[row]])
+                out[row].append((start, start + b - a, kind))
+        return [sorted(s, key=lambda s: (s[0], KINDS.index(s[2]))) for s in out]
 
     def sorts(self) -> np.ndarray:
         """The sort of each candidate."""
-        letters = np.concatenate([[0], np.cumsum(_LETTER[self.data])])
+        letters = np.zeros(len(self.data) + 1, np.int32)
+        np.cumsum(np.frombuffer(self.whole.translate(_LETTER), np.uint8), dtype=np.int32, out=letters[1:])
         unconfirmed = np.where(letters[self.end] > letters[self.start], OTHER, NUMBER)
         return np.where(self.confirmed, CONFIRMED, unconfirmed)
 
@@ -204,22 +221,52 @@ class Network:
         tables[0] += self.bias
         return tables
 
-    def _forward(self, x: np.ndarray, tables: np.ndarray | None = None):
-        """Symbols, filters by place, the best of them and the logits; places come first."""
-        tables = self._tables() if tables is None else tables
-        symbols = np.ascontiguousarray(x.T).astype(np.intp)
-        length = len(symbols) - self.WIDTH + 1
-        seen = np.take(tables[0], symbols[:length], axis=0, mode="clip")
-        for j in range(1, self.WIDTH):
-            seen += np.take(tables[j], symbols[j : j + length], axis=0, mode="clip")
-        pooled = np.maximum(seen.max(0), 0)
-        return symbols, seen, pooled, pooled @ self.out + self.base[0]
-
-    def logits(self, x: np.ndarray) -> np.ndarray:
+    def _forward(self, x: np.ndarray):
+        """The best value of each filter, its place in the window and the logits."""
+        return next(self._forwards([x]))
+
+    def _forwards(self, parts: Sequence[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each part of windows the best value of each filter, its place in the window and the logits.
+
+        Pairs of symbols are looked up together, in tables of those that occur. Values are whole numbers, ``one`` stands
+        for 1; any sum has 25 bits with its sign, so that the place rides in 6 lower bits.
+        """
+        tables, filters = self._tables(), len(self.out)
+        most = max(float(np.abs(tables).max((1, 2)).sum()), 1e-30)
+        one = np.float32(2.0 ** (24 - np.ceil(np.log2(most))))
+        tables = np.rint(tables * one).astype(np.int32) << 6
+        turned = [np.ascontiguousarray(x.T) for x in parts]
+        two = np.concatenate([((t[:-1].astype(np.uint16) << 8) | t[1:]).ravel() for t in turned])
+        known = np.flatnonzero(np.bincount(two, minlength=self.SYMBOLS**2) > 0)
+        number = np.zeros(self.SYMBOLS**2, np.intp)
+        number[known] = np.arange(len(known))
+        pairs = [tables[j].take(known >> 8, 0) + tables[j + 1].take(known & 255, 0) for j in range(0, self.WIDTH - 1, 2)]
+        all_pairs, done = number.take(two), 0
+        for symbols in turned:
+            pair = all_pairs[done : done + symbols[1:].size].reshape(-1, symbols.shape[1])
+            done += pair.size
+            length = len(symbols) - self.WIDTH + 1
+            size = max(1, min(symbols.shape[1], TOGETHER // length))
+            held = np.empty((2, length * size * filters), np.int32)
+            ranked = np.empty((symbols.shape[1], filters), np.int32)
+            for i in range(0, len(ranked), size):
+                part = slice(i, i + size)
+                seen, more = held[:, : length * len(ranked[part]) * filters].reshape(2, length, -1, filters)
+                np.take(tables[-1], symbols[self.WIDTH - 1 :, part], axis=0, mode="clip", out=seen)
+                for j, table in enumerate(pairs):
+                    np.take(table, pair[2 * j : 2 * j + length, part], axis=0, mode="clip", out=more)
+                    seen += more
+                seen += np.arange(length, dtype=np.int32)[:, None, None]
+                seen.max(0, out=ranked[part])
+            pooled = np.maximum((ranked >> 6) / one, 0, dtype=np.float32)
+            yield pooled, ranked & 63, pooled @ self.out + self.base[0]
+
+    def logits(self, x: np.ndarray, key: np.ndarray | None = None) -> np.ndarray:
+        """Logits of windows; ``key`` are their keys, if known."""
         if not len(x):
             return np.zeros(0, np.float32)
         # Equal windows are scored once; pairs of symbols are looked up together.
-        _, first, back = np.unique(keys(x), return_index=True, return_inverse=True)
+        _, first, back = np.unique(keys(x) if key is None else key, return_index=True, return_inverse=True)
         tables, pairs = self._scoring()
         length = x.shape[1] - self.WIDTH + 1
         out = np.empty(len(first), np.float32)
@@ -260,21 +307,23 @@ class Network:
         """One step of Adam on the weighted logistic loss over parts (windows of one length, labels, weights)."""
         width, filters = self.embed.shape[1], len(self.out)
         grads = {name: np.zeros_like(p) for name, p in zip(self.NAMES, self.parameters(), strict=True)}
-        pull = np.zeros((self.WIDTH, self.SYMBOLS * filters), np.float32)
-        tables = self._tables()
-        for x, y, weight in parts:
-            symbols, seen, pooled, logit = self._forward(x, tables)
+        amounts, cells, begin = [], [], 0
+        for (x, y, weight), (pooled, best, logit) in zip(parts, self._forwards([x for x, _, _ in parts]), strict=True):
             error = ((1 / (1 + np.exp(-logit)) - y) * weight).astype(np.float32)
-            # The place of the greatest value rides in its lowest bits; where none is above 0 nothing is learned.
-            best = ((seen.view(np.int32) & ~63) | np.arange(len(seen), dtype=np.int32)[:, None, None]).max(0) & 63
+            # Where no value is above 0 nothing is learned.
             back = error[:, None] * self.out * (pooled > 0)
-            rows = np.arange(len(x))[:, None]
-            for j in range(self.WIDTH):
-                cell = symbols[best + j, rows] * filters + np.arange(filters)
-                pull[j] += np.bincount(cell.ravel(), back.ravel(), self.SYMBOLS * filters)
+            moved = np.flatnonzero(back != 0)
+            amounts.append(back.ravel()[moved])
+            row, mine = np.divmod(moved, filters)
+            cells.append((begin + row * x.shape[1] + best.ravel()[moved], mine))
+            begin += x.size
             grads["bias"] += back.sum(0)
             grads["out"] += pooled.T @ error
             grads["base"] += error.sum(keepdims=True)
+        symbols = np.concatenate([x.ravel() for x, _, _ in parts]).astype(np.intp) * filters
+        amount = np.concatenate(amounts).astype(float)
+        at, mine = (np.concatenate(c) for c in zip(*cells, strict=True))
+        pull = np.array([np.bincount(symbols[at + j] + mine, amount, self.SYMBOLS * filters) for j in range(self.WIDTH)], np.float32)
         pull = pull.reshape(self.WIDTH, self.SYMBOLS, filters)
         kernel = self.kernel.reshape(self.WIDTH, width, filters)
         grads["kernel"] = (self.embed.T @ pull).reshape(self.kernel.shape)
@@ -442,7 +491,7 @@ def _measured(rows: DataFrame, network: Network) -> tuple[np.ndarray, np.ndarray
         total: dict[tuple[int, int], int] = {}
         for windows, sorts, key in _windows(batches):
             back = kept_back(key)
-            step = np.floor(np.clip(network.logits(windows[back]), -128, 128) * FINE).astype(np.int64)
+            step = np.floor(np.clip(network.logits(windows[back], key[back]), -128, 128) * FINE).astype(np.int64)
             found, n = np.unique(np.stack([sorts[back], step], axis=1), axis=0, return_counts=True)
             for (sort, at), count in zip(found.tolist(), n.tolist(), strict=True):
                 total[sort, at] = total.get((sort, at), 0) + count
@@ -495,18 +544,14 @@ def spans_of(column: pa.Array, network: Network | None) -> list[list[tuple[int,
     """All spans of each text, by start, then kind."""
     out: list[list[tuple[int, int, str]]] = []
     for a, b in text_slices(column):
-        part = column.slice(a, b - a)
-        found = Candidates(part)
+        found = Candidates(column.slice(a, b - a))
+        added = np.zeros(0, np.int64)
         if network is not None and len(found.start):
             windows, owner = found.windows()
             best = np.zeros(len(found.start))
             np.maximum.at(best, owner, network.chance(network.logits(windows)))
-            for i in np.flatnonzero((best >= network.threshold) & ~found.confirmed).tolist():
-                row = int(found.text[i])
-                begin = int(found.offsets[row])
-                start = len(found.data[begin : found.start[i]].tobytes().decode())
-                found.spans[row].append((start, start + int(found.end[i] - found.start[i]), "model"))
-        out += [sorted(s, key=lambda s: (s[0], KINDS.index(s[2]))) for s in found.spans]
+            added = np.flatnonzero((best >= network.threshold) & ~found.confirmed)
+        out += found.spans(added)
     return out
 
 

@@ -660,6 +660,53 @@ def test_secret_fit_takes_every_window(spark, monkeypatch):
     assert met == {bytes(w) for x in new.values() for w in x}
 
 
+def test_secret_training_looks_pairs_up_once(monkeypatch):
+    """A step takes three rows of values a place, not one a symbol; values and places are those of the plain convolution."""
+    network = secret_scan.Network()
+    x = RANDOM.integers(0, 256, (700, secret_scan.WINDOW)).astype(np.uint8)
+    x[:300] = np.where(np.arange(secret_scan.WINDOW) < 40, x[:300] % 4, 0)
+    parts = [(x, np.arange(700) % 2 * 1.0, np.full(700, 1 / 700)), (x[:200, 10:36], np.ones(200), np.full(200, 1 / 200))]
+    taken, take = [], np.take
+    monkeypatch.setattr(np, "take", lambda a, at, *rest, **more: taken.append(np.size(at)) or take(a, at, *rest, **more))
+    network._descend(parts, {}, 0.01)
+    places = 700 * (secret_scan.WINDOW - 4) + 200 * 22
+    assert 0 < sum(taken) <= 3 * places
+    monkeypatch.undo()
+    tables = network.embed @ network.kernel.reshape(network.WIDTH, 12, -1)
+    seen = sum(tables[j][x[:, j : j + 60]].astype(float) for j in range(network.WIDTH)) + network.bias
+    pooled, best, logit = network._forward(x)
+    assert np.allclose(pooled, np.maximum(seen.max(1), 0), atol=1e-5)
+    assert np.allclose(np.take_along_axis(seen, best[:, None], 1)[:, 0], seen.max(1), atol=1e-5)
+    assert np.allclose(logit, network.logits(x), atol=1e-5)
+
+
+def test_secret_rules_are_tried_where_they_can_begin(monkeypatch):
+    """Letters beyond ASCII, names across texts, runs cut by a text's end; no rule reads a text that cannot hold it."""
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    bits = ["passwd", "TOKEN", "api_key", "api", "pass", "word", "secret", " ", "=", ":", "'", '"', "abcdefgh", "AKIA", "ABCDEFGHIJKL", "\u017f"]
+    bits += ["0123456789abcdef" * 2, "f" * 31, "\u0130", "\u65e5", "K", "=abc", "-", "tokentoken=abcdefgh"]
+    texts = ["".join(RANDOM.choice(bits, RANDOM.integers(0, 30))) for _ in range(400)] + [None, "", "pass", "word=abcdefgh"]
+    for text, got in zip(texts, secret_scan.spans_of(pa.array(texts), None), strict=True):
+        text = text or ""
+        spans = [(m.start(), 0, m.end(), "assign") for m in assign.finditer(text) if len(m[2]) >= 8]
+        spans += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+        spans += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]{32,}", text)]
+        assert got == [(a, b, kind) for a, _, b, kind in sorted(spans)]
+
+    class Counted:
+        def __init__(self, rule):
+            self.rule, self.tried = rule, 0
+
+        def match(self, whole, at, end):
+            self.tried += 1
+            return self.rule.match(whole, at, end)
+
+    counted = Counted(secret_scan._ASSIGN)
+    monkeypatch.setattr(secret_scan, "_ASSIGN", counted)
+    text = "plain words " * 5_000 + "token=abcdefgh and a token "
+    assert [s[2] for s in secret_scan.spans_of(pa.array([text, "plain " * 5_000]), None)[0]] == ["assign"] and counted.tried == 2
+
+
 # 9 and 10 -----------------------------------------------------------------------------------
 
 
