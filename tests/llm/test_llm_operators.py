@@ -1,14 +1,18 @@
 """The dealt operators against brute force, on a small table that holds the awkward cases."""
 
+import contextlib
 import hashlib
 import math
+import os
 import re
+import threading
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -27,7 +31,7 @@ from quern.llm import (
 )
 from quern.llm.components import components
 from quern.llm.queries import BYTE_RANKS, WORD_MODEL
-from quern.session import scratch_path
+from quern.session import scratch_path, shared_folder
 
 RANDOM = np.random.default_rng(4)
 WORDS = re.compile(r"[^ \t-\r]+")
@@ -543,6 +547,53 @@ def test_embedding_join_finds_every_link(spark, chunk):
         assert (r.n_links, r.component_id, r.kept) == (len(near), component[i], component[i] == i)
 
 
+def test_embedding_join_disk_in_proportion(spark, tmp_path):
+    """Chunks that meet are read where they lie: tables and shuffles together stay within four times the input."""
+    vectors = np.random.default_rng(70).normal(size=(3000, 64)).astype(np.float32)
+    table = pa.table({"vec_id": np.arange(len(vectors)), "embedding": pa.array(list(vectors), pa.list_(pa.float32()))})
+    pq.write_table(table, tmp_path / "embeddings.parquet")
+    local = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    seen, over = {}, threading.Event()
+
+    def look():
+        """Files may go again while the job runs."""
+        for top in (*local, shared_folder(spark).removeprefix("file://")):
+            for folder, _, names in os.walk(top):
+                for path in (os.path.join(folder, name) for name in names if "_temporary" not in folder):
+                    with contextlib.suppress(OSError):
+                        seen[path] = max(seen.get(path, 0), os.stat(path).st_size)
+
+    look()
+    before = set(seen)
+    watch = threading.Thread(target=lambda: [look() for _ in iter(lambda: over.wait(0.1), True)])
+    watch.start()
+    try:
+        found = embedding_join.near_components(spark.read.parquet(f"{tmp_path}/embeddings.parquet"), chunk=64).collect()
+    finally:
+        over.set()
+        watch.join()
+    added = sum(size for path, size in seen.items() if path not in before)
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in found) == [(i, 0, i, True) for i in range(len(vectors))]
+    assert vectors.nbytes < added < 4 * (tmp_path / "embeddings.parquet").stat().st_size
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 64, 300])
+def test_embedding_chunks_against_products(size):
+    random = np.random.default_rng(size)
+    centre = random.normal(size=size)
+    made = [centre + random.normal(size=(700, size)) * 0.32, random.normal(size=(400, size)), -centre + random.normal(size=(30, size)) * 0.1]
+    made = random.permutation(np.concatenate(made)).astype(np.float32)
+    wide = made.astype(float)
+    norm = np.sqrt((wide * wide).sum(1))
+    linked = wide @ wide.T >= 0.95 * np.outer(norm, norm)
+    whole, *halves = (embedding_join.Chunk.of(x, 0.95) for x in (made, made[:600], made[600:]))
+    for a, b, truth in ((whole, whole, np.triu(linked, 1)), (*halves, linked[:600, 600:]), (*halves[::-1], linked[600:, :600])):
+        got = np.zeros(truth.shape, int)
+        for x, y in embedding_join.compare_chunks(a, b, 0.95):
+            np.add.at(got, (x, y), 1)
+        assert np.array_equal(got, truth)
+
+
 # 8 ------------------------------------------------------------------------------------------
 
 
